@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gablestone.llm._base import cut
+
 WINDOW = 8
 #: The loosest first.
 CUTOFFS = (900, 700, 500, 300, 200, 100, 50, 30, 20, 10)
@@ -31,9 +33,10 @@ LIMIT, DELTA = 0.01, 0.05
 #: Strata above this number are joined by a shuffle, not broadcast.
 BROADCAST_STRATA = 20_000
 
-SPACES = r"' \u0009\u000a\u000b\u000c\u000d'"
-_WORDS = r"filter(split(t, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
-_LINES = rf"filter(split(t, '\\n', -1), l -> length(translate(l, {SPACES}, '')) > 0)"
+# One space character for all, so that the split is by a plain character; most texts have two kinds.
+_RARE = "if(t rlike '[\\\\x09\\\\x0B-\\\\x0D]', translate(t, '\\u0009\\u000b\\u000c\\u000d', '    '), t)"
+_WORDS = f"filter(split(replace({_RARE}, '\\u000a', ' '), ' ', -1), w -> w <> '')"
+_LINES = r"filter(split(t, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -45,24 +48,25 @@ def _repeated() -> str:
     """Words in windows found twice or more, of words w and their hashes h."""
     n = WINDOW
     keys = f"transform(sequence(0, size(w) - {n}), i -> xxhash64({', '.join(f'h[i + {j}]' for j in range(n))}))"
-    sorted_windows = f"array_sort(transform(sequence(0, size(w) - {n}), i -> struct(array_join(slice(w, i + 1, {n}), ' ') as k, i as i)))"
-    places = "array_sort(transform(filter(transform(s, (x, j) -> struct(x.i as i, coalesce(get(s, j - 1).k = x.k, false) or coalesce(get(s, j + 1).k = x.k, false) as hit)), x -> x.hit), x -> x.i))"
+    sorted_windows = f"sort_array(transform(sequence(0, size(w) - {n}), i -> struct(array_join(slice(w, i + 1, {n}), ' ') as k, i as i)))"
+    places = "sort_array(transform(filter(transform(s, (x, j) -> struct(x.i as i, coalesce(get(s, j - 1).k = x.k, false) or coalesce(get(s, j + 1).k = x.k, false) as hit)), x -> x.hit), x -> x.i))"
     covered = f"aggregate(transform(p, (x, j) -> least({n}, coalesce(get(p, j + 1) - x, {n}))), 0, (a, b) -> a + b)"
     exact = _let("s", sorted_windows, _let("p", places, covered))
-    return f"if(size(w) < {n}, 0, {_let('h', 'transform(w, x -> xxhash64(x))', _let('k', keys, f'if(size(array_distinct(k)) = size(k), 0, {exact})'))})"
+    return f"if(size(w) < {n}, 0, {_let('k', keys, f'if(size(array_distinct(k)) = size(k), 0, {exact})')})"
 
 
 def features(text: str = "text"):
     """Struct column of what is counted in a text."""
     inner = f"""struct(
         cast(size(w) as bigint) as n_words,
-        cast(length(translate(t, {SPACES}, '')) as bigint) as word_chars,
-        cast(length(t) - length(translate(t, '#*$%&|<>', '')) as bigint) as n_symbols,
-        cast({_let("l", _LINES, "size(l) - size(array_distinct(l))")} as bigint) as n_dup_lines,
-        cast({_let("l", _LINES, "size(l)")} as bigint) as n_lines,
+        cast(length(array_join(w, '')) as bigint) as word_chars,
+        cast(regexp_count(t, '[#*$%&|<>]') as bigint) as n_symbols,
+        cast(size(l) - size(array_distinct(l)) as bigint) as n_dup_lines,
+        cast(size(l) as bigint) as n_lines,
         cast({_repeated()} as bigint) as n_repeat_words,
-        cast(size(filter(w, (x, i) -> i > 0 and x = w[i - 1])) as bigint) as n_adjacent)"""
-    return F.expr(_let("t", f"coalesce({text}, '')", _let("w", _WORDS, inner)))
+        cast(size(filter(h, (x, i) -> i > 0 and x = h[i - 1])) as bigint) as n_adjacent)"""
+    inner = _let("w", _WORDS, _let("h", "transform(w, x -> xxhash64(x))", _let("l", _LINES, inner)))
+    return F.expr(_let("t", f"coalesce({text}, '')", inner))
 
 
 def _shares(f: str) -> dict:
@@ -74,12 +78,11 @@ def _base_failed(f: str):
     return (F.col(f"{f}.n_words") < 20) | (100 * F.col(f"{f}.n_repeat_words") > 30 * F.col(f"{f}.n_words"))
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
+def thresholds(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
     """(stratum, cuts): for each stratum a map from rule to the tightest certified cutoff; rules
-    without one are absent."""
+    without one are absent. counted: doc_id, _stratum and _f of the documents."""
     good = labels.where("quality = 1 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"))
-    seen = docs.select("doc_id", "text", F.coalesce(F.col(stratum), F.lit("")).alias("stratum")).join(good, "doc_id")
-    seen = seen.select("stratum", "times", features().alias("f"))
+    seen = counted.select("doc_id", F.col("_stratum").alias("stratum"), F.col("_f").alias("f")).join(good, "doc_id")
     shares = _shares("f")
     # A null array gives no rows; a filter would be pushed below the counting and count again.
     passed = F.when(~_base_failed("f"), F.array(*[F.struct(F.lit(r).alias("rule"), shares[r].alias("share")) for r in RULES]))
@@ -100,25 +103,27 @@ def thresholds(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit:
     return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", cuts: DataFrame | None = None) -> DataFrame:
-    """docs with columns _f (counts), _base_failed and _kept."""
-    from gablestone.llm._base import cut
-
-    cuts = cut(thresholds(docs, labels, stratum) if cuts is None else cuts, "quality-cuts")
-    cuts = cuts.select(F.col("stratum").alias("_stratum"), F.col("cuts").alias("_cuts"))
+def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", keep_text: bool = True) -> DataFrame:
+    """docs with columns _f (counts), _base_failed and _kept. The counts are worked out once and
+    written: the cutoffs and the verdicts both read them."""
+    names = [c for c in docs.columns if keep_text or c in ("doc_id", stratum)]
+    counted = docs.withColumn("_stratum", F.coalesce(F.col(stratum), F.lit(""))).withColumn("_f", features())
+    counted = cut(counted.select(*names, "_stratum", "_f"), "quality-counts")
+    cuts = cut(thresholds(counted, labels), "quality-cuts").select(F.col("stratum").alias("_key"), F.col("cuts").alias("_cuts"))
     cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_STRATA else cuts
-    out = docs.withColumn("_key", F.coalesce(F.col(stratum), F.lit(""))).join(cuts, F.col("_key") == F.col("_stratum"), "left").withColumn("_f", features())
+    out = counted.join(cuts, F.col("_key") == F.col("_stratum"), "left")
     rejected = F.lit(False)
     for rule, share in _shares("_f").items():
         rejected = rejected | F.coalesce(share >= F.try_element_at("_cuts", F.lit(rule)), F.lit(False))
-    return out.withColumn("_base_failed", _base_failed("_f")).withColumn("_kept", ~F.col("_base_failed") & ~rejected).drop("_key", "_stratum", "_cuts")
+    return out.withColumn("_base_failed", _base_failed("_f")).withColumn("_kept", ~F.col("_base_failed") & ~rejected).drop("_stratum", "_key", "_cuts")
 
 
 def report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
     base = docs.select("doc_id", "text", F.col(stratum).alias("lang"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged(base, labels, "lang").select("doc_id", *[f"_f.{c}" for c in counts], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    out = judged(base, labels, "lang", keep_text=False)
+    return out.select("doc_id", *[f"_f.{c}" for c in counts], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
