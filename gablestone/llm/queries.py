@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gablestone.llm import quality_rules, url_rules
+from gablestone.llm import contamination, quality_rules, token_counts, token_frames, url_rules
 from gablestone.llm._base import table
 
 #: (verdict, host, path)
@@ -11,6 +11,27 @@ URL_RULES = [
 ]
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_frames(spark, sf_dir):
+    return token_frames.op1(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op2_contamination(spark, sf_dir):
+    return contamination.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
