@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gablestone.llm import contamination, quality_rules, token_counts, token_frames, url_rules
+from gablestone.llm import contamination, lang_id, near_dups, quality_rules, token_counts, token_frames, url_rules
 from gablestone.llm._base import table
 
 #: (verdict, host, path)
@@ -36,6 +36,14 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_near_dups(spark, sf_dir):
+    return near_dups.groups(table(spark, sf_dir, "documents"), width=2)
+
+
+def op10_lang_id(spark, sf_dir):
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
 
