@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gablestone.llm import contamination, katz, lang_id, near_dups, quality_rules, token_counts, token_frames, url_rules
+from gablestone.llm import contamination, katz, lang_id, licenses, near_dups, packing, quality_rules, token_counts, token_frames, url_rules
 from gablestone.llm._base import table
 
 #: (verdict, host, path)
@@ -32,6 +32,14 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op3_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_katz(spark, sf_dir):
     return katz.op4(table(spark, sf_dir, "documents"))
 
