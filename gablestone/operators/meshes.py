@@ -88,7 +88,7 @@ DISTANCE_STEPS = [
 
 def residuals(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame:
     """The distance of each point (model_id, keys, x, y, z) to the nearest triangle of its model."""
-    rows = points.select("model_id", *keys, *[F.col(c).alias(f"p{c}") for c in "xyz"]).join(triangles, "model_id")
+    rows = points.select("model_id", *keys, *[F.col(c).alias(f"p{c}") for c in "xyz"]).join(triangles.drop("face_id", "k"), "model_id")
     for step in DISTANCE_STEPS:
         rows = rows.select("*", *[F.expr(v).alias(k) for k, v in step.items()])
     return rows.groupBy("model_id", *keys).agg(F.min("distance").alias("distance"))
