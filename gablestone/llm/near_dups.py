@@ -9,9 +9,9 @@ all nodes). Lists are kept for those values only; values that one node holds nee
 below K the sketch is the whole set and the bound is exact.
 
 Lists of any length are worked through without all their pairs: in each round the next leaders of
-each list (the smallest nodes: 1, then up to 16, 256 ...) meet the other members that are not yet in
-their component. Candidates pass two filters, the ratio of the set sizes and the estimate from the
-union sketch (the K smallest of both), and are then confirmed on the full sets. Components are
+each list (the smallest nodes: 1, then up to 4, 16, 64 ...) meet the other members that are not yet in
+their component. Candidates pass three filters, the ratio of the set sizes and the common bits of the
+sketches' signatures, both within the join, and then the estimate from the union sketch (the K smallest of both), and are then confirmed on the full sets. Components are
 contracted after each round; a list is done when all its members have been leaders or are in one
 component. So a group of near copies costs a number of pairs proportional to its size, and a link
 between different texts is skipped only where both ends are in one component already.
@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 from gablestone.llm._base import cut, texts
 
 K, OVERLAP = 48, 21
-LEADERS = (1, 16)
+#: The number of leaders of a list grows by this in each round.
+GROWTH = 4
+#: Bits of a node's signature: which of so many slots its sketch values fall into.
+WORDS = 4
 #: Bytes of text worked on at once.
 SLICE = 2 << 20
 
@@ -56,7 +59,8 @@ def sets(column, width: int):
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set (16 bytes that name the set; null for the empty one), sketch."""
+    """doc_id, n_shingles, set (16 bytes that name the set; null for the empty one), sketch, and the
+    words of its signature."""
 
     def run(batches):
         import pyarrow as pa
@@ -65,31 +69,41 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
         for b in batches:
             for at, n in _words.slices(b.column("text"), SLICE):
-                sizes, names, flat = [], [], []
+                sizes, names, flat, bits = [], [], [], []
                 for s in sets(b.column("text").slice(at, n), width):
                     sizes.append(len(s))
                     u = s.view(np.uint64)
                     names.append(np.array([u.sum(), _words.mix(u ^ np.uint64(len(s))).sum()], np.uint64).tobytes() if len(s) else None)
                     flat.append(s[:K])
+                    slot = np.zeros(WORDS * 64, np.uint8)
+                    slot[s[:K] & (WORDS * 64 - 1)] = 1
+                    bits.append(np.packbits(slot))
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(at, n).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat)))],
-                    names=["doc_id", "n_shingles", "set", "sketch"],
+                    [b.column("doc_id").slice(at, n).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat)))]
+                    + [pa.array(np.stack(bits).view(np.int64)[:, k]) for k in range(WORDS)],
+                    names=["doc_id", "n_shingles", "set", "sketch"] + [f"bits{k}" for k in range(WORDS)],
                 )
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set binary, sketch array<long>")
+    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set binary, sketch array<long>, " + ", ".join(f"bits{k} long" for k in range(WORDS)))
+
+
+#: How many values the sketches of two linked nodes have in common at least, by the size of one.
+_NEED = f"if(n < {K * 4 // 5}, ceil(n * 0.8D), {OVERLAP})"
 
 
 def _lists(nodes: DataFrame) -> DataFrame:
-    """(value, node, n): the members of the inverted lists of each node's rarest sketch values."""
+    """(value, node, n, need, signature): the members of the inverted lists of each node's rarest
+    sketch values."""
     rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
     held = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = rows.join(held, "value")
     # The sketch has least(n, K) values; those that no other node holds are the rarest.
-    need = F.expr(f"if(n < {K * 4 // 5}, ceil(n * 0.8D), {OVERLAP})")
-    by_node = shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
-    spare = F.least(F.col("n"), F.lit(K)) - need + 1 - (F.least(F.col("n"), F.lit(K)) - F.size("values"))
-    return by_node.where(spare > 0).select("node", "n", F.explode(F.slice("values", F.lit(1), F.greatest(spare, F.lit(1)).cast("int"))).alias("v")).select("v.value", "node", "n")
+    by_node = shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")).withColumn("need", F.expr(_NEED).cast("int"))
+    spare = F.least(F.col("n"), F.lit(K)) - F.col("need") + 1 - (F.least(F.col("n"), F.lit(K)) - F.size("values"))
+    kept = by_node.where(spare > 0).select("node", "n", "need", F.explode(F.slice("values", F.lit(1), F.greatest(spare, F.lit(1)).cast("int"))).alias("v"))
+    signature = F.array(*[f"bits{k}" for k in range(WORDS)]).alias("bits")
+    return kept.select("v.value", "node", "n", "need").join(nodes.select("node", signature), "node")
 
 
 def _candidates(lists: DataFrame, labels: DataFrame | None, after: int, upto: int) -> DataFrame:
@@ -102,8 +116,11 @@ def _candidates(lists: DataFrame, labels: DataFrame | None, after: int, upto: in
         lists = lists.withColumn("c", F.col("node"))
     rank = F.row_number().over(Window.partitionBy("value").orderBy("node"))
     leaders = lists.withColumn("rank", rank).where(F.col("rank") <= upto).where(F.col("rank") > after)
-    leaders = leaders.select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    met = leaders.join(lists, "value").where("a < node and c_a <> c and 10 * least(n, n_a) >= 8 * greatest(n, n_a)")
+    leaders = leaders.select("value", *[F.col(x).alias(y) for x, y in (("node", "a"), ("n", "n_a"), ("c", "c_a"), ("need", "need_a"), ("bits", "bits_a"))])
+    # Values in common may share a bit; a few such chances are allowed for.
+    common = " + ".join(f"bit_count(bits[{k}] & bits_a[{k}])" for k in range(WORDS))
+    least = "if(least(need, need_a) >= 16, least(need, need_a) - 6, floor(least(need, need_a) * 0.6D) - 1)"
+    met = leaders.join(lists, "value").where(f"a < node and c_a <> c and 10 * least(n, n_a) >= 8 * greatest(n, n_a) and {common} >= {least}")
     return met.select("a", F.col("node").alias("b")).distinct()
 
 
@@ -176,29 +193,43 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
+def _contracted(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after further links: only the components that the links join are worked on."""
+    if labels is None:
+        return components(links)
+    own = labels.select(F.col("v").alias("_v"), F.col("c").alias("_c"))
+    named = links.join(own, links["a"] == own["_v"], "left").select(F.coalesce("_c", "a").alias("a"), "b")
+    named = named.join(own, named["b"] == own["_v"], "left").select("a", F.coalesce("_c", "b").alias("b"))
+    joined = components(named.where("a <> b").distinct()).select(F.col("v").alias("_v"), F.col("c").alias("_new"))
+    fresh = joined.select(F.col("_v").alias("v")).join(labels.select("v"), "v", "left_anti").withColumn("c", F.col("v"))
+    whole = labels.union(fresh)
+    return cut(whole.join(joined, whole["c"] == joined["_v"], "left").select("v", F.coalesce("_new", "c").alias("c")), "labels")
+
+
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     if percent < 80:
         raise ValueError("sketches are laid out for similarities of 0.8 and more")
     rows = cut(sketches(docs, width), "sketches")
-    nodes = rows.where("set is not null and doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    bits = [f"bits{k}" for k in range(WORDS)]
+    nodes = rows.where("set is not null and doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), *[F.first(x).alias(x) for x in bits])
     nodes = cut(nodes, "dup-nodes")
     lists = cut(_lists(nodes), "dup-lists")
     # Documents of one doc_id and several sets hold their nodes together.
     named = rows.where("set is not null and doc_id is not null").select("doc_id", "set").join(nodes.select("set", "node"), "set")
-    links = cut(named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where("size(all) > 1").select("a", F.explode("all").alias("b")).where("a <> b"), "links")
-    labels, after, upto = None, 0, LEADERS[0]
+    labels = components(named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where("size(all) > 1").select("a", F.explode("all").alias("b")))
+    after, upto = 0, 1
     while True:
         pairs = cut(_estimated(_candidates(lists, labels, after, upto), nodes), "pairs")
-        links = cut(links.union(_confirmed(pairs, docs, nodes, width, percent)).distinct(), "links")
-        labels = components(links)
+        links = cut(_confirmed(pairs, docs, nodes, width, percent), "links")
+        labels = _contracted(labels, links)
         left = lists.join(labels.select(F.col("v").alias("node"), "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
         # Lists in which two members outside the leaders so far are not in one component.
         open_ = left.groupBy("value").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high")).where(f"size > {upto + 1} and low <> high")
         lists = cut(lists.join(open_.select("value"), "value", "left_semi"), "dup-lists")
         if lists.isEmpty():
             break
-        after, upto = upto, LEADERS[1] if upto == 1 else upto * 16
+        after, upto = upto, upto * GROWTH
     out = rows.join(nodes.select("set", "node"), "set", "left").join(labels, F.col("node") == F.col("v"), "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("c", "node", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
