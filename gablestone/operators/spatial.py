@@ -115,10 +115,15 @@ def alignment(points: DataFrame, edges: DataFrame, reach: float = 2.0, step: flo
     shares the first, x outside and y inside; with a warning where the shift is at the limit."""
     near = join_boxes(points.where(F.col("classification") == BUILDING), buffered(footprints(edges), reach))
     n = int(reach / step)
-    shifts = F.explode(F.array(*[F.struct(F.lit(i * step).alias("sx"), F.lit(j * step).alias("sy")) for i in range(-n, n + 1) for j in range(-n, n + 1)]))
-    moved = near.select("building_id", "rings", "x", "y", shifts.alias("s"))
-    shares = moved.groupBy("building_id", "s").agg(F.avg(G.in_polygon(F.col("rings"), F.col("x") + F.col("s.sx"), F.col("y") + F.col("s.sy")).cast("int")).alias("score"))
-    best = shares.groupBy("building_id").agg(F.min(F.struct((-F.col("score")).alias("order"), F.col("s.sx"), F.col("s.sy"))).alias("b"))
+    shift = F.explode(F.array(*[F.lit(i * step) for i in range(-n, n + 1)]))
+    # Where the borders cross a point's height is the same for all shifts along x: it is found once.
+    moved = near.select("building_id", "rings", "x", "y", shift.alias("sy")).withColumn("ys", F.col("y") + F.col("sy"))
+    crossed = F.expr("transform(rings, r -> transform(filter(r.edges, e -> (e.y1 > ys) <> (e.y2 > ys)), e -> (e.x2 - e.x1) * (ys - e.y1) / (e.y2 - e.y1) + e.x1))")
+    moved = moved.select("building_id", "x", "sy", crossed.alias("at")).select("building_id", "x", "sy", "at", shift.alias("sx"))
+    odd = "size(filter({}, v -> x + sx < v)) % 2 = 1"
+    inside = F.expr(f"{odd.format('at[0]')} and not exists(slice(at, 2, greatest(size(at) - 1, 0)), c -> {odd.format('c')})")
+    shares = moved.groupBy("building_id", "sx", "sy").agg(F.avg(inside.cast("int")).alias("score"))
+    best = shares.groupBy("building_id").agg(F.min(F.struct((-F.col("score")).alias("order"), "sx", "sy")).alias("b"))
     return best.select("building_id", (-F.col("b.order")).alias("score"), "b.sx", "b.sy", (F.greatest(F.abs("b.sx"), F.abs("b.sy")) == reach).alias("at_limit"))
 
 
