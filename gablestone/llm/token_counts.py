@@ -36,6 +36,7 @@ STATES = 300_000
 #: Longer words are run one by one.
 LANE = 96
 
+_NEVER = float("inf")
 _CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
 #: The splitter, over a text in which every character is one of its class.
 _SPLIT = re.compile(rf"{_CONTRACTIONS}| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
@@ -58,6 +59,8 @@ class Transducer:
         self.bytes_of = {i: t for t, i in vocab.items()}
         self.heads = {t[:k] for t in vocab for k in range(1, len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.parts = {new: (a, b, rank) for (a, b), (rank, new) in merges.items()}
+        self.spines: tuple[dict, dict] = ({}, {})
         self._forget()
 
     def _forget(self) -> None:
@@ -66,7 +69,7 @@ class Transducer:
         self.column = np.full(256, -1, np.int64)
         self.width = 0
         self.next = np.full((1024, 64), -1, np.int32)
-        self.delta = np.zeros((1024, 64), np.int32)
+        self.delta = np.zeros((1024, 64), np.int8)
         self._state((b"", ((-1, 0),)))
 
     def _state(self, state: tuple) -> int:
@@ -98,12 +101,41 @@ class Transducer:
             ids = out
         return ids
 
+    def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
+        """The tokens at the left (0) or right (1) edge while a token is built up, each with the rank
+        of the merge that takes it up; the token itself is never taken up."""
+        found = self.spines[side].get(token)
+        if found is None:
+            found, last = [(token, _NEVER)], token
+            while last in self.parts:
+                a, b, rank = self.parts[last]
+                last = b if side else a
+                found.append((last, rank))
+            self.spines[side][token] = found = found[::-1]
+        return found
+
     def _may_follow(self, a: int, b: int) -> bool:
+        """Whether a, b encodes as itself: no merge over the border comes before the merges that take
+        up the tokens at the border; of equal ranks the left one comes first."""
         found = self.pairs.get((a, b))
         if found is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            found = self.pairs[a, b] = self.encode(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            left, right, i, j = self._spine(a, 1), self._spine(b, 0), 0, 0
+            found = True
+            while True:
+                (x, taken_x), (y, taken_y) = left[i], right[j]
+                over = self.merges.get((x, y))
+                if over is not None and over[0] < taken_x and over[0] <= taken_y:
+                    found = False
+                    break
+                if taken_x == taken_y == _NEVER:
+                    break
+                if taken_x <= taken_y:
+                    i += 1
+                else:
+                    j += 1
+            self.pairs[a, b] = found
         return found
 
     def _step(self, k: int, byte: int) -> tuple[int, int]:
@@ -131,8 +163,8 @@ class Transducer:
     def _columns(self, used: np.ndarray) -> None:
         for b in used[self.column[used] < 0]:
             if self.width == self.next.shape[1]:
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)], 1)
-                self.delta = np.concatenate([self.delta, np.zeros_like(self.delta)], 1)
+                self.next = np.concatenate([self.next, np.full_like(self.next[:, :32], -1)], 1)
+                self.delta = np.concatenate([self.delta, np.zeros_like(self.delta[:, :32])], 1)
             self.column[b] = self.width
             self.width += 1
 
@@ -195,6 +227,8 @@ class Counter:
     def __init__(self, tokenizer_file: str, chunk: int = CHUNK):
         from tokenizers import Tokenizer
 
+        from gablestone.llm._pieces import Numbers
+
         with open(tokenizer_file) as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -209,7 +243,7 @@ class Counter:
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.library = Tokenizer.from_file(tokenizer_file)
         self.classes: dict[int, str] = {c: chr(c) for c in range(128)}
-        self.memo: dict[str, int] = {}
+        self.memo, self.known = Numbers(), np.zeros(0, np.int64)
 
     def _class(self, code: int) -> str:
         """A character of the same class as another one, as the library's own splitter has it."""
@@ -235,27 +269,31 @@ class Counter:
             at = end
         return words, special
 
-    def learn(self, pieces: list[str]) -> None:
+    def _count(self, pieces: list[str]) -> np.ndarray:
         words, owner, extra = [], [], np.zeros(len(pieces), np.int64)
         for k, p in enumerate(pieces):
-            found, extra[k] = self._words(p)
-            words += found
-            owner += [k] * len(found)
+            if p.isascii() and p[1:].isalpha() and (p[0] == " " or p[0].isalpha()):
+                words.append(p.encode())
+                owner.append(k)
+            else:
+                found, extra[k] = self._words(p)
+                words += found
+                owner += [k] * len(found)
         if words:
             np.add.at(extra, np.array(owner), self.transducer.counts(words))
-        self.memo.update(zip(pieces, extra.tolist(), strict=True))
+        return extra
 
     def _sum(self, parts: list[str]) -> list[int]:
         """Tokens of closed parts: each begins and ends where the splitter forgets."""
-        from gablestone.llm._pieces import MEMO, PIECE
+        from gablestone.llm._pieces import MEMO, Numbers, keys, piece
 
         if len(self.memo) > MEMO:
-            self.memo.clear()
-        split = [PIECE.findall(p) for p in parts]
-        memo = self.memo
-        new = list({x for s in split for x in s if x not in memo})
-        self.learn(new)
-        return [sum(map(memo.__getitem__, s)) for s in split]
+            self.memo, self.known = Numbers(), np.zeros(0, np.int64)
+        self.memo.new = []
+        numbers = [np.fromiter(map(self.memo.__getitem__, keys(p)), np.int64) for p in parts]
+        if self.memo.new:
+            self.known = np.concatenate([self.known, self._count([piece(k) for k in self.memo.new])])
+        return [int(self.known[x].sum()) for x in numbers]
 
     def batch(self, texts: list[str]) -> list[int]:
         """Tokens of each text: chunk maps, then a prefix scan over the chunks of each text."""

@@ -68,44 +68,42 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.memo, self.n = _Memo(), 0
+        from gablestone.llm._pieces import Numbers
+
+        self.memo, self.n = Numbers(), 0
         self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
         self.starts, self.sizes = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode pieces that the memo has numbered."""
-        from gablestone.llm._pieces import JOINABLE
-
-        joined, alone = [], []
-        for k, p in enumerate(new):
-            (joined if JOINABLE(p) else alone).append(k)
-        flat: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(new)
-        for i in range(0, len(alone), 2000):
-            for k, ids in zip(alone[i : i + 2000], self._ids([new[k] for k in alone[i : i + 2000]]), strict=True):
-                flat[k] = np.array(ids, np.uint32)
+    def _learn(self, keys: list) -> None:
+        """Encode the pieces of keys that the memo has numbered, in the order of their numbers."""
+        from gablestone.llm._pieces import JOINABLE, piece
+
+        new = [piece(k) for k in keys]
+        self.starts, self.sizes = _room(self.starts, self.n + len(new)), _room(self.sizes, self.n + len(new))
+        row: list[list] = []
+        joined = [k for k, p in enumerate(new) if JOINABLE(p)]
+        alone = set(range(len(new))).difference(joined)
         for i in range(0, len(joined), 1000):
             part = joined[i : i + 1000]
-            ids = np.array(self._ids(["".join(new[k] for k in part)])[0], np.uint32)
-            ends = np.cumsum([len(new[k].encode()) for k in part])
-            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="left") + 1
-            for k, x in zip(part, np.split(ids, cuts[:-1]), strict=True):
-                flat[k] = x
-        sizes = np.array([len(x) for x in flat], np.int64)
-        ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        self.pool = _room(self.pool, self.used + len(ids))
-        self.starts, self.sizes = _room(self.starts, self.n + len(new)), _room(self.sizes, self.n + len(new))
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.starts[self.n : self.n + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[self.n : self.n + len(new)] = sizes
-        self.used += len(ids)
+            row.append(["".join([new[k] for k in part]), np.array(part), np.cumsum([len(new[k].encode()) for k in part])])
+        row += [[new[k], np.array([k]), None] for k in sorted(alone)]
+        for i in range(0, len(row), 500):
+            for (_, part, ends), ids in zip(row[i : i + 500], self._ids([x[0] for x in row[i : i + 500]]), strict=True):
+                ids = np.array(ids, np.uint32)
+                cuts = np.array([len(ids)]) if ends is None else np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="left") + 1
+                self.pool = _room(self.pool, self.used + len(ids))
+                self.pool[self.used : self.used + len(ids)] = ids
+                self.starts[self.n + part] = self.used + np.concatenate([[0], cuts[:-1]])
+                self.sizes[self.n + part] = np.diff(cuts, prepend=0)
+                self.used += len(ids)
         self.n += len(new)
 
     def batch(self, texts: list[str]):
         """The ids of each text, as arrays."""
-        from gablestone.llm._pieces import MEMO, PIECE
+        from gablestone.llm._pieces import MEMO, keys
 
         if not self.by_piece:
             for t in texts:
@@ -121,8 +119,9 @@ class Encoder:
                 self._forget()
             memo = self.memo
             memo.new = []
-            numbers = [np.fromiter(map(memo.__getitem__, PIECE.findall(x)), np.int64) for x in part]
-            self._learn(memo.new)
+            numbers = [np.fromiter(map(memo.__getitem__, keys(x)), np.int64) for x in part]
+            if memo.new:
+                self._learn(memo.new)
             for x in numbers:
                 sizes = self.sizes[x]
                 ends = np.cumsum(sizes)
@@ -130,15 +129,6 @@ class Encoder:
             part, size = [], 0
 
 
-class _Memo(dict):
-    """Numbers of pieces; new ones are listed."""
-
-    def __missing__(self, piece):
-        self[piece] = k = len(self)
-        self.new.append(piece)
-        return k
-
-
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
 
