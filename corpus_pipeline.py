@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gablestone.llm import contamination, lang_id, near_dups, packing, quality_rules
 from gablestone.llm._base import scratch, table
+from gablestone.llm.queries import tokenizer_file
 
 #: SQL expresses neither the language models nor the sketches; tests compare with brute force.
 ORACLE_SQL = None
@@ -30,8 +31,8 @@ def decontamination(spark, docs, sf_dir):
 
 
 def pack(spark, docs, sf_dir):
-    """The pieces of the documents and their places in sequences."""
-    return packing.pack(docs)
+    """The pieces of the documents and their places in sequences, in tokens."""
+    return packing.pack(docs, tokenizer=tokenizer_file())
 
 
 STAGES = [

@@ -11,8 +11,8 @@ residuals holds, at each node, the sources that all bins below have: subtrees in
 the piece's source are passed over whole. Where no bin is compatible a new one is opened; nothing is
 dropped.
 
-Lengths are what the caller gives as a Column (token counts, say), or else words, with one end token
-a document. Clusters are texts that are equal but for case and white space.
+Lengths are tokens of a tokenizer file, with one end token a document, as the queries have it; or what
+the caller gives as a Column; or else words and an end. Clusters are texts that are equal but for case and white space.
 
 Defined results: a null or empty text is its end token; a null source is in conflict with nothing;
 repeated rows are one cluster and never share a bin; no rows give none; other columns are not read.
@@ -144,18 +144,34 @@ def pack_shard(rows: list[tuple], capacity: int = CAPACITY) -> list[tuple]:
 WORDS = (r"cast(size(filter(split(replace(translate(coalesce(text, ''), '\u0009\u000b\u000c\u000d', '    '), '\u000a', ' '), ' ', -1), w -> w <> '')) + 1 as bigint)")
 
 
-def lengths(docs: DataFrame, length=None) -> DataFrame:
+def lengths(docs: DataFrame, length=None, tokenizer: str | None = None) -> DataFrame:
     """doc_id, source, cluster, length of each document."""
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"\s+", " "))
-    length = F.expr(WORDS) if length is None else length
-    length = F.greatest(F.coalesce(length.cast("long"), F.lit(1)), F.lit(1))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64(plain).alias("cluster"), length.alias("length"))
+    kept = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64(plain).alias("cluster")]
+    if tokenizer is None:
+        length = F.expr(WORDS) if length is None else length
+        return docs.select(*kept, F.greatest(F.coalesce(length.cast("long"), F.lit(1)), F.lit(1)).alias("length"))
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        from gablestone.llm.token_counts import counter
+
+        count = counter(tokenizer)
+        for b in batches:
+            text, n = pc.fill_null(b.column("text"), ""), []
+            for i in range(0, len(text), 500):
+                n += count(text.slice(i, 500).to_pylist())
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "source", "cluster")], pc.add(pa.array(n, pa.int64()), 1)], names=["doc_id", "source", "cluster", "length"])
+
+    return docs.select(*kept, "text").mapInArrow(run, "doc_id long, source string, cluster long, length long")
 
 
-def pack(docs: DataFrame, length=None, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def pack(docs: DataFrame, length=None, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, tokenizer: str | None = None) -> DataFrame:
     """One row for each piece: doc_id, bin_id, piece (its number in the document), doc_start (where it
     begins there), length, bin_start (where it begins in the bin)."""
-    sized = cut(lengths(docs, length), "lengths")
+    sized = cut(lengths(docs, length, tokenizer), "lengths")
     shards = max(1, -(-sized.count() // shard_docs))
     sized = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
 

@@ -33,7 +33,7 @@ def op8_token_counts(spark, sf_dir):
 
 
 def op3_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=tokenizer_file())
 
 
 def op9_licenses(spark, sf_dir):

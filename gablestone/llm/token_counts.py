@@ -372,6 +372,20 @@ def _forgets_between(a: str, b: str) -> bool:
     return bool(a) and bool(b) and b[0] in _spaces() and a[-1] not in _spaces()
 
 
+def counter(tokenizer_file: str):
+    """The function from texts to their numbers of tokens."""
+    from gablestone.llm._pieces import splits_anywhere
+
+    if tokenizer_file.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file)
+        return lambda t: [len(x) for x in model.encode(t, num_threads=1)]
+    if splits_anywhere(tokenizer_file):
+        return Counter(tokenizer_file).batch
+    raise ValueError("this tokenizer's splitter or normalizer is not one that can be compiled")
+
+
 def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
 
@@ -379,17 +393,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> Da
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        from gablestone.llm._pieces import splits_anywhere
-
-        if tokenizer_file.endswith(".model"):
-            import sentencepiece
-
-            model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file)
-            count = lambda t: [len(x) for x in model.encode(t, num_threads=1)]
-        elif splits_anywhere(tokenizer_file):
-            count = Counter(tokenizer_file).batch
-        else:
-            raise ValueError("this tokenizer's splitter or normalizer is not one that can be compiled")
+        count = counter(tokenizer_file)
         for b in batches:
             text = pc.fill_null(b.column("text"), "")
             n: list[int] = []

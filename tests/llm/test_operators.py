@@ -187,6 +187,22 @@ def test_packing_keeps_all_and_no_conflict(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_the_query_packs_tokens(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from gablestone.llm import queries
+
+    library = Tokenizer.from_file(tokenizer_file())
+    more = spark.createDataFrame([(30_000, "QmFzZTY0" * 3000, None, None, None, None, None)], SCHEMA)  # without white space
+    docs.union(more).where("doc_id is not null").dropDuplicates(["doc_id"]).write.parquet(f"{tmp_path}/documents.parquet")
+    given = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in given.collect()}
+    for got in (queries.op3_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, given, str(tmp_path))):
+        assert {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == want
+        assert got.groupBy("bin_id").agg(F.sum("length").alias("n")).where(f"n > {packing.CAPACITY}").isEmpty()
+
+
 # Language models
 
 
