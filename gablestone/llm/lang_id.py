@@ -12,8 +12,9 @@ Characters are letters in lower case; runs of anything else are one space.
 Bounded sample: training texts are drawn by a hash of doc_id, `TRAIN_BYTES` of text a language on
 average, of the labelled training rows; one in `CALIBRATION` of those is kept apart. On these, the
 cross-entropies per language give mean, spread and the `1 - ALPHA` quantile of the standardised
-excess: a text whose excess is above three times the quantile is rejected, as is one whose
-runner-up is as likely as the winner. The score is the winner's posterior probability, tempered to
+excess: a text whose excess is above the quantile is rejected, as is one whose runner-up is as
+likely as the winner. A language with fewer than `FEW` calibration texts is judged by the texts of
+all languages together; where these too are fewer, only ties and texts without a letter go. The score is the winner's posterior probability, tempered to
 the calibration texts, and lowered for untypical texts.
 
 Defined results: a null text, or one without a letter, is `und` with score 0 and rejected; ties go
@@ -32,6 +33,7 @@ ORDER = 4
 TRAIN_BYTES = 2_000_000
 CALIBRATION = 5
 ALPHA = 0.001
+FEW = 20
 #: Characters of text worked on at once.
 SLICE = 1 << 20
 
@@ -191,12 +193,14 @@ class Identifier:
         truth = np.array([self.langs.index(x) for x in langs])
         for k in range(len(self.langs)):
             own = np.flatnonzero((truth == k) & (n > 0))
-            if len(own) < 20:
+            if len(own) < FEW:
+                own = np.flatnonzero(n > 0)
+            if len(own) < FEW:
                 continue
-            x, size = h[own, k], n[own]
+            x, size = h[own, truth[own]], n[own]
             self.mean[k] = np.average(x, weights=size)
             self.spread[k] = max(1e-6, np.sqrt(np.mean((x - self.mean[k]) ** 2 * size)))
-            self.bound[k] = 3 * max(3.0, np.quantile((x - self.mean[k]) * np.sqrt(size) / self.spread[k], 1 - ALPHA))
+            self.bound[k] = np.quantile((x - self.mean[k]) * np.sqrt(size) / self.spread[k], 1 - ALPHA, method="higher")
         # The temperature under which the calibration texts are likeliest.
         own = np.flatnonzero(n > 0)
         tried = 2.0 ** np.arange(0, 8)
@@ -218,9 +222,12 @@ class Identifier:
         rows = np.arange(len(texts))
         posterior = self._posterior(h, n, self.temper)[rows, best] if len(texts) else np.zeros(0)
         excess = (h[rows, best] - self.mean[best]) * np.sqrt(n) / self.spread[best]
-        typical = np.minimum(1, self.bound[best] / np.maximum(excess, 1e-9))
+        strange = excess > self.bound[best]
+        typical = np.where(strange, np.clip(self.bound[best] / np.maximum(excess, 1e-9), 0, 1), 1.0)
         score = np.where(n > 0, np.clip(posterior * typical, 0, 1), 0.0)
-        rejected = (n == 0) | (typical < 1) | (posterior <= 1 / max(2, len(self.langs)))
+        two = np.sort(h, 1)[:, :2]
+        tied = (two[:, 1] - two[:, 0]) * n <= 1e-9 if len(self.langs) > 1 else np.zeros(len(texts), bool)
+        rejected = (n == 0) | strange | tied
         return [self.langs[k] if m else "und" for k, m in zip(best, n, strict=True)], score, h[rows, best], rejected
 
 

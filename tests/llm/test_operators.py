@@ -354,6 +354,30 @@ def test_languages(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
 
 
+def test_unlearned_languages_are_rejected_and_clean_texts_stay(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    planted = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια", "人人生而自由在尊严和权利上一律平等", "xqzv kjwq zzxv qpwk vbxq jkzx wqxz vvkq",
+    ]
+    strange = spark.createDataFrame([(90_000 + i, 3 * f" {t}", None) for i, t in enumerate(planted)], d.schema)
+    kept = {r.doc_id for r in lang_id.keep(d.union(strange)).select("doc_id").collect()}
+    clean = {r.doc_id for r in d.where(lang_id.split(d)).collect()}
+    assert not kept & set(range(90_000, 90_000 + len(planted)))
+    assert len(kept & clean) >= 0.98 * len(clean)
+
+
+def test_ties_and_thinly_calibrated_languages():
+    columns, _ = lang_id._grams(*lang_id.letters(["the heon of ing tion"] * 3))
+    seen, counts = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
+    other, _ = lang_id._grams(*lang_id.letters(["zukeit auß einber"] * 3))
+    third = np.unique(np.stack(other, 1), axis=0, return_counts=True)
+    found = lang_id.Identifier({"en": (seen, counts.astype(float)), "xx": (seen, counts.astype(float)), "de": (third[0], third[1].astype(float))})
+    assert found.predict(["the heon of", "zukeit auß"])[3].tolist() == [True, False]
+    found.calibrate(["the heon of ing"] * 20 + ["zukeit auß einber"], ["en"] * 20 + ["de"])
+    assert np.isfinite(found.bound).all()
+
+
 def test_languages_without_labels(spark):
     d = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in lang_id.identify(d).collect()] == ["und"]
