@@ -1,7 +1,10 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, each normalised (lower case, white space and marks reduced) and mapped
-to the identifier of a known licence sentence, if it is one. The sequence of identifiers of the text
+A text is cut into lines and clauses, normalised (lower case, white space and marks reduced). Wrapped
+ones are rows of one sentence, to its mark or the end of the paragraph, over however many lines. In a
+row, known licence sentences are looked for from each line or clause on; one ends where a line or
+clause ends, the shortest is taken, and words before its own beginning are of the same line. What
+follows up to the mark belongs to it. The sequence of identifiers of the text
 is then matched against ordered licence rules: from each place, the first rule whose identifiers
 follow one another there (unknown sentences may lie between, up to `GAP`) takes its sentences, and
 the scan goes on behind them. Rules that ask for more come before those that ask for less, so that
@@ -83,9 +86,22 @@ RULES = [
 ]
 
 #: Every known sentence has one of these words.
-_HINT = r"(?i)licen[sc]e|copyright|©|rights reserved|redistribut|warrant|free software|permission|public domain"
-_END = re.compile(r"(?<=[.!?;])\s+(?=[^\W\d_]|\d+\. )|\n\s*\n|\n")
-_KNOWN = [(k, re.compile(p)) for k, p in SENTENCES]
+_HINT = r"(?i)licen[sc]e|copyright|©|rights\W+reserved|redistribut|warrant|free\W+software|permission|public\W+domain"
+_MARK = re.compile(r"(?<=[.!?;])\s+(?=[^\W\d_]|\d+\. )")
+_NUMBER = re.compile(r"\W*\d+[.)]")
+_FREE = "(?:.* )?"
+#: Where a pattern with free words before it may begin.
+_CUE = re.compile(r"(?:(?<=\s)|(?<![^\n]))(?:released|licensed|distributed|available|dedicated|subject|all)\b")
+
+
+def _over_lines(pattern: str) -> re.Pattern:
+    """The pattern over lines in a row: its spaces may be line ends, it ends with a line."""
+    s = pattern.removeprefix(_FREE).replace("[ -]", "[ \n-]").replace(".*", ".*?").replace("license)?", "license)??")
+    s = re.sub(r" (?!\n-\])", r"[ \\n]", s.replace("[ \n-]", "\0")).replace("\0", r"[ \n-]")
+    return re.compile(rf"(?:{s})(?=\n|\Z)", re.DOTALL)
+
+
+_KNOWN = [(k, _over_lines(p), p.startswith(_FREE)) for k, p in SENTENCES]
 
 
 def normalise(sentence: str) -> str:
@@ -93,42 +109,66 @@ def normalise(sentence: str) -> str:
     return re.sub(r"\s+", " ", s).strip(" .!?;:")
 
 
-def sentences(text: str) -> list[str]:
-    """Sentences by marks and lines. A line that only breaks a known sentence is joined to the next."""
-    return [x for x in (normalise(p) for p in _END.split(text)) if x]
+def sentences(text: str) -> list[list[str]]:
+    """Sentences by marks and paragraphs, each as the lines and clauses that it is wrapped in."""
+    out, row = [], []
+
+    def close():
+        if row:
+            out.append(row.copy())
+            row.clear()
+
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if not normalise(line):
+            close()
+            continue
+        clauses = _MARK.split(line.strip())
+        for k, c in enumerate(clauses):
+            if x := normalise(c):
+                row.append(x)
+            bare = c.rstrip(" \t\"'`”’*#/)")
+            if bare.endswith((".", "!", "?")) and not _NUMBER.fullmatch(c):
+                after = lines[i + 1].lstrip() if k + 1 == len(clauses) and i + 1 < len(lines) else ""
+                if not after[:1].isdigit() or _NUMBER.match(after):
+                    close()
+    close()
+    return out
 
 
 class Scanner:
-    def __init__(self):
-        self.memo: dict[str, str | None] = {}
-
-    def identify(self, sentence: str) -> str | None:
-        if sentence not in self.memo:
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            self.memo[sentence] = next((k for k, p in _KNOWN if p.fullmatch(sentence)), None)
-        return self.memo[sentence]
+    def identify(self, row: str, at: int) -> tuple[int, str] | None:
+        """(end, identifier) of the shortest known sentence that begins in the line there."""
+        end = row.find("\n", at)
+        cues = [m.start() for m in _CUE.finditer(row, at, len(row) if end < 0 else end)]
+        best = None
+        for name, pattern, free in _KNOWN:
+            for start in cues if free else (at,):
+                if name == "cc0" and row.find("cc0", start) < 0:
+                    break
+                m = pattern.match(row, start)
+                if m and (best is None or m.end() < best[0]):
+                    best = m.end(), name
+        return best
 
     def sequence(self, text: str) -> list[tuple[int, str]]:
-        """(number of the sentence, identifier) of the known sentences; broken lines are joined, two
-        to twelve, where that makes a known one."""
-        lines, out, i = sentences(text), [], 0
+        """(number of the sentence, identifier) of the known sentences; one that begins within a row
+        begins a sentence."""
+        out, number = [], -1
         hint = re.compile(_HINT)
-        near = [bool(hint.search(x)) for x in lines]
-        while i < len(lines):
-            found = self.identify(lines[i]) if near[i] or len(lines[i]) < 200 else None
-            used = 1
-            if found is None and any(near[i : i + 12]):
-                joined = lines[i]
-                for k in range(i + 1, min(len(lines), i + 12)):
-                    joined += f" {lines[k]}"
-                    hit = self.identify(joined)
-                    if hit:
-                        found, used = hit, k + 1 - i
-                        break
-            if found:
-                out.append((i + used - 1, found))
-            i += used
+        for lines in sentences(text):
+            row, at = "\n".join(lines), 0
+            number += 1
+            if not hint.search(row):
+                continue
+            while at < len(row):
+                hit = self.identify(row, at)
+                if hit:
+                    number += at > 0
+                    out.append((number, hit[1]))
+                    at = hit[0] + 1
+                else:
+                    at = row.find("\n", at) + 1 or len(row)
         return out
 
     def match(self, known: list[tuple[int, str]]) -> tuple[list[str], list[str]]:

@@ -416,3 +416,47 @@ def test_long_texts_are_scored_whole(monkeypatch):
 def test_licences(spark, text, licences):
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert licenses.scan(d).first().licenses == licences
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 X
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+BSD = """Copyright (c) 2020, X
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{1} either version {2} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+
+
+@pytest.mark.parametrize("text, licence, n", [
+    (MIT, "MIT", 5), (BSD, "BSD-3-Clause", 6), (BSD.replace(BSD[BSD.index("3. ") : BSD.index("THIS")], ""), "BSD-2-Clause", 5), (APACHE, "Apache-2.0", 5),
+    (GPL.format(":", ",", 3), "GPL-3.0-or-later", 3), (GPL.format(";", ";", 2), "GPL-2.0-or-later", 3),
+])
+@pytest.mark.parametrize("width, mark", [(10_000, ""), (78, ""), (78, "# "), (40, " * "), (12, "")])
+def test_whole_licences_wrapped(text, licence, n, width, mark):
+    import textwrap
+
+    wrapped = "\n".join(mark + x for p in text.split("\n") for x in textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False) or [""])
+    scanner = licenses.Scanner()
+    known = scanner.sequence(f"{wrapped}\n")
+    assert len(known) == n and scanner.match(known) == ([licence], ["copyright"] if licence.startswith("BSD") else [])
