@@ -87,7 +87,7 @@ RULES = [
 
 #: Every known sentence has one of these words.
 _HINT = r"(?i)licen[sc]e|copyright|©|rights\W+reserved|redistribut|warrant|free\W+software|permission|public\W+domain"
-_MARK = re.compile(r"(?<=[.!?;])\s+(?=[^\W\d_]|\d+\. )")
+_MARK = re.compile(r"(?<=[.!?;:])\s+(?=[^\W\d_]|\d+\. )")
 _NUMBER = re.compile(r"\W*\d+[.)]")
 _FREE = "(?:.* )?"
 #: Where a pattern with free words before it may begin.

@@ -460,3 +460,14 @@ def test_whole_licences_wrapped(text, licence, n, width, mark):
     scanner = licenses.Scanner()
     known = scanner.sequence(f"{wrapped}\n")
     assert len(known) == n and scanner.match(known) == ([licence], ["copyright"] if licence.startswith("BSD") else [])
+
+
+@pytest.mark.parametrize("text, licences", [
+    (" ".join(["Intro.", *MIT.split("\n\n")[2:], "Portions licensed under the Apache License, Version 2.0."]), ["MIT", "Apache-2.0"]),
+    ("Some prose.\nCopyright 2020 X.\nAll rights reserved.", ["Proprietary"]), ("some prose\nCopyright 2020 X\nAll rights reserved", ["Proprietary"]),
+    ("Released under the\nMIT License.", ["MIT"]), ("Licensed under CC BY 4.0\nReleased under the MIT License", ["CC-BY-4.0", "MIT"]), ("All rights\nreserved", []),
+    (MIT.replace(" ", "\n"), ["MIT"]),
+])
+def test_unknown_sentences_swallow_no_known_ones(text, licences):
+    scanner = licenses.Scanner()
+    assert scanner.match(scanner.sequence(text))[0] == licences
