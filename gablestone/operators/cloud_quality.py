@@ -28,27 +28,39 @@ def _around(points: DataFrame, size: float, own: str) -> DataFrame:
     return cell.withColumn("d", F.explode(F.array(*near))).withColumn("cx", F.col("cx") + F.col("d.i")).withColumn("cy", F.col("cy") + F.col("d.j")).drop("d")
 
 
-def neighbours(points: DataFrame, radius: float, keys: list[str], group: str = "building_id") -> DataFrame:
-    """Pairs of points of a group within a radius in the plane, each with itself too: the point's keys,
+def neighbours(points: DataFrame, radius: float, keys: list[str], group: str = "building_id", some: DataFrame | None = None) -> DataFrame:
+    """Pairs of points (or of some of them, with all) of a group within a radius in the plane, each with itself too: the point's keys,
     the other's x, y, z and the distance. Cells of the radius' size meet in an equi-join."""
-    a = _around(points, radius, "all").select(group, *keys, "x", "y", "cx", "cy")
+    a = _around(points if some is None else some, radius, "all").select(group, *keys, "x", "y", "cx", "cy")
     b = _around(points, radius, "one").select(group, "cx", "cy", *[F.col(k).alias(f"o_{k}") for k in keys], *[F.col(c).alias(f"o_{c}") for c in "xyz"])
     gap = F.hypot(F.col("x") - F.col("o_x"), F.col("y") - F.col("o_y"))
     return a.join(b, [group, "cx", "cy"]).withColumn("gap", gap).where(F.col("gap") <= radius).drop("cx", "cy")
 
 
-def spacing(points: DataFrame, keys: list[str], group: str = "building_id", start: float = 1.0, widest: float = 64.0) -> DataFrame:
+def _extent(points: DataFrame, group: str) -> DataFrame:
+    """The longest distance in the plane that two points of a group can have."""
+    return points.groupBy(group).agg(F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("extent"))
+
+
+def _placed(points: DataFrame, axes: str) -> DataFrame:
+    """Points whose place is known and finite."""
+    return points.where(" and ".join(f"abs(cast({c} as double)) < double('infinity')" for c in axes))
+
+
+def spacing(points: DataFrame, keys: list[str], group: str = "building_id", start: float = 1.0) -> DataFrame:
     """Median and 90 % quantile of the distance to the nearest other point, over all points. Points
-    without one in reach are looked at again with twice the reach, against all."""
+    without one in reach are looked at again with twice the reach, against all, up to the group's extent."""
+    points = _placed(points, "xy")
     other = reduce(lambda p, q: p | q, [F.col(k) != F.col(f"o_{k}") for k in keys])
-    todo, done, r = points, None, start
+    todo, done, r, extent = points, None, start, _extent(points, group).localCheckpoint()
     while True:
-        near = neighbours_of(todo, points, r, keys, group).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap"))
+        near = neighbours_of(todo, points, r, keys, group).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap")).localCheckpoint()
         done = near if done is None else done.union(near)
-        if r >= widest:
+        # A little more than the extent, so that rounding leaves no pair out.
+        todo = todo.join(near.select(group, *keys), [group, *keys], "left_anti").join(extent.where(F.col("extent") * 1.001 > r).select(group), group, "left_semi").localCheckpoint()
+        if todo.isEmpty():
             break
-        r *= 8
-        todo = points.join(done.select(group, *keys), [group, *keys], "left_anti")
+        r *= 2
     return done.groupBy(group).agg(F.percentile("gap", F.lit(0.5)).alias("spacing_p50"), F.percentile("gap", F.lit(0.9)).alias("spacing_p90"))
 
 
@@ -65,15 +77,29 @@ def roof_observations(points: DataFrame, keys: list[str], group: str = "building
     return points.join(local, [group, *keys]).withColumn("kept", (F.col("around") < minimum) | (F.col("z") >= F.col("p80") - below)).select(group, *keys, "around", "kept")
 
 
-def local_planes(points: DataFrame, keys: list[str], group: str = "building_id", k: int = 16, radius: float = 4.0, residual: float = 0.08, planarity: float = 0.15) -> DataFrame:
+def local_planes(points: DataFrame, keys: list[str], group: str = "building_id", k: int = 16, radius: float = 4.0, residual: float = 0.20, planarity: float = 0.30) -> DataFrame:
     """Share of points whose k nearest (itself included, in space) lie on a plane, and the median
     residual: the square root of the least eigenvalue of their covariance. Neighbours are looked for
-    within a radius in the plane; ties go by key."""
-    near = neighbours(points, radius, keys, group).join(points.select(group, *keys, F.col("z").alias("pz")), [group, *keys])
-    space = F.sqrt(F.col("gap") * F.col("gap") + (F.col("o_z") - F.col("pz")) * (F.col("o_z") - F.col("pz")))
-    order = Window.partitionBy(group, *keys).orderBy(space, *[f"o_{x}" for x in keys])
-    kept = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    cov = kept.groupBy(group, *keys).agg(*[F.covar_pop(f"o_{a}", f"o_{b}").alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")], F.count("*").alias("n")).where(F.col("n") >= 3)
+    within a radius in the plane, twice that for points whose k-th is farther, and so on up to the
+    group's extent; ties go by key."""
+    points = _placed(points, "xyz")
+    todo, cov, r, extent = points, None, radius, _extent(points, group).localCheckpoint()
+    while True:
+        near = neighbours(points, r, keys, group, todo).join(todo.select(group, *keys, F.col("z").alias("pz")), [group, *keys])
+        space = F.sqrt(F.col("gap") * F.col("gap") + (F.col("o_z") - F.col("pz")) * (F.col("o_z") - F.col("pz")))
+        order = Window.partitionBy(group, *keys).orderBy("space", *[f"o_{x}" for x in keys])
+        kept = near.withColumn("space", space).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        moments = [F.covar_pop(f"o_{a}", f"o_{b}").alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")]
+        found = kept.groupBy(group, *keys).agg(*moments, F.count("*").alias("n"), F.max("space").alias("far")).join(extent, group)
+        sure = ((F.col("n") >= k) & (F.col("far") <= r)) | (F.col("extent") * 1.001 <= r)
+        found = found.withColumn("sure", sure).localCheckpoint()
+        cov = found.where("sure") if cov is None else cov.union(found.where("sure"))
+        left = found.where("not sure").select(group, *keys)
+        if left.isEmpty():
+            break
+        todo = points.join(left, [group, *keys], "left_semi").localCheckpoint()
+        r *= 2
+    cov = cov.where(F.col("n") >= 3)
 
     @F.pandas_udf("low double, mid double, high double")
     def eigen(xx, xy, xz, yy, yz, zz):

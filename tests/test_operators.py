@@ -96,6 +96,27 @@ def test_planes(spark):
     assert flat.planar_support > 0.9 and flat.residual_p50 < 0.01
 
 
+def test_planes_and_spacing_of_a_sparse_roof(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    xyz = np.concatenate([rng.uniform(0, 20, (30, 3)) * [1, 1, 0.02], rng.uniform(0, 3, (20, 3)) * [1, 1, 0.1], [[150, 90, 5], [10, 10, 60]]])
+    points = cloud(spark, [(*p, 6) for p in xyz.tolist()])
+    low, flat = [], []
+    for p in xyz:
+        near = xyz[np.argsort(np.linalg.norm(xyz - p, axis=1), kind="stable")[:16]]
+        e = np.clip(np.linalg.eigvalsh(np.cov(near.T, bias=True)), 0, None)
+        low.append(math.sqrt(e[0]))
+        flat.append(low[-1] <= 0.20 and (e[1] - e[0]) / e[2] >= 0.30)
+    got = cloud_quality.local_planes(points, ["k"]).first()
+    assert got.planar_support == pytest.approx(sum(flat) / len(flat)) and got.residual_p50 == pytest.approx(float(np.median(low)), abs=1e-9)
+    gaps = [sorted(np.hypot(*(xyz - p)[:, :2].T))[1] for p in xyz]
+    got = cloud_quality.spacing(points, ["k"]).first()
+    assert (got.spacing_p50, got.spacing_p90) == pytest.approx((np.quantile(gaps, 0.5), np.quantile(gaps, 0.9)))
+    two = cloud_quality.spacing(cloud(spark, [(0, 0, 0, 6), (500, 0, 0, 6)]), ["k"]).first()
+    assert two.spacing_p50 == 500
+
+
 CUBE = [(x, y, z) for z in (0, 10) for x, y in ((0, 0), (10, 0), (10, 8), (0, 8))]
 FACES = [("GroundSurface", [0, 3, 2, 1]), ("RoofSurface", [4, 5, 6, 7])] + [("WallSurface", [i, (i + 1) % 4, (i + 1) % 4 + 4, i + 4]) for i in range(4)]
 
