@@ -1,42 +1,66 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 A document's set is its distinct word shingles, as 64-bit hashes; documents with one and the same
-set become one node, named by the smallest doc_id. A node's sketch is the K smallest hashes. Two
-sets with a Jaccard similarity of 0.8 or more share, but for a chance below 1e-8, at least OVERLAP
-values of sketches of K, so that two nodes that may be linked meet in the inverted list of one of
-their K - OVERLAP + 1 rarest sketch values (rarest by the number of nodes that hold a value, over
-all nodes). Lists are kept for those values only; values that one node holds need none. For sets
-below K the sketch is the whole set and the bound is exact.
-
-Lists of any length are worked through without all their pairs: in each round the next leaders of
-each list (the smallest nodes: 1, then up to 4, 16, 64 ...) meet the other members that are not yet in
-their component. Candidates pass three filters, the ratio of the set sizes and the common bits of the
-sketches' signatures, both within the join, and then the estimate from the union sketch (the K smallest of both), and are then confirmed on the full sets. Components are
-contracted after each round; a list is done when all its members have been leaders or are in one
-component. So a group of near copies costs a number of pairs proportional to its size, and a link
-between different texts is skipped only where both ends are in one component already.
+set become one node. A node's sketch is the K smallest hashes. The values that two sketches have
+among the K smallest of both are binomial at worst, so that two sets with a similarity of at least s
+have bound(s) values in common but for a chance of 1e-8 (sets below K are whole in their sketches).
+Two linked nodes therefore meet in the inverted list of one of their K - bound + 1 rarest sketch
+values (rarest by the number of nodes that hold a value, over all nodes; values that one node holds
+need no list). Lists are kept by value and size band, as linked sets differ in size by 1.25 at most.
+
+Lists of any length are worked through without all their pairs:
+
+1. The leader of a list is the node whose sketch is shared most, such as the original of a group of
+   copies. Each member meets its lists' leaders only. Where the sketches' union allows half the
+   similarity, the full sets are compared: a deviation is what leader and member do not share.
+2. What is similar to the leader leaves the list: of two linked nodes, one with a similarity of
+   1 - 1.5 d (0.7 for links at d = 0.2) to the leader, the other has 1 - 2.5 d (0.5) by the triangle
+   inequality, so that both have a deviation. Two nodes can be linked only if they share a large
+   part of these, at least half of the smaller; so inverted lists of the first half of each deviation
+   (values that the leader lacks come first, as they are rare) give all candidates. Members that are
+   linked to the leader need no links among one another, and are tried one a list before all.
+3. Lists that are left have their next leaders, as long as a round at least halves them. What then
+   remains has little in common, and is compared within its lists by sketches.
+
+Candidates of the last step are estimated from the union sketch and confirmed on the full sets; those
+of the second are decided by deviations, which say the same as the sets.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a text of fewer
 words than a shingle has the sequence of all its words as its only shingle; rows that repeat a
 doc_id are one document for links, and each row has its own n_shingles; a null doc_id has a null
-component and is kept; other columns are not read.
+component and is kept; other columns are not read. Sets are told apart by a 64-bit digest.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from math import comb
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablestone.llm._base import cut, texts
+from gablestone.llm._base import Work, texts, without
 
-K, OVERLAP = 48, 21
-#: The number of leaders of a list grows by this in each round.
-GROWTH = 4
-#: Bits of a node's signature: which of so many slots its sketch values fall into.
-WORDS = 4
+K = 64
+MISSED = 1e-8
 #: Bytes of text worked on at once.
 SLICE = 2 << 20
+#: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+#: Words of the bit sets that bound what two deviations share.
+BITS = 4
+
+
+@cache
+def bound(similarity: float) -> int:
+    """The values among the K smallest of two sets' union that both have at least."""
+    t, chance = 0, 0.0
+    while True:
+        chance += comb(K, t) * similarity**t * (1 - similarity) ** (K - t)
+        if chance > MISSED:
+            return t
+        t += 1
 
 
 def sets(column, width: int):
@@ -58,9 +82,18 @@ def sets(column, width: int):
         yield np.unique(key.view(np.int64))
 
 
+def _digest(s: np.ndarray) -> int | None:
+    """The name of a set; none for the empty one."""
+    from gablestone.llm._words import mix
+
+    if not len(s):
+        return None
+    u = s.view(np.uint64)
+    return int(mix(mix(u ^ np.uint64(len(s))).sum(keepdims=True) ^ u.sum(keepdims=True)).view(np.int64)[0])
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set (16 bytes that name the set; null for the empty one), sketch, and the
-    words of its signature."""
+    """doc_id, n_shingles, node (the digest of the set; null for the empty one) and sketch."""
 
     def run(batches):
         import pyarrow as pa
@@ -69,174 +102,207 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
         for b in batches:
             for at, n in _words.slices(b.column("text"), SLICE):
-                sizes, names, flat, bits = [], [], [], []
+                sizes, names, flat = [], [], []
                 for s in sets(b.column("text").slice(at, n), width):
                     sizes.append(len(s))
-                    u = s.view(np.uint64)
-                    names.append(np.array([u.sum(), _words.mix(u ^ np.uint64(len(s))).sum()], np.uint64).tobytes() if len(s) else None)
+                    names.append(_digest(s))
                     flat.append(s[:K])
-                    slot = np.zeros(WORDS * 64, np.uint8)
-                    slot[s[:K] & (WORDS * 64 - 1)] = 1
-                    bits.append(np.packbits(slot))
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(at, n).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat)))]
-                    + [pa.array(np.stack(bits).view(np.int64)[:, k]) for k in range(WORDS)],
-                    names=["doc_id", "n_shingles", "set", "sketch"] + [f"bits{k}" for k in range(WORDS)],
+                    [b.column("doc_id").slice(at, n).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat)))],
+                    names=["doc_id", "n_shingles", "node", "sketch"],
                 )
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set binary, sketch array<long>, " + ", ".join(f"bits{k} long" for k in range(WORDS)))
-
+    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch array<long>")
 
-#: How many values the sketches of two linked nodes have in common at least, by the size of one.
-_NEED = f"if(n < {K * 4 // 5}, ceil(n * 0.8D), {OVERLAP})"
 
-
-def _lists(nodes: DataFrame) -> DataFrame:
-    """(value, node, n, need, signature): the members of the inverted lists of each node's rarest
-    sketch values."""
+def _lists(nodes: DataFrame, percent: int) -> DataFrame:
+    """(value, band, node, rank): the members of the inverted lists of each node's rarest sketch
+    values, with how much of the sketch other nodes share."""
     rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
     held = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = rows.join(held, "value")
-    # The sketch has least(n, K) values; those that no other node holds are the rarest.
-    by_node = shared.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")).withColumn("need", F.expr(_NEED).cast("int"))
-    spare = F.least(F.col("n"), F.lit(K)) - F.col("need") + 1 - (F.least(F.col("n"), F.lit(K)) - F.size("values"))
-    kept = by_node.where(spare > 0).select("node", "n", "need", F.explode(F.slice("values", F.lit(1), F.greatest(spare, F.lit(1)).cast("int"))).alias("v"))
-    signature = F.array(*[f"bits{k}" for k in range(WORDS)]).alias("bits")
-    return kept.select("v.value", "node", "n", "need").join(nodes.select("node", signature), "node")
-
-
-def _candidates(lists: DataFrame, labels: DataFrame | None, after: int, upto: int) -> DataFrame:
-    """Pairs (a, b), a < b, of a leader and a member of its list that may be linked."""
-    from pyspark.sql import Window
-
-    if labels is not None:
-        lists = lists.join(labels.select(F.col("v").alias("node"), "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    else:
-        lists = lists.withColumn("c", F.col("node"))
-    rank = F.row_number().over(Window.partitionBy("value").orderBy("node"))
-    leaders = lists.withColumn("rank", rank).where(F.col("rank") <= upto).where(F.col("rank") > after)
-    leaders = leaders.select("value", *[F.col(x).alias(y) for x, y in (("node", "a"), ("n", "n_a"), ("c", "c_a"), ("need", "need_a"), ("bits", "bits_a"))])
-    # Values in common may share a bit; a few such chances are allowed for.
-    common = " + ".join(f"bit_count(bits[{k}] & bits_a[{k}])" for k in range(WORDS))
-    least = "if(least(need, need_a) >= 16, least(need, need_a) - 6, floor(least(need, need_a) * 0.6D) - 1)"
-    met = leaders.join(lists, "value").where(f"a < node and c_a <> c and 10 * least(n, n_a) >= 8 * greatest(n, n_a) and {common} >= {least}")
-    return met.select("a", F.col("node").alias("b")).distinct()
-
-
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose union sketch allows a similarity of 0.8."""
-    own = nodes.select("node", "sketch")
-    both = pairs.join(own.toDF("a", "s_a"), "a").join(own.toDF("b", "s_b"), "b")
-    union = F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, K)
-    both = both.withColumn("union", union).withColumn("shared", F.array_intersect("s_a", "s_b"))
-    agree = F.size(F.filter("shared", lambda x: x <= F.element_at("union", -1)))
-    return both.where(agree * K >= OVERLAP * F.size("union")).select("a", "b")
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
-    asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    # A doc_id may come with several sets; the node's own is the one that its name says.
-    named = asked.join(nodes.select(F.col("node").alias("doc_id"), "set"), "doc_id")
-    found = docs.join(asked, "doc_id", "left_semi")
-
-    def name(batches):
-        import pyarrow as pa
+    by_node = rows.join(held, "value").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
+    size = F.least("n", F.lit(K))
+    # Sketches of both are whole where the larger set can have K elements at most.
+    need = F.expr(f"if(n * 100 <= {K * percent}, (n * {percent} + 99) div 100, {bound(percent / 100)})")
+    # Values that no other node holds are the rarest.
+    spare = (size - need + 1 - (size - F.size("values"))).cast("int")
+    rank = (F.size("values") * 1000 / size).cast("int") * 100 + F.least(F.lit(99), (F.col("mass") / size * 4).cast("int"))
+    band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    kept = by_node.withColumn("spare", spare).where("spare > 0").select("node", rank.alias("rank"), band.alias("own"), F.explode(F.slice("values", F.lit(1), F.col("spare"))).alias("v"))
+    return kept.select(F.col("v.value").alias("value"), F.explode(F.array("own", F.col("own") + 1)).alias("band"), "node", "rank", "own")
 
-        from gablestone.llm import _words
 
-        for b in batches:
-            for at, n in _words.slices(b.column("text"), SLICE):
-                part = b.slice(at, n)
-                names = []
-                for s in sets(part.column("text"), width):
-                    u = s.view(np.uint64)
-                    names.append(np.array([u.sum(), _words.mix(u ^ np.uint64(len(s))).sum()], np.uint64).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(names, pa.binary())], names=["doc_id", "text", "set"])
+def _leaders(lists: DataFrame) -> DataFrame:
+    """The lists of two members and more, with their leaders c."""
+    top = lists.groupBy("value", "band").agg(F.max(F.struct("rank", "node")).alias("top"), F.count("*").alias("size")).where("size > 1")
+    return lists.join(top.select("value", "band", F.col("top.node").alias("c")), ["value", "band"])
+
+
+def _estimate(a: str, b: str, least: int):
+    """Whether the union of two sketches of ints allows so many common values of K."""
+    union = f"slice(sort_array(array_union({a}, {b})), 1, {K})"
+    return F.expr(f"element_at(transform(array({union}), u -> size(filter(array_intersect({a}, {b}), x -> x <= element_at(u, -1))) * {K} >= {least} * size(u)), 1)")
 
-    whole = texts(found).mapInArrow(name, "doc_id long, text string, set binary").join(named, ["doc_id", "set"], "left_semi")
-    whole = cut(whole.dropDuplicates(["doc_id", "set"]).select(F.col("doc_id").alias("node"), "text"), "dup-texts")
 
-    def compare(batches):
+def _sketch_of(nodes: DataFrame) -> DataFrame:
+    """(node, n, s): sketches by the upper halves of their values, which keep the order."""
+    return nodes.select("node", "n", F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int")).alias("s"))
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, percent: float) -> DataFrame:
+    """Of pairs (c, x) those that the sketches allow such a similarity."""
+    own = _sketch_of(nodes)
+    both = pairs.join(own.toDF("c", "n_c", "s_c"), "c").join(own.toDF("x", "n_x", "s_x"), "x")
+    both = both.where(100 * F.least("n_c", "n_x") >= percent * F.greatest("n_c", "n_x"))
+    return both.where(_estimate("s_c", "s_x", bound(percent / 100))).select("c", "x", "n_c", "n_x")
+
+
+def _full_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, s): the sets of the nodes asked for, from one document of each."""
+    named = asked.join(nodes.select("node", "first"), "node").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
+    if asked.count() <= BROADCAST_IDS:
+        named = F.broadcast(named)
+
+    def run(batches):
         import pyarrow as pa
 
-        last: tuple = (None, None)
+        from gablestone.llm import _words
+
         for b in batches:
-            keep = []
-            a, own, other = b.column("a").to_pylist(), b.column("t_a"), b.column("t_b")
-            for i in range(b.num_rows):
-                if a[i] != last[0]:
-                    last = a[i], next(sets(own.slice(i, 1), width))
-                y = next(sets(other.slice(i, 1), width))
-                both = len(np.intersect1d(last[1], y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(last[1]) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    both = pairs.join(whole.toDF("b", "t_b"), "b").join(whole.toDF("a", "t_a"), "a").select("a", "t_a", "b", "t_b")
-    return both.mapInArrow(compare, "a long, b long")
-
-
-def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """(v, c): the smallest vertex c that each vertex v of edges (a, b) reaches, from earlier labels
-    on. Labels go to neighbours and jump to their labels' labels until nothing changes."""
-    edges = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
-    labels = cut(edges.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v")), "labels")
+            for at, n in _words.slices(b.column("text"), SLICE):
+                own = [(w, s) for w, s in zip(b.column("wanted").slice(at, n).to_pylist(), sets(b.column("text").slice(at, n), width), strict=True) if _digest(s) == w]
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))], names=["node", "s"])
+
+    # A doc_id may come with several texts; the node's own is the one that its digest says.
+    return texts(docs).join(named, "doc_id").select("text", "wanted").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: float, work: Work, tag: str) -> DataFrame:
+    """(c, x, n_c, n_x, linked, dev): pairs that the sketches allow, with what their full sets do not
+    share: first what c lacks, then what x lacks."""
+    pairs = work.cut(pairs, f"{tag}-pairs")
+    asked = pairs.select(F.col("c").alias("node")).union(pairs.select("x")).distinct()
+    whole = work.cut(_full_sets(asked, docs, nodes, width), f"{tag}-sets")
+    both = pairs.join(whole.toDF("c", "s_c"), "c").join(whole.toDF("x", "s_x"), "x")
+    dev = F.concat(F.array_except("s_x", "s_c"), F.array_except("s_c", "s_x"))
+    out = work.cut(both.select("c", "x", "n_c", "n_x", dev.alias("dev")).withColumn("linked", _links("size(dev)", "n_c + n_x", percent)), tag)
+    work.drop(f"{tag}-pairs", f"{tag}-sets")
+    return out
+
+
+def _links(apart: str, both: str, percent: float):
+    """Whether sets of so many elements together, so many of them not shared, have the similarity."""
+    return F.expr(f"({apart}) * cast({100 + percent} as bigint) <= ({both}) * cast({100 - percent} as bigint)")
+
+
+def _by_deviation(met: DataFrame, percent: int, work: Work, tag: str) -> DataFrame:
+    """Links (a, b) between members x of one leader c, one of them not linked with c."""
+    p, q = 100 + percent, 100 - percent
+    crowd = met.groupBy("c").agg(F.count("*").alias("k"), F.sum(F.when(~F.col("linked"), 1).otherwise(0)).alias("out")).where("k > 1 and out > 0")
+    word = lambda k: f"aggregate(dev, 0L, (a, v) -> if(shiftright(v, 6) & {BITS - 1} = {k}, a | shiftleft(1L, cast(v & 63 as int)), a))"
+    met = met.join(crowd.select("c"), "c", "left_semi").withColumn("d", F.size("dev").cast("long"))
+    # What a link with a member takes of both deviations; with a member that is not linked to c, and
+    # with one that is.
+    met = met.withColumn("short", F.expr(f"cast(d - (d * {p} + (n_c - n_x) * {q}) div {2 * p} as int)"))
+    met = met.withColumn("long", F.expr(f"cast(d - greatest(1, ceil((d * {p} - (n_x + n_c) * {q}) / {2 * p}.0D)) + 1 as int)"))
+    entry = met.withColumn("bits", F.expr(f"array({', '.join(map(word, range(BITS)))})"))
+    entry = entry.select("c", "x", "n_x", "d", "linked", "short", "bits", F.posexplode(F.expr("slice(dev, 1, if(linked, short, greatest(short, long)))")).alias("at", "v"))
+    entry = entry.select(F.xxhash64("c", "v").alias("key"), "c", "x", "n_x", "d", "linked", (F.col("at") < F.col("short")).alias("early"), "bits")
+    entry = work.cut(entry, f"{tag}-entries")
+    columns = [c for c in entry.columns if c != "key"]
+    ours = entry.where("not linked").select("key", *[F.col(c).alias(f"o_{c}") for c in columns])
+    extra = lambda a, b: " + ".join(f"bit_count({a}bits[{k}] & ~{b}bits[{k}])" for k in range(BITS))
+    # At most so many values are in both deviations.
+    shared = f"least(d - ({extra('', 'o_')}), o_d - ({extra('o_', '')}))"
+    may = f"o_c = c and o_x <> x and {2 * p} * ({shared}) >= {p} * (d + o_d) - {q} * (n_x + o_n_x)"
+
+    def confirmed(found: DataFrame, name: str) -> DataFrame:
+        found = found.select("c", F.col("o_x").alias("a"), F.col("x").alias("b")).distinct()
+        dev = met.select("c", "x", "n_x", "dev")
+        both = found.join(dev.toDF("c", "a", "n_a", "d_a"), ["c", "a"]).join(dev.toDF("c", "b", "n_b", "d_b"), ["c", "b"])
+        return work.cut(both.where(_links("size(d_a) + size(d_b) - 2 * size(array_intersect(d_a, d_b))", "n_a + n_b", percent)).select("c", "a", "b"), name)
+
+    nearest = entry.where("linked").groupBy("key", "c").agg(F.min(F.struct("d", "x", "n_x", "bits")).alias("m")).select("key", "c", "m.*")
+    first = confirmed(ours.join(nearest, "key").where(may), f"{tag}-first")
+    done = first.select(F.col("c").alias("o_c"), F.col("a").alias("o_x")).distinct()
+    rest = ours.join(done, ["o_c", "o_x"], "left_anti")
+    second = confirmed(rest.join(entry, "key").where(f"{may} and (linked or o_early and early)"), f"{tag}-second")
+    return first.union(second).select("a", "b")
+
+
+def _within_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (c, x) of the members of a list that their sketches allow, each in one list only."""
+    prefix = lists.groupBy("node").agg(F.sort_array(F.collect_set("value")).alias("values"))
+    rows = lists.select("value", "band", "node", "own").join(prefix, "node").join(_sketch_of(nodes), "node")
+    ours = rows.select("value", "band", *[F.col(c).alias(f"{c}_c") for c in ("node", "own", "values", "n", "s")])
+    # A pair is looked at in the list of its smallest common value, in the band of the larger set.
+    once = F.expr("node_c < node and band = greatest(own, own_c)") & (100 * F.least("n", "n_c") >= percent * F.greatest("n", "n_c")) & F.expr("array_min(array_intersect(values, values_c)) = value")
+    met = ours.join(rows, ["value", "band"]).where(once & _estimate("s_c", "s", bound(percent / 100)))
+    return met.select(F.col("node_c").alias("c"), F.col("node").alias("x"), "n_c", F.col("n").alias("n_x")).distinct()
+
+
+def components(edges: DataFrame, work: Work) -> DataFrame:
+    """(v, c): the smallest vertex c that each vertex v of edges (a, b) reaches. Labels go to
+    neighbours and jump to their labels' labels until nothing changes."""
+    edges = work.cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    labels, k = work.cut(edges.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v")), "labels-0"), 0
     while True:
         near = edges.join(labels, edges["b"] == labels["v"]).groupBy(F.col("a").alias("v")).agg(F.min("c").alias("near"))
-        step = labels.join(near, "v", "left").select("v", F.col("c").alias("old"), F.least("c", "near").alias("c"))
-        step = cut(step, "labels")
+        step = work.cut(labels.join(near, "v", "left").select("v", F.col("c").alias("old"), F.least("c", "near").alias("c")), f"step-{k}")
         jump = step.select(F.col("v").alias("_v"), F.col("c").alias("_c"))
-        new = cut(step.join(jump, step["c"] == jump["_v"], "left").select("v", "old", F.least("c", "_c").alias("c")), "labels")
-        labels = new.select("v", "c")
+        new = work.cut(step.join(jump, step["c"] == jump["_v"], "left").select("v", "old", F.least("c", "_c").alias("c")), f"labels-{k + 1}")
+        work.drop(f"labels-{k}", f"step-{k}")
+        labels, k = new.select("v", "c"), k + 1
         if new.where("c <> old").isEmpty():
             return labels
 
 
-def _contracted(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Labels after further links: only the components that the links join are worked on."""
-    if labels is None:
-        return components(links)
-    own = labels.select(F.col("v").alias("_v"), F.col("c").alias("_c"))
-    named = links.join(own, links["a"] == own["_v"], "left").select(F.coalesce("_c", "a").alias("a"), "b")
-    named = named.join(own, named["b"] == own["_v"], "left").select("a", F.coalesce("_c", "b").alias("b"))
-    joined = components(named.where("a <> b").distinct()).select(F.col("v").alias("_v"), F.col("c").alias("_new"))
-    fresh = joined.select(F.col("_v").alias("v")).join(labels.select("v"), "v", "left_anti").withColumn("c", F.col("v"))
-    whole = labels.union(fresh)
-    return cut(whole.join(joined, whole["c"] == joined["_v"], "left").select("v", F.coalesce("_new", "c").alias("c")), "labels")
-
-
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
-    if percent < 80:
+    if not 80 <= percent < 100:
         raise ValueError("sketches are laid out for similarities of 0.8 and more")
-    rows = cut(sketches(docs, width), "sketches")
-    bits = [f"bits{k}" for k in range(WORDS)]
-    nodes = rows.where("set is not null and doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), *[F.first(x).alias(x) for x in bits])
-    nodes = cut(nodes, "dup-nodes")
-    lists = cut(_lists(nodes), "dup-lists")
-    # Documents of one doc_id and several sets hold their nodes together.
-    named = rows.where("set is not null and doc_id is not null").select("doc_id", "set").join(nodes.select("set", "node"), "set")
-    labels = components(named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where("size(all) > 1").select("a", F.explode("all").alias("b")))
-    after, upto = 0, 1
-    while True:
-        pairs = cut(_estimated(_candidates(lists, labels, after, upto), nodes), "pairs")
-        links = cut(_confirmed(pairs, docs, nodes, width, percent), "links")
-        labels = _contracted(labels, links)
-        left = lists.join(labels.select(F.col("v").alias("node"), "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
-        # Lists in which two members outside the leaders so far are not in one component.
-        open_ = left.groupBy("value").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high")).where(f"size > {upto + 1} and low <> high")
-        lists = cut(lists.join(open_.select("value"), "value", "left_semi"), "dup-lists")
-        if lists.isEmpty():
+    with Work(docs.sparkSession, "near-dups") as work:
+        return work.keep(_groups(docs, width, percent, work))
+
+
+def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
+    away = 100 - percent
+    rows = work.cut(sketches(docs, width), "rows")
+    named = rows.where("node is not null and doc_id is not null")
+    nodes = named.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = work.cut(nodes, "nodes")
+    lists = work.cut(_leaders(_lists(nodes, percent)), "lists-0")
+    links, k, size = [], 0, lists.count()
+    while size:
+        met = _compared(_near(lists.select("c", F.col("node").alias("x")).where("c <> x").distinct(), nodes, 100 - 2.5 * away), docs, nodes, width, percent, work, f"met-{k}")
+        links.append(met.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
+        close = met.where(_links("size(dev)", "n_c + n_x", 100 - 2.5 * away))
+        links.append(_by_deviation(close, percent, work, f"dev-{k}"))
+        gone = met.where(_links("size(dev)", "n_c + n_x", 100 - 1.5 * away)).select("c", F.col("x").alias("node"))
+        left = _leaders(lists.where("node <> c").join(gone, ["c", "node"], "left_anti").drop("c"))
+        lists = work.cut(left, f"lists-{k + 1}")
+        work.drop(f"lists-{k}")
+        before, size, k = size, lists.count(), k + 1
+        if size > before // 2:
             break
-        after, upto = upto, upto * GROWTH
-    out = rows.join(nodes.select("set", "node"), "set", "left").join(labels, F.col("node") == F.col("v"), "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("c", "node", "doc_id"))
+    if size:
+        rest = _compared(_within_lists(lists, nodes, percent), docs, nodes, width, percent, work, "rest")
+        links.append(rest.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
+    # Documents of one doc_id and several sets hold their nodes together.
+    links.append(named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where("size(all) > 1").select("a", F.explode("all").alias("b")))
+    edges = links[0]
+    for more in links[1:]:
+        edges = edges.union(more)
+    labels = components(edges, work)
+    lowest = nodes.join(labels, nodes["node"] == labels["v"]).groupBy("c").agg(F.min("first").alias("component_id"))
+    lowest = labels.join(lowest, "c").select(F.col("v").alias("node"), "component_id")
+    out = rows.select("doc_id", "n_shingles", "node").join(nodes.select("node", "first"), "node", "left").join(lowest, "node", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "first", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that are near copies of another that stays, with their columns;
     of rows that repeat the doc_id that stays, all stay."""
-    gone = groups(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    return without(docs, groups(docs, width, percent).where("not kept").select("doc_id"))
