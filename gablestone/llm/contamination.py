@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablestone.llm._base import cut, texts
+from gablestone.llm._base import Work, cut, texts, without
 
 WINDOW = 13
 SEGMENT_BYTES = 8 << 20
@@ -52,7 +52,7 @@ def _open(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
 
 
-def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES, work: Work | None = None) -> DataFrame:
     """The table of segments of docs (doc_id, text), written to the shared folder."""
 
     def run(batches):
@@ -78,7 +78,8 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
-    return cut(texts(docs).mapInArrow(run, SEGMENTS), "segments")
+    segments = texts(docs).mapInArrow(run, SEGMENTS)
+    return work.cut(segments, "segments") if work else cut(segments, "segments")
 
 
 class Block:
@@ -198,11 +199,12 @@ def matches(segments: DataFrame, items: DataFrame, window: int = WINDOW, slop: i
     in the document; with slop, of the place where the phrase would begin."""
     if window + slop >= GAP:
         raise ValueError(f"window and slop must be below {GAP} together")
-    held = _frequencies(segments, _blocks(items, window))
+    held, kind = _frequencies(segments, _blocks(items, window)), _id_type(items)
 
     def run(batches):
         import pyarrow as pa
 
+        of = pa.string() if kind == "string" else pa.int64()
         for s in _segments(batches):
             for block in map(_load, held):
                 w, base = _phrases(block, s, slop)
@@ -210,9 +212,14 @@ def matches(segments: DataFrame, items: DataFrame, window: int = WINDOW, slop: i
                 rows = [
                     {"doc_id": None if s["is_null"][d] else int(s["doc_ids"][d]), "item_id": i, "place": int(p - s["limits"][d])} for k, d, p in zip(w, doc, base, strict=True) for i in block.items[k]
                 ]
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("place", pa.int64())]))
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("item_id", of), ("place", pa.int64())]))
 
-    return segments.mapInArrow(run, "doc_id long, item_id long, place long")
+    return segments.mapInArrow(run, f"doc_id long, item_id {kind}, place long")
+
+
+def _id_type(items: DataFrame) -> str:
+    """item_ids are integers or strings."""
+    return "string" if items.schema["item_id"].dataType.simpleString() == "string" else "long"
 
 
 def _load(held) -> Block:
@@ -225,11 +232,12 @@ def _load(held) -> Block:
 def contamination(segments: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """For each indexed document: doc_id, n_words, n_hit (words inside an occurrence of a window),
     n_items, items_sha256 (of the sorted item ids, joined by commas), contaminated, items."""
-    held = _frequencies(segments, _blocks(items, window))
+    held, kind = _frequencies(segments, _blocks(items, window)), _id_type(items)
 
     def run(batches):
         import pyarrow as pa
 
+        of = pa.string() if kind == "string" else pa.int64()
         for s in _segments(batches):
             limits, n_docs = s["limits"], len(s["doc_ids"])
             edge = np.zeros(int(limits[-1]) + 1, np.int64)
@@ -248,20 +256,22 @@ def contamination(segments: DataFrame, items: DataFrame, window: int = WINDOW) -
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(s["doc_ids"], pa.int64(), mask=s["is_null"]), pa.array(s["n_words"], pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in lists], pa.int64()),
-                    pa.array(digest), pa.array((n_hit > 0) & (20 * n_hit >= s["n_words"])), pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(digest), pa.array((n_hit > 0) & (20 * n_hit >= s["n_words"])), pa.array(lists, pa.list_(of)),
                 ],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
             )
 
-    return segments.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>")
+    return segments.mapInArrow(run, f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<{kind}>")
 
 
 def op2(docs: DataFrame, items: DataFrame) -> DataFrame:
-    return contamination(build_index(docs), items).drop("items")
+    with Work(docs.sparkSession, "contamination") as work:
+        return work.keep(contamination(build_index(docs, work=work), items).drop("items"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns; rows that share a doc_id go if
     one of them is."""
-    bad = contamination(build_index(docs), items).where("contaminated").select(F.col("doc_id").alias("_bad"), F.lit(True).alias("_hit")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & F.col("_hit"), "left_anti").select(*docs.columns)
+    with Work(docs.sparkSession, "contaminated") as work:
+        bad = work.keep(contamination(build_index(docs, work=work), items).where("contaminated").select("doc_id"))
+    return without(docs, bad)

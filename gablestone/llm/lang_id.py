@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gablestone.llm._base import unused
+
 ORDER = 4
 TRAIN_BYTES = 2_000_000
 CALIBRATION = 5
@@ -266,8 +268,8 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> Identifier:
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
 
-def predict(docs: DataFrame, identifier: Identifier) -> DataFrame:
-    """docs with the columns of PREDICTED; only texts are looked at."""
+def predict(docs: DataFrame, identifier: Identifier, name: str = "found") -> DataFrame:
+    """docs with a struct of PREDICTED of that name; only texts are looked at."""
     held = docs.sparkSession.sparkContext.broadcast(identifier)
 
     @F.pandas_udf(PREDICTED)
@@ -277,7 +279,7 @@ def predict(docs: DataFrame, identifier: Identifier) -> DataFrame:
         lang, score, h, rejected = held.value.predict([t or "" for t in text])
         return pd.DataFrame({"lang_pred": lang, "score": score, "cross_entropy": h, "rejected": rejected})
 
-    return docs.withColumn("_lang", label(F.col("text")))
+    return docs.withColumn(name, label(F.col("text")))
 
 
 def split(docs: DataFrame, folds: int = 4, held: int = 2):
@@ -289,10 +291,10 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every document."""
     docs = docs.select("doc_id", "text", "lang")
     found = predict(docs.select("doc_id", "text", split(docs).alias("held_out")), train(docs.where(~split(docs))))
-    return found.select("doc_id", "held_out", "_lang.lang_pred", "_lang.score", "_lang.rejected")
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents whose language is not rejected, with their columns."""
-    found = predict(docs, train(docs.where(~split(docs))))
-    return found.where(~F.col("_lang.rejected")).select(*docs.columns)
+    name, = unused(docs, "found")
+    return predict(docs, train(docs.where(~split(docs))), name).where(~F.col(f"{name}.rejected")).drop(name)

@@ -2,20 +2,22 @@
 
 Each rule is a share of a text in thousandths (symbols, words in repeated windows, words equal to
 the one before, repeated lines) and rejects from a cutoff on. The cutoff is chosen on a labelled
-holdout, for each stratum (language) and rule: a cutoff is certified when the exact binomial test
-rejects "at least `limit` of the good documents of this stratum would be rejected", that is
-P(Bin(n, limit) <= k) <= delta / (strata * rules) for k of n good documents rejected. Cutoffs are
-tried from the loosest to the tightest (fixed-sequence testing) and Bonferroni's correction covers
-strata and rules, so with probability 1 - delta no rule rejects more than `limit` of a stratum's
-good documents. Where nothing can be certified the rule stays off: few labels never cost documents.
+holdout, for each stratum (language) and rule. The stratum's limit of false rejections is dealt out
+evenly to the rules, so that all together keep it: a cutoff is certified when the exact binomial test
+rejects "at least limit / rules of the good documents of this stratum would be rejected by this
+rule", that is P(Bin(n, limit / rules) <= k) <= delta / (strata * rules) for k of n good documents
+rejected. Cutoffs are tried from the loosest to the tightest (fixed-sequence testing) and
+Bonferroni's correction covers strata and rules, so with probability 1 - delta no stratum loses more
+than `limit` of its good documents. Where nothing can be certified the rule stays off: few labels
+never cost documents. A trial is a labelled document: repeated labels and repeated rows of one doc_id
+are one (rejected if one of its rows is), and it is good if all its labels say so.
 
 Words are `[^\\x20\\x09-\\x0D]+`. Windows are found by hash; a text in which two hashes agree is
 worked out again on the words themselves.
 
 Defined results: a null or empty text has no words and fails the base rule; a null language is a
-stratum of its own; labels that are null or of unknown documents count for nothing, repeated labels
-count each time; repeated rows are judged each by itself; other columns, whatever their names, are
-kept by judged() and dropped by report().
+stratum of its own; labels that are null or of unknown documents count for nothing; repeated rows are
+judged each by itself; keep() returns other columns, whatever their names, and report() drops them.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablestone.llm._base import cut
+from gablestone.llm._base import Work
 
 WINDOW = 8
 #: The loosest first.
@@ -80,15 +82,16 @@ def _base_failed(f: str):
 
 def thresholds(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
     """(stratum, cuts): for each stratum a map from rule to the tightest certified cutoff; rules
-    without one are absent. counted: doc_id, _stratum and _f of the documents."""
-    good = labels.where("quality = 1 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"))
-    seen = counted.select("doc_id", F.col("_stratum").alias("stratum"), F.col("_f").alias("f")).join(good, "doc_id")
+    without one are absent. counted: doc_id, stratum and f of the documents."""
+    limit /= len(RULES)
+    good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("good")).where("good = 1").select("doc_id")
+    seen = counted.select("doc_id", "stratum", "f").join(good, "doc_id")
     shares = _shares("f")
     # A null array gives no rows; a filter would be pushed below the counting and count again.
     passed = F.when(~_base_failed("f"), F.array(*[F.struct(F.lit(r).alias("rule"), shares[r].alias("share")) for r in RULES]))
-    rows = seen.select("stratum", "times", F.explode(passed).alias("s")).select("stratum", "times", "s.rule", "s.share")
+    rows = seen.select("doc_id", "stratum", F.explode(passed).alias("s")).groupBy("doc_id", "stratum", "s.rule").agg(F.max("s.share").alias("share"))
     # A row for each stratum, rule and share first; shares are whole thousandths.
-    rows = rows.groupBy("stratum", "rule", "share").agg(F.sum("times").alias("times"))
+    rows = rows.groupBy("stratum", "rule", "share").agg(F.count("*").alias("times"))
     counts = rows.groupBy("stratum", "rule").agg(F.sum("times").alias("n"), F.array(*[
         F.struct(F.lit(c).alias("cutoff"), F.sum(F.when(F.col("share") >= c, F.col("times")).otherwise(0)).alias("k")) for c in CUTOFFS
     ]).alias("tried"))
@@ -103,29 +106,30 @@ def thresholds(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, delt
     return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", keep_text: bool = True) -> DataFrame:
-    """docs with columns _f (counts), _base_failed and _kept. The counts are worked out once and
-    written: the cutoffs and the verdicts both read them."""
-    names = [c for c in docs.columns if keep_text or c in ("doc_id", stratum)]
-    counted = docs.withColumn("_stratum", F.coalesce(F.col(stratum), F.lit(""))).withColumn("_f", features())
-    counted = cut(counted.select(*names, "_stratum", "_f"), "quality-counts")
-    cuts = cut(thresholds(counted, labels), "quality-cuts").select(F.col("stratum").alias("_key"), F.col("cuts").alias("_cuts"))
+def _judged(docs: DataFrame, labels: DataFrame, work: Work) -> DataFrame:
+    """docs (doc_id, text, stratum, row) as doc_id, row, f (counts), base_failed and kept. The counts
+    are worked out once and written: the cutoffs and the verdicts both read them."""
+    counted = docs.select("doc_id", "row", F.coalesce("stratum", F.lit("")).alias("stratum"), features().alias("f"))
+    counted = work.cut(counted, "counts")
+    cuts = work.cut(thresholds(counted, labels), "cuts").withColumnRenamed("stratum", "key")
     cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_STRATA else cuts
-    out = counted.join(cuts, F.col("_key") == F.col("_stratum"), "left")
+    out = counted.join(cuts, F.col("key") == F.col("stratum"), "left")
     rejected = F.lit(False)
-    for rule, share in _shares("_f").items():
-        rejected = rejected | F.coalesce(share >= F.try_element_at("_cuts", F.lit(rule)), F.lit(False))
-    return out.withColumn("_base_failed", _base_failed("_f")).withColumn("_kept", ~F.col("_base_failed") & ~rejected).drop("_stratum", "_key", "_cuts")
+    for rule, share in _shares("f").items():
+        rejected = rejected | F.coalesce(share >= F.try_element_at("cuts", F.lit(rule)), F.lit(False))
+    return out.select("doc_id", "row", "f", _base_failed("f").alias("base_failed"), (~_base_failed("f") & ~rejected).alias("kept"))
 
 
 def report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
-    base = docs.select("doc_id", "text", F.col(stratum).alias("lang"))
+    base = docs.select("doc_id", "text", F.col(stratum).alias("stratum"), F.lit(None).cast("string").alias("row"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    out = judged(base, labels, "lang", keep_text=False)
-    return out.select("doc_id", *[f"_f.{c}" for c in counts], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    with Work(docs.sparkSession, "quality") as work:
+        return work.keep(_judged(base, labels, work).select("doc_id", *[f"f.{c}" for c in counts], "base_failed", "kept"))
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns."""
-    return judged(docs, labels).where("_kept").select(*docs.columns)
+def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The documents that pass, with their columns, which travel as one so that no name clashes."""
+    base = docs.select("doc_id", "text", F.col(stratum).alias("stratum"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    with Work(docs.sparkSession, "quality") as work:
+        return work.keep(_judged(base, labels, work).where("kept").select("row.*"))

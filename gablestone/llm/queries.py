@@ -82,11 +82,12 @@ b as (select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_fa
     [{'rule': 'symbols', 'share': n_symbols * 1000 // greatest(word_chars, 1)}, {'rule': 'repeats', 'share': n_repeat_words * 1000 // greatest(n_words, 1)},
      {'rule': 'adjacent', 'share': n_adjacent * 1000 // greatest(n_words, 1)}, {'rule': 'lines', 'share': n_dup_lines * 1000 // greatest(n_lines, 1)}] as shares
   from f),
-good as (select b.stratum, s.rule, s.share from (select stratum, doc_id, unnest(shares) as s from b where not base_failed) b join labels on labels.doc_id = b.doc_id and quality = 1),
+good as (select b.stratum, b.doc_id, s.rule, max(s.share) as share from (select stratum, doc_id, unnest(shares) as s from b where not base_failed) b
+  join (select doc_id from labels group by doc_id having min(quality) = 1) l on l.doc_id = b.doc_id group by all),
 tried as (select stratum, rule, c.cutoff, count(*) as n, count(*) filter (where share >= c.cutoff) as k
   from good cross join (values (900), (700), (500), (300), (200), (100), (50), (30), (20), (10)) as c(cutoff) group by all),
-p as (select *, case when k >= n * 0.01::double then 1 else list_sum(list_transform(range(0, k + 1), lambda i:
-    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01::double) + (n - i) * ln(0.99::double)))) end as tail,
+p as (select *, case when k >= n * 0.0025::double then 1 else list_sum(list_transform(range(0, k + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.0025::double) + (n - i) * ln(0.9975::double)))) end as tail,
     (select count(distinct stratum) from good) * 4 as families from tried),
 cuts as (select stratum, rule, min(cutoff) as cutoff from p where tail <= 0.05::double / families group by all),
 bad as (select distinct rid from (select rid, stratum, unnest(shares) as s from b) x join cuts on cuts.stratum = x.stratum and cuts.rule = x.s.rule and x.s.share >= cuts.cutoff)

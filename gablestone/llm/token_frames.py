@@ -145,6 +145,8 @@ def write_shard(file: str, docs, width: int, frame_tokens: int = FRAME_TOKENS) -
     seek, doc_ids, nulls, sizes, frames = bytearray(), [], [], [], []
     with where.open_output_stream(own) as out:
         for doc_id, ids in docs:
+            if len(ids) and int(ids.max()) >> 8 * width:
+                raise ValueError(f"id {int(ids.max())} needs more than {width} bytes")
             pieces = range(0, max(1, len(ids)), frame_tokens)
             for i in pieces:
                 raw = ids[i : i + frame_tokens].astype(f"<u{width}").tobytes()
@@ -212,9 +214,18 @@ class ShardReader:
         return [self.ids(k) for k in np.flatnonzero((self.doc_ids == doc_id) & ~self.is_null)]
 
 
-def write_frames(docs: DataFrame, path: str, tokenizer_file: str, end_id: int | None, width: int = 2, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def _id_bytes(tokenizer_file: str, end_id: int | None) -> int:
+    from tokenizers import Tokenizer
+
+    most = max([end_id or 0, *Tokenizer.from_file(tokenizer_file).get_vocab(with_added_tokens=True).values()])
+    return 2 if most < 1 << 16 else 4
+
+
+def write_frames(docs: DataFrame, path: str, tokenizer_file: str, end_id: int | None, width: int | None = None, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Encode docs (doc_id, text), append end_id to each and write them under path in ascending
-    doc_id order; the table of the shards (shard, file, n_docs, n_tokens, n_bytes)."""
+    doc_id order; the table of the shards (shard, file, n_docs, n_tokens, n_bytes). Ids take width
+    bytes, by default as many as the vocabulary needs."""
+    width = width or _id_bytes(tokenizer_file, end_id)
     shards = max(1, -(-docs.count() // shard_docs))
 
     def run(batches):

@@ -73,6 +73,24 @@ def test_a_reader_gets_single_documents_and_sees_damage(tmp_path):
         token_frames.ShardReader(file).find(9)
 
 
+def test_ids_beyond_their_width_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        token_frames.write_shard(f"file://{tmp_path}/w.ztok", [(1, np.array([70_000], np.uint32))], 2)
+
+
+def test_scratch_tables_go(spark, docs):
+    """What an operator cuts on its way is deleted."""
+    from gablestone.llm._base import Work, work_dir
+
+    with Work(spark, "trial") as work:
+        path = work.path.removeprefix("file:")
+        kept = work.keep(work.cut(docs.select("doc_id"), "one"))
+        import os
+
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and kept.count() == docs.count() and "://" in work_dir(spark) or work_dir(spark).startswith("file:/")
+
+
 def test_frames_of_no_documents(empty, tmp_path):
     assert token_frames.read_frames(token_frames.write_frames(empty, f"file://{tmp_path}/e", tokenizer_file(), 2)).count() == 0
 
@@ -280,11 +298,15 @@ def test_quality_features_and_certified_cutoffs(spark, docs, sf_dir):
 
 def test_quality_cutoffs_keep_their_limit(spark):
     good = " ".join(f"w{i}" for i in range(40))
-    texts = [(i, good + " a%" * (i % 3 == 0 and i < 1200) * 0 + f" x{i}", "en") for i in range(1500)] + [(5000 + i, good + " %%%%%%%%%%" * 8, "en") for i in range(100)]
+    texts = [(i, good + " a%" * (i % 3 == 0 and i < 1200) * 0 + f" x{i}", "en") for i in range(2500)] + [(5000 + i, good + " %%%%%%%%%%" * 8, "en") for i in range(100)]
     d = spark.createDataFrame(texts, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1 if i < 5000 else 0, 0) for i, *_ in texts], "doc_id long, quality int, toxic int")
     out = quality_rules.report(d, labels)
     assert out.where("doc_id < 5000 and not kept").isEmpty() and out.where("doc_id >= 5000 and kept").isEmpty()
+    again = labels.where("doc_id < 100 or doc_id >= 5000")
+    for _ in range(5):  # repeated labels are one trial
+        again = again.union(again)
+    assert quality_rules.report(d, again).where("not kept and not base_failed").isEmpty()
     few = labels.where("doc_id < 100 or doc_id >= 5000")  # too few good ones to certify anything
     assert quality_rules.report(d, few).where("not kept and not base_failed").isEmpty()
     assert quality_rules.keep(d, labels).columns == d.columns
@@ -307,6 +329,31 @@ def test_url_filter(spark):
     assert url_rules.judge(pages, url_rules.rule_table(spark, [])).where("verdict <> 'allow' or rule is not null").isEmpty()
 
 
+def test_all_rules_together_keep_the_limit(spark):
+    """Each rule rejects other good documents; together they may not pass the stratum's limit."""
+    good, n = " ".join(f"w{i}" for i in range(40)), 4000
+    bad = {0: " " + "% " * 30, 1: " same" * 9, 2: "\nline a\nline a\nline a"}  # each is a share of another rule
+    texts = [(i, good + f" x{i}" + bad.get(i % 150, ""), "en") for i in range(n)]
+    d = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    out = quality_rules.report(d, labels)
+    assert out.where("not kept and not base_failed").count() <= quality_rules.LIMIT * n
+
+
+def test_stages_keep_columns_of_any_name(spark, docs, sf_dir):
+    """Names that the operators use themselves stay as they are."""
+    taken = ["_f", "_stratum", "_key", "_kept", "_lang", "found", "gone", "_gone", "_bad", "_hit", "row", "f", "key", "kept2", "stratum", "cuts", "base_failed", "node", "component_id"]
+    odd = docs.select("doc_id", "text", "lang", "source", *[F.lit(c).alias(c) for c in taken])
+    stages = {
+        "quality": lambda d: quality_rules.keep(d, spark.read.parquet(f"{sf_dir}/labels.parquet")), "language": lang_id.keep, "near": near_dups.keep_one,
+        "clean": lambda d: contamination.keep_clean(d, spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
+    }
+    for name, stage in stages.items():
+        out = stage(odd)
+        assert out.columns == odd.columns, name
+        assert {tuple(r) for r in out.select(*taken).distinct().collect()} == {tuple(taken)}, name
+
+
 # Near duplicates
 
 
@@ -335,6 +382,56 @@ def test_near_duplicates(spark, docs, width):
     assert rows(near_dups.groups(given, width)) == sorted(want, key=repr)
 
 
+def near_by_force(given, width, percent=80):
+    sets = {}
+    for d, t in given:
+        w = words(t)
+        sets[d] = frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
+    low = {d: d for d in sets}
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * (n := len(x & y)) >= percent * (len(x) + len(y) - n):
+                p, q = sorted((find(a), find(b)))
+                low[q] = p
+    return {d: find(d) for d in ids}
+
+
+@pytest.mark.parametrize("seed, width, percent", [(1, 2, 80), (2, 5, 80), (3, 1, 90)])
+def test_groups_of_stars_chains_and_shared_passages(spark, seed, width, percent):
+    """Copies of an original with many or few changes, copies of copies, truncated ones, a passage in
+    all, and sizes about the sketch's."""
+    rng = np.random.default_rng(seed)
+    passage = [f"p{i}" for i in range(30)]
+    made = []
+    for g, size in enumerate((40, 70, 100, 250)):
+        original = [f"g{g}w{i}" for i in range(size)]
+        last = original
+        for k in range(60):
+            t = list(last if k % 3 == 0 else original)
+            for j in rng.integers(0, len(t), rng.integers(0, max(2, size // 12))):
+                t[j] = f"n{rng.integers(1 << 40)}" if rng.random() < 0.7 else f"m{rng.integers(4)}"
+            if k % 7 == 0:
+                t = t[: int(len(t) * rng.uniform(0.7, 1))]
+            if k % 5 == 0:
+                t += passage
+            last = t
+            made.append(" ".join(t))
+    made += [" ".join(passage + [f"u{k}x{i}" for i in range(int(rng.integers(3, 40)))]) for k in range(60)]
+    given = [(int(i), made[k]) for i, k in enumerate(rng.permutation(len(made)))]
+    got = near_dups.groups(spark.createDataFrame(given, "doc_id long, text string"), width, percent).collect()
+    want = near_by_force(given, width, percent)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert 1 < len(set(want.values())) < len(want)
+
+
 def test_near_duplicates_of_nothing(empty):
     assert near_dups.groups(empty).count() == 0
 
