@@ -121,7 +121,9 @@ def _lists(nodes: DataFrame, percent: int) -> DataFrame:
     values, with how much of the sketch other nodes share."""
     rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
     held = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    by_node = rows.join(held, "value").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
+    # At most K rows a node: dealt out as they are, they are narrower than partial lists.
+    shared = rows.join(held, "value").select("node", "n", "df", "value").repartition("node")
+    by_node = shared.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
     size = F.least("n", F.lit(K))
     # Sketches of both are whole where the larger set can have K elements at most.
     need = F.expr(f"if(n * 100 <= {K * percent}, (n * {percent} + 99) div 100, {bound(percent / 100)})")
@@ -150,9 +152,15 @@ def _sketch_of(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int")).alias("s"))
 
 
+def _asked(pairs: DataFrame) -> DataFrame:
+    """The nodes of pairs (c, x), to be broadcast where they are few."""
+    nodes = pairs.select(F.col("c").alias("node")).union(pairs.select("x")).distinct()
+    return F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, percent: float) -> DataFrame:
     """Of pairs (c, x) those that the sketches allow such a similarity."""
-    own = _sketch_of(nodes)
+    own = _sketch_of(nodes.join(_asked(pairs), "node", "left_semi"))
     both = pairs.join(own.toDF("c", "n_c", "s_c"), "c").join(own.toDF("x", "n_x", "s_x"), "x")
     both = both.where(100 * F.least("n_c", "n_x") >= percent * F.greatest("n_c", "n_x"))
     return both.where(_estimate("s_c", "s_x", bound(percent / 100))).select("c", "x", "n_c", "n_x")
@@ -160,8 +168,8 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: float) -> DataFrame:
 
 def _full_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, s): the sets of the nodes asked for, from one document of each."""
-    named = asked.join(nodes.select("node", "first"), "node").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
-    if asked.count() <= BROADCAST_IDS:
+    named = nodes.join(asked, "node", "left_semi").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
+    if named.count() <= BROADCAST_IDS:
         named = F.broadcast(named)
 
     def run(batches):
@@ -182,12 +190,12 @@ def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, p
     """(c, x, n_c, n_x, linked, dev): pairs that the sketches allow, with what their full sets do not
     share: first what c lacks, then what x lacks."""
     pairs = work.cut(pairs, f"{tag}-pairs")
-    asked = pairs.select(F.col("c").alias("node")).union(pairs.select("x")).distinct()
-    whole = work.cut(_full_sets(asked, docs, nodes, width), f"{tag}-sets")
+    whole = _full_sets(_asked(pairs), docs, nodes, width)
+    # Both joins read one exchange of the sets.
     both = pairs.join(whole.toDF("c", "s_c"), "c").join(whole.toDF("x", "s_x"), "x")
     dev = F.concat(F.array_except("s_x", "s_c"), F.array_except("s_c", "s_x"))
     out = work.cut(both.select("c", "x", "n_c", "n_x", dev.alias("dev")).withColumn("linked", _links("size(dev)", "n_c + n_x", percent)), tag)
-    work.drop(f"{tag}-pairs", f"{tag}-sets")
+    work.drop(f"{tag}-pairs")
     return out
 
 
@@ -272,10 +280,14 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     named = rows.where("node is not null and doc_id is not null")
     nodes = named.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = work.cut(nodes, "nodes")
+    rows = work.cut(rows.select("doc_id", "n_shingles", "node"), "ids")
+    named = rows.where("node is not null and doc_id is not null")
+    work.drop("rows")
     lists = work.cut(_leaders(_lists(nodes, percent)), "lists-0")
     links, k, size = [], 0, lists.count()
     while size:
-        met = _compared(_near(lists.select("c", F.col("node").alias("x")).where("c <> x").distinct(), nodes, 100 - 2.5 * away), docs, nodes, width, percent, work, f"met-{k}")
+        pairs = work.cut(lists.select("c", F.col("node").alias("x")).where("c <> x").distinct(), f"pairs-{k}")
+        met = _compared(_near(pairs, nodes, 100 - 2.5 * away), docs, nodes, width, percent, work, f"met-{k}")
         links.append(met.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
         close = met.where(_links("size(dev)", "n_c + n_x", 100 - 2.5 * away))
         links.append(_by_deviation(close, percent, work, f"dev-{k}"))
