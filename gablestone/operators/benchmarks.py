@@ -40,9 +40,18 @@ def catalog_audit(cells: DataFrame, assets: DataFrame) -> DataFrame:
 
 
 def detection_counts(selection: DataFrame, detections: DataFrame) -> DataFrame:
-    """Kept detections of each selected building by class; empty masks do not count."""
+    """Kept detections of each selected building by class; empty masks do not count. A building
+    without any has one row with no class and zeros."""
     kept = detections.where("pixel_area > 0").groupBy("building_id", "class_name").agg(F.count("*").alias("objects"), F.sum("pixel_area").alias("pixels"))
-    return selection.select("building_id").join(kept, "building_id")
+    rows = selection.select("building_id").join(kept, "building_id", "left")
+    return rows.select("building_id", "class_name", F.coalesce("objects", F.lit(0)).alias("objects"), F.coalesce("pixels", F.lit(0)).alias("pixels"))
+
+
+def detection_totals(counts: DataFrame) -> DataFrame:
+    """Over all buildings of detection_counts(): a row for each class, and one without a class for all."""
+    kept = counts.where("class_name is not null")
+    every = counts.agg(F.count_distinct("building_id").alias("buildings"), F.sum("objects").alias("objects"), F.sum("pixels").alias("pixels")).select(F.lit(None).cast("string").alias("class_name"), "buildings", "objects", "pixels")
+    return kept.groupBy("class_name").agg(F.count_distinct("building_id").alias("buildings"), F.sum("objects").alias("objects"), F.sum("pixels").alias("pixels")).union(every)
 
 
 def annotation_queue(selection: DataFrame, detections: DataFrame) -> DataFrame:
@@ -64,3 +73,55 @@ def missing_classes(taxonomy: list[str], mapping: dict[str, str], spark) -> Data
     """Canonical classes that no source label stands for."""
     all_, mapped = spark.createDataFrame([(c,) for c in taxonomy], "canonical string"), spark.createDataFrame([(c,) for c in mapping.values()], "canonical string")
     return all_.join(mapped, "canonical", "left_anti")
+
+
+def queue_summary(queue: DataFrame) -> DataFrame:
+    """How many buildings of an annotation queue have each priority; one row."""
+    return queue.agg(*[F.count_if(F.col("priority") == p).alias(p) for p in ("high", "medium", "low")], F.count("*").alias("buildings"))
+
+
+def evaluated(selection: DataFrame, evaluations: DataFrame, rasters: DataFrame) -> DataFrame:
+    """Selected buildings with a completed evaluation, and with a raster to look at."""
+    done = evaluations.where("completed").drop("completed")
+    return selection.join(done, "building_id").join(rasters.select("building_id").distinct(), "building_id", "left_semi")
+
+
+def flat_entries(fits: DataFrame) -> DataFrame:
+    """Benchmark entries from results of named backends: an automatic one is an error of its own."""
+    return fits.withColumn("entry_error", F.when(F.col("backend") == "auto", "an entry needs the backend that ran"))
+
+
+def taxonomy_error(taxonomy: DataFrame) -> DataFrame:
+    """(version, error): class numbers of a version must be 0 .. n - 1, each once; else the error says so."""
+    own = taxonomy.groupBy("version").agg(F.count("*").alias("n"), F.count_distinct("class_id").alias("kinds"), F.min("class_id").alias("low"), F.max("class_id").alias("high"))
+    whole = (F.col("kinds") == F.col("n")) & (F.col("low") == 0) & (F.col("high") == F.col("n") - 1)
+    return own.select("version", F.when(~whole, "class numbers are not contiguous from zero").alias("error"))
+
+
+def first_seen(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Distinct keys in the order in which they first come."""
+    return rows.groupBy(*keys).agg(F.min(order).alias("first")).orderBy("first")
+
+
+def best_by(rows: DataFrame, group: str, value: str, keep: list[str]) -> DataFrame:
+    """The row of each group with the smallest value; of equal ones the first by the kept columns."""
+    return rows.groupBy(group).agg(F.min(F.struct(value, *keep)).alias("b")).select(group, "b.*")
+
+
+def split_membership(images: DataFrame, train: DataFrame, validation: DataFrame) -> DataFrame:
+    """train or val of each image (name), train where it is in both; an error where it is in neither."""
+    a, b = (x.select("name").distinct().withColumn(n, F.lit(True)) for x, n in ((train, "t"), (validation, "v")))
+    rows = images.join(a, "name", "left").join(b, "name", "left")
+    split = F.when(F.col("t"), "train").when(F.col("v"), "val")
+    return rows.select(*images.columns, split.alias("split"), F.when(split.isNull(), "absent from both splits").alias("split_error"))
+
+
+def mean_position(positions: DataFrame, group: str = "building_id") -> DataFrame:
+    """Mean of all positions of a ring, the closing one too."""
+    return positions.groupBy(group).agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+
+
+def digests(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """MD5 of each file's content against what is pinned for it (name, md5)."""
+    own = files.select("name", F.md5("content").alias("actual"))
+    return own.join(expected.select("name", F.lower("md5").alias("expected")), "name", "left").withColumn("matches", F.col("actual") == F.col("expected"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gablestone.operators.shared import cut
+
 
 def outlier_ratio(points: DataFrame, key: str = "building_id") -> DataFrame:
     """Share of heights more than six robust deviations from the median; where the deviation is zero,
@@ -50,14 +52,14 @@ def _placed(points: DataFrame, axes: str) -> DataFrame:
 def spacing(points: DataFrame, keys: list[str], group: str = "building_id", start: float = 1.0) -> DataFrame:
     """Median and 90 % quantile of the distance to the nearest other point, over all points. Points
     without one in reach are looked at again with twice the reach, against all, up to the group's extent."""
-    points = _placed(points, "xy")
+    points = cut(_placed(points, "xy"))
     other = reduce(lambda p, q: p | q, [F.col(k) != F.col(f"o_{k}") for k in keys])
-    todo, done, r, extent = points, None, start, _extent(points, group).localCheckpoint()
+    todo, done, r, extent = points, None, start, cut(_extent(points, group))
     while True:
-        near = neighbours_of(todo, points, r, keys, group).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap")).localCheckpoint()
+        near = cut(neighbours_of(todo, points, r, keys, group).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap")))
         done = near if done is None else done.union(near)
         # A little more than the extent, so that rounding leaves no pair out.
-        todo = todo.join(near.select(group, *keys), [group, *keys], "left_anti").join(extent.where(F.col("extent") * 1.001 > r).select(group), group, "left_semi").localCheckpoint()
+        todo = cut(todo.join(near.select(group, *keys), [group, *keys], "left_anti").join(extent.where(F.col("extent") * 1.001 > r).select(group), group, "left_semi"))
         if todo.isEmpty():
             break
         r *= 2
@@ -82,22 +84,22 @@ def local_planes(points: DataFrame, keys: list[str], group: str = "building_id",
     residual: the square root of the least eigenvalue of their covariance. Neighbours are looked for
     within a radius in the plane, twice that for points whose k-th is farther, and so on up to the
     group's extent; ties go by key."""
-    points = _placed(points, "xyz")
-    todo, cov, r, extent = points, None, radius, _extent(points, group).localCheckpoint()
+    points = cut(_placed(points, "xyz"))
+    todo, cov, r, extent = points, None, radius, cut(_extent(points, group))
     while True:
         near = neighbours(points, r, keys, group, todo).join(todo.select(group, *keys, F.col("z").alias("pz")), [group, *keys])
-        space = F.sqrt(F.col("gap") * F.col("gap") + (F.col("o_z") - F.col("pz")) * (F.col("o_z") - F.col("pz")))
+        space = F.expr("sqrt((x - o_x) * (x - o_x) + (y - o_y) * (y - o_y) + (o_z - pz) * (o_z - pz))")
         order = Window.partitionBy(group, *keys).orderBy("space", *[f"o_{x}" for x in keys])
         kept = near.withColumn("space", space).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         moments = [F.covar_pop(f"o_{a}", f"o_{b}").alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")]
         found = kept.groupBy(group, *keys).agg(*moments, F.count("*").alias("n"), F.max("space").alias("far")).join(extent, group)
         sure = ((F.col("n") >= k) & (F.col("far") <= r)) | (F.col("extent") * 1.001 <= r)
-        found = found.withColumn("sure", sure).localCheckpoint()
+        found = cut(found.withColumn("sure", sure))
         cov = found.where("sure") if cov is None else cov.union(found.where("sure"))
         left = found.where("not sure").select(group, *keys)
         if left.isEmpty():
             break
-        todo = points.join(left, [group, *keys], "left_semi").localCheckpoint()
+        todo = cut(points.join(left, [group, *keys], "left_semi"))
         r *= 2
     cov = cov.where(F.col("n") >= 3)
 
@@ -116,7 +118,8 @@ def local_planes(points: DataFrame, keys: list[str], group: str = "building_id",
 
 def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id", sample: int = 5000, trials: int = 200, planes: int = 8, threshold: float = 0.20, seed: int = 42) -> DataFrame:
     """Planes found one after the other in each group's points: the triple with most points within the
-    threshold, refitted by principal axes. Groups are buildings; each is sampled to a bound."""
+    threshold, refitted by principal axes. Groups are buildings; each is sampled to a bound. The aspect
+    is the direction, clockwise from north, that the upward normal leans against (uphill)."""
 
     def detect(pdf):
         import numpy as np
@@ -148,7 +151,7 @@ def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id",
             if taken.sum() < least:
                 break
             flat = np.hypot(n[0], n[1])
-            rows.append((len(rows), int(taken.sum()), *n.tolist(), float(np.degrees(np.arccos(np.clip(n[2], -1, 1)))), None if flat < 1e-8 else float((np.degrees(np.arctan2(n[0], n[1])) + 360) % 360), float(np.median(gap[taken])), float(np.percentile(gap[taken], 95))))
+            rows.append((len(rows), int(taken.sum()), *n.tolist(), float(np.degrees(np.arccos(np.clip(n[2], -1, 1)))), None if flat < 1e-8 else float((np.degrees(np.arctan2(-n[0], -n[1])) + 360) % 360), float(np.median(gap[taken])), float(np.percentile(gap[taken], 95))))
             rest = rest[~taken]
         out = pd.DataFrame(rows, columns=["plane", "support", "nx", "ny", "nz", "slope_deg", "aspect_deg", "median_m", "p95_m"])
         out.insert(0, group, pdf[group].iloc[0])
@@ -166,3 +169,18 @@ def dominant_normals(planes: DataFrame, group: str = "building_id", degrees: flo
     near = lambda d, p: F.abs(d["nx"] * p["nx"] + d["ny"] * p["ny"] + d["nz"] * p["nz"]) >= F.cos(F.radians(F.lit(degrees)))
     merged = F.aggregate("p", F.slice("p", 1, 0), lambda found, p: F.when(F.exists(found, lambda d: near(d, p)), found).otherwise(F.concat(found, F.array(p))))
     return planes.groupBy(group).agg(order.alias("p")).select(group, F.size(merged).alias("dominant_normals"))
+
+
+def nearest_plane(points: DataFrame, planes: DataFrame, keys: list[str], group: str = "building_id") -> DataFrame:
+    """The plane of its group that each point lies closest to, and how far from it; the first of equal
+    ones. planes: group, plane, nx, ny, nz and the offset of the plane along its normal."""
+    gap = F.abs(F.col("x") * F.col("nx") + F.col("y") * F.col("ny") + F.col("z") * F.col("nz") - F.col("offset"))
+    met = points.join(planes.select(group, "plane", "nx", "ny", "nz", "offset"), group)
+    best = met.groupBy(group, *keys).agg(F.min(F.struct(gap.alias("distance"), "plane")).alias("b"))
+    return best.select(group, *keys, "b.plane", "b.distance")
+
+
+def colour_limits(rows: DataFrame, value: str, group: str = "building_id", low: float = 0.02, high: float = 0.98) -> DataFrame:
+    """Robust limits of a colour scale: two quantiles of each group's values."""
+    q = F.percentile(value, F.array(F.lit(low), F.lit(high)))
+    return rows.groupBy(group).agg(q.alias("q")).select(group, F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))

@@ -9,6 +9,27 @@ from gablestone.functions.geometry import clip01
 
 LODS = ("1.2", "1.3", "2.2")
 
+#: The sentences that results must carry.
+FORM_REASONS = {
+    "FLAT": "low nDSM gradients and few vertical discontinuities",
+    "COMPOUND": "large gradients or frequent height discontinuities indicate multiple roof regimes",
+    "PITCHED": "stable local planes and sustained nDSM slope support a pitched form",
+    "UNCERTAIN": "available evidence does not separate flat, pitched, and compound forms",
+}
+FORM_MISSING = ("roof-point density is below the minimum support threshold", "normalized-height coverage is below the minimum threshold", "local planar support is unavailable")
+LOD12_CHECKS = ("reliable cadastral footprint", "ground elevation", "representative building height", "building observations")
+LOD13_CHECKS = ("LoD1.2 prerequisites", "spatial roof coverage", "major height-part evidence")
+LOD22_CHECKS = (
+    "LoD1.2 prerequisites", "LiDAR density", "spatial roof coverage", "hole control", "local planar support", "footprint alignment", "dominant-plane explanation", "aggregate evidence score",
+)
+LOD_SUPPORTED = {
+    "1.2": "footprint, ground, and representative height are available",
+    "1.3": "building parts or nDSM steps support differentiated height blocks",
+    "2.2": "measured geometry supports explicit roof topology",
+}
+NO_BACKEND = "no available backend supports the target LoD"
+FORCED_WARNING = "execution forced beyond measured feasibility"
+
 
 def _excess(value, base: float, scale: float):
     return clip01((value - base) / scale)
@@ -23,6 +44,13 @@ def roof_form(density, valid_ratio, planar, gradient_p50, gradient_p95, disconti
     )
 
 
+def roof_form_reasons(form, density, valid_ratio, planar):
+    """Why the form was chosen, or what is missing."""
+    missing = F.array(*[F.when(c, F.lit(t)) for c, t in zip((F.coalesce(density < 1.0, F.lit(True)), valid_ratio < 0.55, planar.isNull()), FORM_MISSING, strict=True)])
+    known = F.create_map(*[F.lit(x) for pair in FORM_REASONS.items() for x in pair])
+    return F.when(form == "INSUFFICIENT_EVIDENCE", F.filter(missing, lambda x: x.isNotNull())).otherwise(F.array(F.try_element_at(known, form)))
+
+
 def evidence_score(density, valid_ratio, planar):
     """Mean of what is available, each within 0 and 1."""
     parts = F.filter(F.array(clip01(valid_ratio), F.when(density.isNotNull(), clip01(density / 4.0)), F.when(planar.isNotNull(), clip01(planar))), lambda x: x.isNotNull())
@@ -62,8 +90,16 @@ def with_complexity(rows: DataFrame) -> DataFrame:
     return rows.withColumn("complexity_class", complexity_class(F.col("complexity_score"))).drop("_parts")
 
 
+def _reasons(lod: str, prefix: str, checks: tuple):
+    """Names of the checks that fail, in order, or the one sentence for a level that is supported."""
+    names = {"1.2": LOD12_CHECKS, "1.3": LOD13_CHECKS, "2.2": LOD22_CHECKS}[lod]
+    failed = F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(prefix + n)) for c, n in zip(checks, names, strict=True)]), lambda x: x.isNotNull())
+    return F.when(F.size(failed) == 0, F.array(F.lit(LOD_SUPPORTED[lod]))).otherwise(failed)
+
+
 def with_feasibility(rows: DataFrame) -> DataFrame:
-    """lod12, lod13, lod22 (whether each is supported), their scores, and the highest supported."""
+    """lod12, lod13, lod22 (whether each is supported), their scores and reasons, and the highest
+    supported."""
     as_int = lambda c: c.cast("int")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     observed = F.col("available") & (F.col("roof_points") > 0)
@@ -81,6 +117,11 @@ def with_feasibility(rows: DataFrame) -> DataFrame:
         F.col("lod12") & (zero("density") >= 2.5) & (zero("coverage") >= 0.75) & (hole >= 0.70) & (zero("planar") >= 0.50) & (zero("alignment") >= 0.70) & (F.col("explained") >= 0.40) & (F.col("lod22_score") >= 0.68)
     )
     rows = rows.withColumn("lod22", gates)
+    rows = rows.withColumn("lod12_reasons", _reasons("1.2", "missing ", (F.col("footprint_ok"), F.col("ground_ok"), F.col("height_ok"), observed)))
+    rows = rows.withColumn("lod13_reasons", _reasons("1.3", "insufficient ", (F.col("lod12"), covered, steps)))
+    rows = rows.withColumn("lod22_reasons", _reasons("2.2", "insufficient ", (
+        F.col("lod12"), zero("density") >= 2.5, zero("coverage") >= 0.75, hole >= 0.70, zero("planar") >= 0.50, zero("alignment") >= 0.70, F.col("explained") >= 0.40, F.col("lod22_score") >= 0.68,
+    )))
     return rows.withColumn("highest_lod", F.when(F.col("lod22"), "2.2").when(F.col("lod13"), "1.3").when(F.col("lod12"), "1.2"))
 
 
@@ -102,9 +143,19 @@ def with_plan(rows: DataFrame, installed: tuple = ("roofer", "city3d")) -> DataF
         F.when(F.lit(name in installed and not extra) & F.col("backend_request").isin("auto", name) & F.col("target_lod").isin(*lods) & (F.lit(not points) | F.col("available")), F.lit(name)) for name, lods, points, extra in BACKENDS
     ]
     rows = rows.withColumn("selected_backend", F.coalesce(*able)).withColumn("fallback_lod", F.when(policy == "fallback", below(F.col("target_lod"))))
-    # The measured quality class is always UNCLASSIFIED, so a profile is always the conservative one.
-    rows = rows.withColumn("profile", F.when(F.col("selected_backend") == "roofer", "conservative"))
-    return rows.withColumn("decision", F.when(F.col("target_lod").isNull(), "no_lod").when(F.col("selected_backend").isNull(), "no_backend").otherwise("execute"))
+    quality = F.col("quality_class") if "quality_class" in rows.columns else F.lit("UNCLASSIFIED")
+    calm = quality.isin("EXCELLENT", "GOOD") & F.col("complexity_class").isin("SIMPLE", "MODERATE")
+    rows = rows.withColumn("profile", F.when(F.col("selected_backend") == "roofer", F.when(calm, "balanced").otherwise("conservative")))
+    rows = rows.withColumn("decision", F.when(F.col("target_lod").isNull(), "no_lod").when(F.col("selected_backend").isNull(), "no_backend").otherwise("execute"))
+    target = F.col("target_lod")
+    level = (
+        F.when((request == "auto") & target.isNotNull(), F.concat(F.lit("automatic target is highest supported LoD "), target)).when(request == "auto", "no LoD is supported by available evidence")
+        .when(supported, F.concat(F.lit("requested LoD "), request, F.lit(" is supported"))).when(F.col("forced"), F.concat(F.lit("forced unsupported LoD "), request))
+        .when(target.isNotNull(), F.concat(F.lit("downgraded unsupported request to LoD "), target)).otherwise(F.concat(F.lit("requested LoD "), request, F.lit(" is not supported")))
+    )
+    backend = F.when(F.col("decision") == "no_backend", NO_BACKEND).when(F.col("decision") == "execute", F.concat(F.lit("selected available "), F.col("selected_backend"), F.lit(" backend")))
+    rows = rows.withColumn("plan_reasons", F.filter(F.array(level, backend), lambda x: x.isNotNull()))
+    return rows.withColumn("plan_warnings", F.when(F.col("forced") & (F.col("decision") == "execute"), F.array(F.lit(FORCED_WARNING))).otherwise(F.array().cast("array<string>")))
 
 
 def with_quality_gate(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from gablestone.operators.benchmarks import annotation_queue
 
+#: Classes of a taxonomy; it is held whole.
+TAXONOMY_BOUND = 1000
+#: Texts of outcomes.
+FALLBACK_WARNING = "primary reconstruction rejected; executed one LoD fallback"
+
 
 def valid_request(rows: DataFrame) -> DataFrame:
     """request_error of each request (policy, backend_request, priority); NULL where it is valid."""
@@ -18,16 +23,19 @@ def valid_request(rows: DataFrame) -> DataFrame:
 def outcomes(plans: DataFrame, results: DataFrame) -> DataFrame:
     """Status of each plan: ABSTAINED where nothing can run; else what its backend gave (results:
     building_id, backend, lod, succeeded, accepted), FAILED where that is missing or broke. A result
-    that is not accepted is run once more at the fallback level, and abstains without one."""
+    that is not accepted is run once more at the fallback level, whose result stands as it is; without
+    one the plan abstains."""
     run = lambda n: results.select("building_id", F.col("backend").alias("selected_backend"), F.col("lod").alias(n), F.col("succeeded").alias(f"{n}_ok"), F.col("accepted").alias(f"{n}_accepted"))
     rows = plans.join(run("target_lod"), ["building_id", "selected_backend", "target_lod"], "left").join(run("fallback_lod"), ["building_id", "selected_backend", "fallback_lod"], "left")
     first, second = (F.coalesce(f"{n}_ok", F.lit(False)) for n in ("target_lod", "fallback_lod"))
-    good, again = (F.coalesce(f"{n}_accepted", F.lit(False)) for n in ("target_lod", "fallback_lod"))
+    good = F.coalesce("target_lod_accepted", F.lit(False))
+    again = first & ~good & F.col("fallback_lod").isNotNull()
     status = (
-        F.when(F.col("decision") != "execute", "ABSTAINED").when(~first, "FAILED").when(good, "SUCCEEDED").when(F.col("fallback_lod").isNull(), "ABSTAINED").when(~second, "FAILED").when(again, "SUCCEEDED").otherwise("ABSTAINED")
+        F.when(F.col("decision") != "execute", "ABSTAINED").when(~first, "FAILED").when(good, "SUCCEEDED").when(F.col("fallback_lod").isNull(), "ABSTAINED").when(second, "SUCCEEDED").otherwise("FAILED")
     )
     used = F.when(status == "SUCCEEDED", F.when(good, F.col("target_lod")).otherwise(F.col("fallback_lod")))
-    return rows.select("building_id", status.alias("status"), used.alias("delivered_lod"))
+    warning = F.when((F.col("decision") == "execute") & again, F.lit(FALLBACK_WARNING))
+    return rows.select("building_id", status.alias("status"), used.alias("delivered_lod"), warning.alias("warning"))
 
 
 def input_gates(points: DataFrame, rings: DataFrame) -> DataFrame:
@@ -61,7 +69,8 @@ def obj_text(vertices: DataFrame, faces: DataFrame) -> DataFrame:
 
 def label_lines(objects: DataFrame, classes: dict[str, int], width: float, height: float) -> DataFrame:
     """One text for each tile: class number and corner coordinates as shares of the tile, six digits.
-    objects: tile, object_id, class_name, ring (array of x, y)."""
+    objects: tile, object_id, class_name, ring (array of x, y); classes without a number have no line
+    (label_counts() counts them)."""
     dims = objects.sparkSession.createDataFrame(sorted(classes.items()), "class_name string, class_id int")
     share = lambda p: F.format_string("%.6f %.6f", p["x"] / width, p["y"] / height)
     rows = objects.join(F.broadcast(dims), "class_name").withColumn("line", F.concat_ws(" ", "class_id", F.array_join(F.transform("ring", share), " ")))
@@ -72,7 +81,11 @@ def dataset_audit(sources: DataFrame, mapping: DataFrame, taxonomy: DataFrame) -
     """Readiness of each dataset (dataset, access, reviewed, licence, note) and how far its classes
     (dataset, class_name, canonical) cover the taxonomy (canonical)."""
     covered = mapping.groupBy("dataset").agg(F.count("*").alias("classes"), F.count("canonical").alias("mapped"))
-    missing = sources.select("dataset").crossJoin(F.broadcast(taxonomy.select("canonical"))).join(mapping.select("dataset", "canonical"), ["dataset", "canonical"], "left_anti")
+    # The taxonomy is one array in every row: no join deals it out.
+    every = [r["canonical"] for r in taxonomy.select("canonical").distinct().limit(TAXONOMY_BOUND + 1).collect()]
+    if len(every) > TAXONOMY_BOUND:
+        raise ValueError(f"a taxonomy has at most {TAXONOMY_BOUND} classes")
+    missing = sources.select("dataset", F.explode(F.array(*map(F.lit, every)).cast("array<string>")).alias("canonical")).join(mapping.select("dataset", "canonical"), ["dataset", "canonical"], "left_anti")
     missing = missing.groupBy("dataset").agg(F.array_join(F.array_sort(F.collect_list("canonical")), ",").alias("missing"))
     rows = sources.join(covered, "dataset", "left").join(missing, "dataset", "left")
     return rows.select(

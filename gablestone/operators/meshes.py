@@ -36,20 +36,95 @@ def semantic_histogram(faces: DataFrame) -> DataFrame:
     return faces.select("model_id", "face_id", "semantic").distinct().groupBy("model_id", "semantic").agg(F.count("*").alias("faces"))
 
 
-def validate(vertices: DataFrame, faces: DataFrame, prints: DataFrame) -> DataFrame:
-    """Validity and plausibility of each model against its building's footprint (footprints())."""
-    box = vertices.groupBy("model_id").agg(*[f(c).alias(f"{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max)) for c in "xyz"])
-    kinds = faces.groupBy("model_id").agg(F.collect_set("semantic").alias("kinds"), F.count_distinct("face_id").alias("faces"))
-    ground = face_areas(vertices, faces).where("semantic = 'GroundSurface'").groupBy("model_id").agg(F.sum("area_xy").alias("ground_area"))
+#: Texts of structural failures and warnings.
+NOT_FINITE, BAD_RINGS, NOT_WATERTIGHT = "vertices are empty or non-finite", "surface rings contain invalid vertex references", "solid boundary is not watertight"
+NO_SEMANTICS, OFF_PRINT, OFF_HEIGHT = "required semantic surface types are missing", "model footprint bbox does not align with source footprint", "model height is outside configured plausibility bounds"
+NO_GROUND, OFF_GROUND = "ground-surface area is unavailable", "ground area differs from source footprint"
+BAD_FACES, OPEN_MESH, NO_LABELS = "faces contain invalid vertex references", "mesh boundary is not watertight", "OBJ has no semantic surface labels"
+
+#: Least overlap of boxes, height bounds in metres, faces below this area in square metres are tiny.
+MIN_IOU, HEIGHTS, TINY_AREA = 0.80, (1, 150), 0.25
+
+
+def _listed(*pairs):
+    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(True)), t) for c, t in pairs]), lambda f: f.isNotNull())
+
+
+def broken_faces(vertices: DataFrame, faces: DataFrame) -> DataFrame:
+    """(model_id, face_id) of faces with fewer than three corners or a corner that is no vertex."""
+    met = faces.join(vertices.select("model_id", "vertex_idx", F.lit(1).alias("known")), ["model_id", "vertex_idx"], "left")
+    return met.groupBy("model_id", "face_id").agg(F.count("*").alias("n"), F.count("known").alias("k")).where("n < 3 or k < n").select("model_id", "face_id")
+
+
+def _shape(vertices: DataFrame, prints: DataFrame) -> DataFrame:
+    """Per model with vertices: whether they are finite, its height, and the overlap of its box with
+    its footprint's."""
+    finite = lambda c: F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False)) & ~F.isnan(c)
+    box = vertices.groupBy("model_id").agg(F.count("*").alias("vertices"), F.bool_and(finite("x") & finite("y") & finite("z")).alias("finite"), *[f(c).alias(f"{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max)) for c in "xyz"])
     own = prints.groupBy(F.col("building_id").alias("model_id")).agg(F.sum("area").alias("footprint_area"), F.min("min_x").alias("fx1"), F.min("min_y").alias("fy1"), F.max("max_x").alias("fx2"), F.max("max_y").alias("fy2"))
-    rows = edge_report(faces).join(box, "model_id").join(kinds, "model_id").join(ground, "model_id", "left").join(own, "model_id", "left")
     c = F.col
-    rows = rows.withColumn("height", c("hi_z") - c("lo_z")).withColumn("iou", G.bbox_iou([c("lo_x"), c("lo_y"), c("hi_x"), c("hi_y")], [c("fx1"), c("fy1"), c("fx2"), c("fy2")]))
-    rows = rows.withColumn("area_ratio", c("ground_area") / F.nullif(c("footprint_area"), F.lit(0.0))).withColumn("complete", F.size(F.array_except(F.array(*map(F.lit, REQUIRED_SEMANTICS)), "kinds")) == 0)
-    failures = F.filter(F.array(F.when(~c("watertight"), "solid boundary is not watertight"), F.when(~c("complete"), "required semantics are missing")), lambda f: f.isNotNull())
-    rows = rows.withColumn("failures", F.array_join(failures, "; ")).withColumn("geometry_valid", F.size(failures) == 0)
-    rows = rows.withColumn("plausibility_pass", F.coalesce((c("iou") >= 0.80) & c("height").between(1, 150), F.lit(False))).withColumn("area_warning", ~F.coalesce(c("area_ratio").between(0.8, 1.2), F.lit(True)))
-    return rows.select("model_id", "faces", "edges", "boundary_edges", "watertight", "height", "iou", "area_ratio", "geometry_valid", "plausibility_pass", "area_warning", "failures")
+    rows = box.join(own, "model_id", "left").withColumn("height", F.when(c("finite"), c("hi_z") - c("lo_z")).otherwise(0.0))
+    iou = G.bbox_iou([c("lo_x"), c("lo_y"), c("hi_x"), c("hi_y")], [c("fx1"), c("fy1"), c("fx2"), c("fy2")])
+    return rows.withColumn("iou", F.when(c("finite"), iou).otherwise(0.0)).select("model_id", "vertices", "finite", "height", "iou", "footprint_area")
+
+
+def _verdict(rows: DataFrame, structural, warnings) -> DataFrame:
+    off = _listed((~(F.coalesce("iou", F.lit(0.0)) >= MIN_IOU), OFF_PRINT), (~F.col("height").between(*HEIGHTS), OFF_HEIGHT))
+    rows = rows.withColumn("geometry_valid", F.size(structural) == 0).withColumn("plausibility_pass", F.size(off) == 0)
+    return rows.withColumn("failures", F.array_join(F.concat(structural, off), "; ")).withColumn("warnings", F.array_join(warnings, "; ")).withColumn("accepted", F.col("geometry_valid") & F.col("plausibility_pass"))
+
+
+def validate(vertices: DataFrame, faces: DataFrame, prints: DataFrame) -> DataFrame:
+    """Validity and plausibility of each solid against its building's footprint (footprints()): rings
+    with bad corners are counted and left out."""
+    broken = broken_faces(vertices, faces)
+    good = faces.join(broken, ["model_id", "face_id"], "left_anti")
+    areas = face_areas(vertices, good).groupBy("model_id").agg(F.count("*").alias("faces"), F.avg((F.col("area") < TINY_AREA).cast("int")).alias("tiny"), F.sum(F.when(F.col("semantic") == "GroundSurface", F.col("area_xy"))).alias("ground_area"))
+    kinds = faces.groupBy("model_id").agg(F.collect_set("semantic").alias("kinds"))
+    bad = broken.groupBy("model_id").agg(F.count("*").alias("bad"))
+    rows = kinds
+    for more in (_shape(vertices, prints), edge_report(good), areas, bad):
+        rows = rows.join(more, "model_id", "left")
+    c = F.col
+    rows = rows.withColumn("watertight", F.coalesce("watertight", F.lit(False))).withColumn("area_ratio", F.when(c("ground_area") > 0, c("ground_area") / F.nullif(c("footprint_area"), F.lit(0.0))))
+    for name in ("vertices", "faces", "edges", "boundary_edges", "bad"):
+        rows = rows.withColumn(name, F.coalesce(name, F.lit(0)))
+    complete = F.size(F.array_except(F.array(*map(F.lit, REQUIRED_SEMANTICS)), "kinds")) == 0
+    structural = _listed((~F.coalesce("finite", F.lit(False)), NOT_FINITE), (c("bad") > 0, BAD_RINGS), (~c("watertight"), NOT_WATERTIGHT), (~complete, NO_SEMANTICS))
+    warnings = _listed((c("area_ratio").isNull(), NO_GROUND), (c("area_ratio").isNotNull() & ~F.coalesce(c("area_ratio").between(0.8, 1.2), F.lit(False)), OFF_GROUND))
+    rows = _verdict(rows.withColumn("height", F.coalesce("height", F.lit(0.0))), structural, warnings)
+    return rows.select(
+        "model_id", "vertices", "faces", "edges", "boundary_edges", "watertight", c("bad").alias("invalid_rings"), F.coalesce("tiny", F.lit(1.0)).alias("tiny_fraction"), "height", "iou", "area_ratio", "geometry_valid", "plausibility_pass", "accepted", "failures", "warnings"
+    )
+
+
+def validate_obj(vertices: DataFrame, faces: DataFrame, prints: DataFrame) -> DataFrame:
+    """The same for polygon meshes without semantics: vertices equal to six decimals are one, and an
+    edge between two that are one is none."""
+    at = lambda c: F.round(F.col(c), 6)
+    welded = vertices.select("model_id", "vertex_idx", F.struct(at("x").alias("x"), at("y").alias("y"), at("z").alias("z")).alias("place"))
+    first = welded.groupBy("model_id", "place").agg(F.min("vertex_idx").alias("own"))
+    number = welded.join(first, ["model_id", "place"]).select("model_id", "vertex_idx", "own")
+    doubles = first.groupBy("model_id").agg(F.count("*").alias("places"))
+    broken = broken_faces(vertices, faces)
+    good = faces.join(broken, ["model_id", "face_id"], "left_anti")
+    edges = face_edges(good.join(number, ["model_id", "vertex_idx"]).select("model_id", "face_id", "ordinal", "semantic", F.col("own").alias("vertex_idx"))).where("a <> b")
+    uses = edges.groupBy("model_id", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.count("*").alias("n"))
+    used = uses.groupBy("model_id").agg(F.count_if(F.col("n") == 1).alias("boundary_edges"), F.count_if(F.col("n") > 2).alias("nonmanifold_edges"), F.bool_and(F.col("n") == 2).alias("watertight"))
+    areas = face_areas(vertices, good).groupBy("model_id").agg(F.count("*").alias("faces"), F.avg((F.col("area") < TINY_AREA).cast("int")).alias("tiny"))
+    rows = faces.select("model_id").distinct()
+    for more in (_shape(vertices, prints), doubles, used, areas, broken.groupBy("model_id").agg(F.count("*").alias("bad"))):
+        rows = rows.join(more, "model_id", "left")
+    c = F.col
+    for name in ("vertices", "faces", "boundary_edges", "nonmanifold_edges", "bad", "places"):
+        rows = rows.withColumn(name, F.coalesce(name, F.lit(0)))
+    rows = rows.withColumn("watertight", F.coalesce("watertight", F.lit(False))).withColumn("height", F.coalesce("height", F.lit(0.0))).withColumn("duplicates", c("vertices") - c("places"))
+    structural = _listed((~F.coalesce("finite", F.lit(False)), NOT_FINITE), (c("bad") > 0, BAD_FACES), (~c("watertight"), OPEN_MESH))
+    warnings = F.concat(F.array(F.lit(NO_LABELS)), F.filter(F.array(F.when(c("duplicates") > 0, F.concat(c("duplicates").cast("string"), F.lit(" duplicate vertices welded for topology checks")))), lambda x: x.isNotNull()))
+    rows = _verdict(rows, structural, warnings)
+    return rows.select(
+        "model_id", "vertices", "faces", "duplicates", "boundary_edges", "nonmanifold_edges", "watertight", c("bad").alias("invalid_faces"), F.coalesce("tiny", F.lit(1.0)).alias("tiny_fraction"), "height", "iou", "geometry_valid", "plausibility_pass", "accepted", "failures", "warnings"
+    )
 
 
 def roof_triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
@@ -66,6 +141,44 @@ def roof_triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     return rows.select("model_id", "face_id", "k", *[F.col("p")[i][c].alias(f"{n_}{c}") for n_, i in (("a", F.lit(0)), ("g", F.col("k")), ("c", F.col("k") + 1)) for c in "xyz"])
 
 
+def triangulated(vertices: DataFrame, faces: DataFrame, semantic: str = "RoofSurface") -> DataFrame:
+    """Triangles of the surfaces of a kind, with their holes left open (faces with surface_id and
+    ring_id), as roof_triangles() gives them; a surface that cannot be cut has one row that says why."""
+    corners = faces.where(F.col("semantic") == semantic).join(vertices, ["model_id", "vertex_idx"])
+    kind = dict(faces.dtypes)["model_id"]
+
+    def cut(pdf):
+        import pandas as pd
+
+        from gablestone.functions.triangles import triangulate
+
+        pdf = pdf.sort_values(["ring_id", "ordinal"]).reset_index(drop=True)
+        xyz = pdf[["x", "y", "z"]].to_numpy(float)
+        head = (pdf["model_id"].iloc[0], int(pdf["surface_id"].iloc[0]))
+        # A vertex of two rings is one corner of the plane.
+        number = {v: i for i, v in reversed(list(enumerate(pdf["vertex_idx"])))}
+        rings = [[number[v] for v in r["vertex_idx"]] for _, r in pdf.groupby("ring_id")]
+        try:
+            rows = [(*head, k, *xyz[list(t)].reshape(-1), None) for k, t in enumerate(triangulate(rings, xyz))]
+        except ValueError as e:
+            rows = [(*head, None, *[None] * 9, str(e))]
+        return pd.DataFrame(rows, columns=["model_id", "face_id", "k", *[f"{n}{c}" for n in "agc" for c in "xyz"], "error"]).astype({"k": "Int64"})
+
+    schema = f"model_id {kind}, face_id long, k long, " + ", ".join(f"{n}{c} double" for n in "agc" for c in "xyz") + ", error string"
+    return corners.select("model_id", "surface_id", "ring_id", "ordinal", "vertex_idx", "x", "y", "z").groupBy("model_id", "surface_id").applyInPandas(cut, schema)
+
+
+def surface_areas(vertices: DataFrame, faces: DataFrame) -> DataFrame:
+    """Area of each surface with its holes taken off: rings that run the other way count against it."""
+    keys = ["model_id", "face_id", "surface_id"]
+    own = face_edges(faces).join(faces.select(*keys).distinct(), ["model_id", "face_id"])
+    p = lambda k: vertices.select("model_id", F.col("vertex_idx").alias(k), *[F.col(c).alias(f"{k}{c}") for c in "xyz"])
+    e = own.join(p("a"), ["model_id", "a"]).join(p("b"), ["model_id", "b"])
+    cross = {"x": "ay*bz - az*by", "y": "az*bx - ax*bz", "z": "ax*by - ay*bx"}
+    sums = e.groupBy("model_id", "surface_id", "semantic").agg(*[F.sum(F.expr(v)).alias(f"n{k}") for k, v in cross.items()])
+    return sums.select("model_id", "surface_id", "semantic", (F.sqrt(F.expr("nx*nx + ny*ny + nz*nz")) / 2).alias("area"))
+
+
 def _dot(p: str, q: str) -> str:
     return "(" + " + ".join(f"{p}{c}*{q}{c}" for c in "xyz") + ")"
 
@@ -91,14 +204,20 @@ def residuals(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame
     rows = points.select("model_id", *keys, *[F.col(c).alias(f"p{c}") for c in "xyz"]).join(triangles.drop("face_id", "k"), "model_id")
     for step in DISTANCE_STEPS:
         rows = rows.select("*", *[F.expr(v).alias(k) for k, v in step.items()])
-    return rows.groupBy("model_id", *keys).agg(F.min("distance").alias("distance"))
+    # A triangle without area has no distance, and then the point has none.
+    return rows.groupBy("model_id", *keys).agg(F.when(F.count_if(F.col("distance").isNull()) == 0, F.min("distance")).alias("distance"))
 
 
 def fit_report(found: DataFrame) -> DataFrame:
+    """Distances of a model's points; where a triangle is degenerate the status says so and the rest is
+    NULL."""
     d = F.col("distance")
-    within = lambda t: F.avg((d <= t + 1e-9).cast("int"))
+    ok = F.count(d) == F.count("*")
+    of = lambda value: F.when(ok, value)
+    within = lambda t: of(F.avg((d <= t + 1e-9).cast("int")))
     return found.groupBy("model_id").agg(
-        F.count("*").alias("points"), F.percentile(d, F.lit(0.5)).alias("median_m"), F.sqrt(F.avg(d * d)).alias("rmse_m"), F.percentile(d, F.lit(0.95)).alias("p95_m"), within(0.2).alias("within_020m"), within(0.5).alias("within_050m"), within(1.0).alias("within_100m")
+        F.count("*").alias("points"), of(F.percentile(d, F.lit(0.5))).alias("median_m"), of(F.sqrt(F.avg(d * d))).alias("rmse_m"), of(F.percentile(d, F.lit(0.95))).alias("p95_m"), within(0.2).alias("within_020m"), within(0.5).alias("within_050m"),
+        within(1.0).alias("within_100m"), F.when(ok, "ok").otherwise("degenerate triangle").alias("status"),
     )
 
 

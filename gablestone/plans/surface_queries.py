@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gablestone.functions import projection, text
-from gablestone.operators import cloud_quality, meshes, spatial
-from gablestone.plans.spatial_queries import KEYS, _near, _r
+from gablestone.operators import cloud_quality, evidence, meshes, rasters, spatial
+from gablestone.plans import spatial_queries
+from gablestone.plans.spatial_queries import KEYS, _cells, _near, _r
 from gablestone.sources.adapters import VIEWS, prelude, view
 
 K = ["k1", "k2", "k3", "k4"]
@@ -37,12 +38,38 @@ def d16_mesh_validation(spark, d):
     return _r(meshes.validate(*_mesh(spark, d), spatial.footprints(view(spark, d, "v_edges"))))
 
 
+def d17_obj_validation(spark, d):
+    """The same solids as polygon soup: each face with corners of its own, every fifth model broken."""
+    v, f = _mesh(spark, d)
+    own = f.join(v, ["model_id", "vertex_idx"]).withColumn("own", F.col("face_id") * 10 + F.col("ordinal"))
+    loose = f.select("model_id", "face_id", "ordinal", F.lit(None).cast("string").alias("semantic"), F.when((F.col("model_id") % 5 == 0) & (F.col("face_id") == 1) & (F.col("ordinal") == 0), 999).otherwise(F.col("face_id") * 10 + F.col("ordinal")).alias("vertex_idx"))
+    return _r(meshes.validate_obj(own.select("model_id", F.col("own").alias("vertex_idx"), "x", "y", "z"), loose, spatial.footprints(view(spark, d, "v_edges"))))
+
+
+def a15_valid_ratio(spark, d):
+    return _r(evidence.valid_ratio(rasters.height_raster(view(spark, d, "v_points"), view(spark, d, "v_edges"), 2.0)))
+
+
+def a16_height_statistics(spark, d):
+    return _r(evidence.height_statistics(spatial_queries.r07_normalized(spark, d)))
+
+
+def p10_above_ground(spark, d):
+    own = spatial.in_footprints(view(spark, d, "v_points"), view(spark, d, "v_edges")).where("inside").select("building_id", *K, "z", "classification")
+    return _r(evidence.above_ground(own).select("building_id", *K, "above"))
+
+
+def a11_quality_report(spark, d):
+    """All but the local planes, which a09 checks."""
+    return _r(evidence.quality_report(view(spark, d, "v_points"), view(spark, d, "v_edges"), ["src_building", *K]).drop("planar_support", "residual_p50"))
+
+
 def _residuals(spark, d):
     return meshes.residuals(_roof(spark, d).withColumnRenamed("building_id", "model_id"), meshes.roof_triangles(*_mesh(spark, d)), tuple(K))
 
 
 def a17_fit_report(spark, d):
-    return _r(meshes.fit_report(_residuals(spark, d)))
+    return _r(meshes.fit_report(_residuals(spark, d)).drop("status"))
 
 
 def t03_largest_residuals(spark, d):
@@ -131,12 +158,31 @@ ORACLES = {
     "a18_edge_report": f"{_FE} select * from er",
     "g08_face_areas": f"{_FE} select model_id, face_id, semantic, round(sqrt(nx*nx+ny*ny+nz*nz)/2, 6) as area, round(abs(nz)/2, 6) as area_xy from fc",
     "a19_semantic_histogram": f"{prelude('v_mesh_f')} select model_id, semantic, count(distinct face_id) as faces from v_mesh_f group by all",
-    "d16_mesh_validation": f"""{_FE}, bx as (select model_id, min(x) as lx, min(y) as ly, min(z) as lz, max(x) as hx, max(y) as hy, max(z) as hz from v_mesh_v group by model_id),
-kd as (select model_id, count(distinct face_id) as faces, count(distinct semantic) = 3 as complete from v_mesh_f group by model_id), ga as (select model_id, sum(abs(nz)/2) as g from fc where semantic = 'GroundSurface' group by model_id),
+    "d16_mesh_validation": f"""{_FE}, bx as (select model_id, count(*) as vertices, min(x) as lx, min(y) as ly, min(z) as lz, max(x) as hx, max(y) as hy, max(z) as hz from v_mesh_v group by model_id),
+kd as (select model_id, count(distinct semantic) = 3 as complete from v_mesh_f group by model_id), ga as (select model_id, count(*) as faces, avg((sqrt(nx*nx+ny*ny+nz*nz)/2 < 0.25)::int) as tiny, sum(case when semantic = 'GroundSurface' then abs(nz)/2 end) as g from fc group by model_id),
 fp as (select building_id, abs(sum(case when ring_id = 0 then x1*y2-x2*y1 end))/2 - abs(sum(case when ring_id > 0 then x1*y2-x2*y1 end))/2 as area, min(x1) as fx1, min(y1) as fy1, max(x1) as fx2, max(y1) as fy2 from v_edges group by building_id),
-j as (select er.*, faces, complete, hz-lz as height, g/area as ratio, greatest(least(hx,fx2)-greatest(lx,fx1),0)*greatest(least(hy,fy2)-greatest(ly,fy1),0) as inter, (hx-lx)*(hy-ly)+(fx2-fx1)*(fy2-fy1) as both_ from er join bx using (model_id) join kd using (model_id) left join ga using (model_id) left join fp on fp.building_id = model_id)
-select model_id, faces, edges, boundary_edges, watertight, round(height, 6) as height, round(inter/(both_-inter), 6) as iou, round(ratio, 6) as area_ratio, watertight and complete as geometry_valid, inter/(both_-inter) >= 0.8 and height between 1 and 150 as plausibility_pass,
-  not (ratio between 0.8 and 1.2) as area_warning, array_to_string(list_filter([case when not watertight then 'solid boundary is not watertight' end, case when not complete then 'required semantics are missing' end], lambda f: f is not null), '; ') as failures from j""",
+j as (select er.*, vertices, faces, tiny, complete, hz-lz as height, g/area as ratio, greatest(least(hx,fx2)-greatest(lx,fx1),0)*greatest(least(hy,fy2)-greatest(ly,fy1),0) as inter, (hx-lx)*(hy-ly)+(fx2-fx1)*(fy2-fy1) as both_ from er join bx using (model_id) join kd using (model_id) join ga using (model_id) left join fp on fp.building_id = model_id),
+k as (select *, watertight and complete as gv, inter/(both_-inter) >= 0.8 and height between 1 and 150 as pp from j)
+select model_id, vertices, faces, edges, boundary_edges, watertight, 0 as invalid_rings, round(tiny, 6) as tiny_fraction, round(height, 6) as height, round(inter/(both_-inter), 6) as iou, round(ratio, 6) as area_ratio, gv as geometry_valid, pp as plausibility_pass, gv and pp as accepted,
+  concat_ws('; ', case when not watertight then '{meshes.NOT_WATERTIGHT}' end, case when not complete then '{meshes.NO_SEMANTICS}' end, case when not inter/(both_-inter) >= 0.8 then '{meshes.OFF_PRINT}' end, case when not height between 1 and 150 then '{meshes.OFF_HEIGHT}' end) as failures,
+  case when ratio is null then '{meshes.NO_GROUND}' when not ratio between 0.8 and 1.2 then '{meshes.OFF_GROUND}' else '' end as warnings from k""",
+    "d17_obj_validation": f"""{_FE}, w as (select * from v_mesh_f where not (model_id % 5 = 0 and face_id = 1)), g as (select fe.* from fe where not (model_id % 5 = 0 and face_id = 1)),
+n0 as (select model_id, count(*) as vertices from v_mesh_f group by model_id), n1 as (select model_id, count(distinct vertex_idx) as places from v_mesh_f group by model_id),
+u as (select model_id, least(a,b) as p, greatest(a,b) as q, count(*) as n from g group by all), us as (select model_id, count(*) filter (where n = 1) as boundary_edges, count(*) filter (where n > 2) as nonmanifold_edges, bool_and(n = 2) as watertight from u group by model_id),
+fa as (select model_id, count(*) as faces, avg((sqrt(nx*nx+ny*ny+nz*nz)/2 < 0.25)::int) as tiny from fc where not (model_id % 5 = 0 and face_id = 1) group by model_id)
+select us.model_id, vertices, faces, vertices - places as duplicates, boundary_edges, nonmanifold_edges, watertight, case when us.model_id % 5 = 0 then 1 else 0 end as invalid_faces, round(tiny, 6) as tiny_fraction, 8.0::double as height, 1.0::double as iou, watertight and us.model_id % 5 <> 0 as geometry_valid, true as plausibility_pass,
+  watertight and us.model_id % 5 <> 0 as accepted, concat_ws('; ', case when us.model_id % 5 = 0 then '{meshes.BAD_FACES}' end, case when not watertight then '{meshes.OPEN_MESH}' end) as failures, '{meshes.NO_LABELS}; ' || (vertices - places) || ' duplicate vertices welded for topology checks' as warnings
+from us join n0 using (model_id) join n1 using (model_id) join fa using (model_id)""",
+    "a15_valid_ratio": f"{_near(0)}, {_cells(2.0)} select building_id, round(avg((height is not null)::int), 6) as valid_ratio from cells_h group by building_id",
+    "a16_height_statistics": f"""{_near(0)}, {_cells(2.0)}, {prelude("v_terrain")[5:]}, a as (select c.building_id, round(height-elevation + 1e-9::double, 6) as a from cells_h c left join v_terrain t on t.building_id = c.building_id and t.trow = c.row and t.tcol = c.col)
+select building_id, round(quantile_cont(a, 0.05), 6) as p05, round(quantile_cont(a, 0.5), 6) as p50, round(quantile_cont(a, 0.95), 6) as p95, round(quantile_cont(a, 0.95) - quantile_cont(a, 0.05), 6) as height_range from a where a is not null group by building_id""",
+    "p10_above_ground": f"{_near(0)}, i as (select building_id, k1, k2, k3, k4, z, classification from pt where inside), m as (select building_id, median(z) as g from i where classification = 2 group by building_id) select building_id, k1, k2, k3, round(k4, 6) as k4, round(z - g, 6) as above from i left join m using (building_id)",
+    "a09_local_planes": f"""{_ROOF}, s as (select a.building_id, a.k1, a.k2, a.k3, a.k4, b.x, b.y, b.z, row_number() over (partition by a.building_id, a.k1, a.k2, a.k3, a.k4 order by sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(b.z-a.z)*(b.z-a.z)), b.k1, b.k2, b.k3, b.k4) as k from roof a join roof b on a.building_id = b.building_id),
+c as (select building_id, covar_pop(x,x) as xx, covar_pop(x,y) as xy, covar_pop(x,z) as xz, covar_pop(y,y) as yy, covar_pop(y,z) as yz, covar_pop(z,z) as zz, count(*) as n from s where k <= 16 group by building_id, k1, k2, k3, k4),
+q as (select *, (xx+yy+zz)/3 as q from c where n >= 3), p as (select *, sqrt(((xx-q)*(xx-q)+(yy-q)*(yy-q)+(zz-q)*(zz-q)+2*(xy*xy+xz*xz+yz*yz))/6) as p from q),
+r as (select *, ((xx-q)*((yy-q)*(zz-q)-yz*yz) - xy*(xy*(zz-q)-yz*xz) + xz*(xy*yz-(yy-q)*xz))/nullif(2*p*p*p, 0) as r from p), f as (select *, acos(least(greatest(coalesce(r, 1), -1), 1))/3 as f from r),
+e as (select building_id, q+2*p*cos(f) as e1, greatest(q+2*p*cos(f+2*pi()/3), 0) as e3, q from f), g as (select building_id, e1, e3, 3*q-e1-e3 as e2 from e)
+select building_id, round(avg((sqrt(e3) <= 0.2 and coalesce((e2-e3)/nullif(e1, 0), 0) >= 0.3)::int), 6) as planar_support, round(quantile_cont(sqrt(e3), 0.5), 6) as residual_p50 from g group by building_id""",
     "a17_fit_report": f"""{_distance()} select model_id, count(*) as points, round(quantile_cont(distance, 0.5), 6) as median_m, round(sqrt(avg(distance*distance)), 6) as rmse_m, round(quantile_cont(distance, 0.95), 6) as p95_m,
   round(avg((distance <= 0.2::double + 1e-9::double)::int), 6) as within_020m, round(avg((distance <= 0.5::double + 1e-9::double)::int), 6) as within_050m, round(avg((distance <= 1.0::double + 1e-9::double)::int), 6) as within_100m from res group by model_id""",
     "t03_largest_residuals": f"{_distance()}, rr as (select model_id, k1, k2, k3, k4, round(distance, 6) as distance_ from res) select model_id, k1, k2, k3, round(k4, 6) as k4, round(distance_, 6) as distance from rr order by distance_ desc, model_id, k1, k2, k3, rr.k4 limit 10",
@@ -157,6 +203,14 @@ select c_custkey, case when regexp_full_match(t, '[0-9A-Z]+') and length(t) in (
     "p09_image_size": """with s as (select o_orderkey, cast(ceil(o_totalprice/100/0.25::double) as bigint) as w, cast(ceil(cast(o_custkey % 900 as double)/0.25::double) as bigint) as h from orders)
 select o_orderkey, case when least(w, h) > 0 and greatest(w, h) <= 4096 then w end as width, case when least(w, h) > 0 and greatest(w, h) <= 4096 then h end as height from s""",
 }
-ORACLES = {k: s.replace(", 6) as", " + 1e-9::double, 6) as") for k, s in ORACLES.items()}
-_ROWS_ONLY = ("a09_local_planes", "x01_roof_planes", "x04_dominant_normals")
+_S = spatial_queries.ORACLES
+ORACLES["a11_quality_report"] = f"""with n as ({_near(0)} select building_id, any_value(area) as area, count(*) filter (where inside) as c, count(*) filter (where inside and classification = 6) as r from pt join bb using (building_id) group by building_id),
+h as (select distinct cast(s_suppkey as bigint) as building_id from supplier), c5 as ({_near(0)}, {_cells(0.5)} select building_id, count(*) filter (where points > 0)/count(*)::double as cov from cells_h group by building_id), c10 as ({_S["a06_coverage"]}),
+hole as ({_S["r04_empty_regions"].replace(_cells(2.0), _cells(1.0))}), sp as ({ORACLES["a08_spacing"]}), ol as ({ORACLES["a07_outlier_ratio"]}), al as ({_S["a10_alignment"]}), ar as ({_S["g05_morphology"]})
+select h.building_id, coalesce(c, 0) > 0 as available, coalesce(c, 0) as point_count, coalesce(r, 0) as roof_point_count, round(coalesce(c, 0)/ar.area_m2, 6) as density_all, round(coalesce(r, 0)/ar.area_m2, 6) as density_roof, round(c5.cov, 6) as coverage_050m, c10.coverage as coverage_100m, hole.hole_ratio as largest_hole_ratio,
+  case when r >= 2 then spacing_p50 end as spacing_p50, case when r >= 2 then spacing_p90 end as spacing_p90, outlier_ratio, al.score as alignment_score, al.sx as shift_x, al.sy as shift_y, 'UNCLASSIFIED' as quality_class, 0.0::double as quality_score,
+  concat_ws('; ', case when coalesce(r, 0) = 0 then '{evidence.NO_ROOF_POINTS}' end, case when at_limit then '{evidence.AT_LIMIT}' end) as warnings
+from h left join n using (building_id) left join c5 using (building_id) left join c10 using (building_id) left join hole using (building_id) left join sp using (building_id) left join ol using (building_id) left join al using (building_id) left join ar using (building_id)"""
+ORACLES = {k: s.replace(", 6) as", " + 1e-9::double, 6) as") if k != "a11_quality_report" else s for k, s in ORACLES.items()}
+_ROWS_ONLY = ("x01_roof_planes", "x04_dominant_normals")
 QUERIES = {k: globals()[k] for k in (*ORACLES, *_ROWS_ONLY)}

@@ -15,7 +15,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def read_obj(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(vertices, faces) of OBJ files. A corner is what stands before its first slash; a positive one
     counts from 1, any other from the vertices read so far."""
-    rows = _lines(spark, path).withColumn("f", F.split(F.trim("text"), r"\s+")).withColumn("kind", F.col("f")[0]).where("kind in ('v', 'f')")
+    rows = _lines(spark, path).withColumn("f", F.split(F.trim("text"), r"\s+")).withColumn("kind", F.col("f")[0]).where("kind = 'f' or kind = 'v' and size(f) >= 4")
     rows = rows.withColumn("so_far", F.sum((F.col("kind") == "v").cast("long")).over(Window.partitionBy("model_id").orderBy("line")))
     vertices = rows.where("kind = 'v'").select("model_id", (F.col("so_far") - 1).alias("vertex_idx"), *[F.col("f")[i + 1].cast("double").alias(c) for i, c in enumerate("xyz")])
     faces = rows.where("kind = 'f'").withColumn("face_id", F.row_number().over(Window.partitionBy("model_id").orderBy("line")) - 1)
@@ -31,39 +31,35 @@ _FEATURE = (
 
 def read_cityjsonseq(spark: SparkSession, path: str, lod: str = "2.2") -> tuple[DataFrame, DataFrame]:
     """(vertices, faces) of CityJSON text sequences: the first header and the first feature of each
-    file; solids of one level of detail. Files without either give no rows."""
+    file; solids of one level of detail, of all objects. Each ring is a face of its own, with the number
+    of its surface and its place in it. Files without either give no rows (cityjson_errors() lists them)."""
     rows = _lines(spark, path).where(F.trim("text") != "").withColumn("j", F.from_json("text", _FEATURE))
     first = lambda kind: F.min_by("j", F.when(F.col("j.type") == kind, F.col("line")))
     own = rows.groupBy("model_id").agg(first("CityJSON").alias("h"), first("CityJSONFeature").alias("f"), F.count_if(F.col("j.type") == "CityJSON").alias("nh"), F.count_if(F.col("j.type") == "CityJSONFeature").alias("nf")).where("nh > 0 and nf > 0")
     scaled = lambda i, c: (F.col("v")[i] * F.col("h.transform.scale")[i] + F.col("h.transform.translate")[i]).alias(c)
     vertices = own.select("model_id", "h", F.posexplode("f.vertices").alias("vertex_idx", "v")).select("model_id", F.col("vertex_idx").cast("long").alias("vertex_idx"), *[scaled(i, c) for i, c in enumerate("xyz")])
-    solids = own.select("model_id", F.explode(F.map_values("f.CityObjects")).alias("o")).select("model_id", F.explode("o.geometry").alias("g")).where((F.col("g.type") == "Solid") & (F.col("g.lod") == lod))
-    shells = solids.select("model_id", "g.semantics", F.posexplode("g.boundaries").alias("shell", "surfaces"))
-    faces = shells.select("model_id", "semantics", "shell", F.posexplode("surfaces").alias("face", "rings")).withColumn("kind", F.expr("semantics.surfaces[semantics.values[shell][face]].type"))
-    rings = faces.select("model_id", "shell", "face", "kind", F.posexplode("rings").alias("ring", "corners"))
-    number = (F.col("shell") * 1_000_000 + F.col("face") * 1000 + F.col("ring")).cast("long")
-    return vertices, rings.select("model_id", number.alias("face_id"), F.col("kind").alias("semantic"), F.posexplode("corners").alias("ordinal", "vertex_idx"))
+    # Objects, geometries, shells and surfaces are numbered in the order of the file; a face is a ring.
+    objects = own.select("model_id", F.posexplode(F.map_entries("f.CityObjects")).alias("object", "o")).select("model_id", "object", F.posexplode("o.value.geometry").alias("geometry", "g"))
+    shells = objects.where((F.col("g.type") == "Solid") & (F.col("g.lod") == lod)).select("model_id", "object", "geometry", "g.semantics", F.posexplode("g.boundaries").alias("shell", "surfaces"))
+    place = ["object", "geometry", "shell", "surface"]
+    faces = shells.select("model_id", *place[:3], "semantics", F.posexplode("surfaces").alias("surface", "rings")).withColumn("kind", F.expr("semantics.surfaces[semantics.values[shell][surface]].type"))
+    order = Window.partitionBy("model_id").orderBy(*place)
+    faces = faces.withColumn("surface_id", F.row_number().over(order) - 1)
+    rings = faces.select("model_id", F.col("surface_id").cast("long").alias("surface_id"), "kind", F.posexplode("rings").alias("ring_id", "corners"))
+    rings = rings.withColumn("face_id", (F.row_number().over(Window.partitionBy("model_id").orderBy("surface_id", "ring_id")) - 1).cast("long"))
+    return vertices, rings.select("model_id", "face_id", F.col("kind").alias("semantic"), "surface_id", "ring_id", F.posexplode("corners").alias("ordinal", "vertex_idx"))
 
 
-def _texts(xml, name: str):
-    return F.xpath(xml, F.lit(f"//*[local-name()='{name}']/text()"))
-
-
-def buildings(xml: DataFrame, column: str = "xml") -> DataFrame:
-    """Identity, dwellings, area and rings of registry documents with one building each; documents with
-    none or several have a status that says so and NULL for the rest."""
-    one = lambda name: F.nullif(F.trim(F.get(_texts(column, name), F.lit(0))), F.lit(""))
-    out = xml.select(
-        "*", F.xpath_number(column, F.lit("count(//*[local-name()='Building'])")).cast("int").alias("n_buildings"), one("localId").alias("local_id"), one("namespace").alias("namespace"), one("numberOfDwellings").cast("int").alias("dwellings"),
-        one("value").cast("double").alias("official_area_m2"), _texts(column, "posList").alias("rings"),
-    )
-    ok = F.col("n_buildings") == 1
-    out = out.withColumn("status", F.when(ok, "ok").when(F.col("n_buildings") == 0, "no building").otherwise("several buildings"))
-    return out.select(*xml.columns, "status", *[F.when(ok, F.col(c)).alias(c) for c in ("local_id", "namespace", "dwellings", "official_area_m2", "rings")], F.when(ok, F.concat_ws(".", "namespace", "local_id")).alias("building_id"))
+def cityjson_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(model_id, error) of the sequences without a header or without a feature."""
+    rows = _lines(spark, path).withColumn("type", F.get_json_object("text", "$.type"))
+    own = rows.groupBy("model_id").agg(F.count_if(F.col("type") == "CityJSON").alias("nh"), F.count_if(F.col("type") == "CityJSONFeature").alias("nf"))
+    return own.select("model_id", F.when(F.col("nh") == 0, "no header").when(F.col("nf") == 0, "no feature").alias("error")).where("error is not null")
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, suffix, size) of ZIP files; names that leave the archive are an error."""
+    """(archive, ordinal, member, suffix, size, packed) of the files in ZIP archives; names that leave
+    the archive are an error."""
 
     def run(batches):
         import io
@@ -76,14 +72,14 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
             for name, content in pdf.itertuples(index=False):
                 rows = []
                 for m in zipfile.ZipFile(io.BytesIO(content)).infolist():
-                    p = PurePosixPath(m.filename)
+                    p = PurePosixPath(m.filename.replace("\\", "/"))
                     if p.is_absolute() or ".." in p.parts:
                         raise ValueError(f"{name}: a member outside the archive")
                     if not m.is_dir():
-                        rows.append((name, m.filename, p.suffix.lower(), m.file_size))
-                yield pd.DataFrame(rows, columns=["archive", "member", "suffix", "size"])
+                        rows.append((name, len(rows), str(p), p.suffix.lower(), m.file_size, m.compress_size))
+                yield pd.DataFrame(rows, columns=["archive", "ordinal", "member", "suffix", "size", "packed"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, suffix string, size long")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, ordinal int, member string, suffix string, size long, packed long")
 
 
 def write_geojson(rows: DataFrame, path: str, properties: list[str]) -> None:

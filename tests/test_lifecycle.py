@@ -13,6 +13,13 @@ def test_outcomes(spark):
     assert got == {1: ("SUCCEEDED", "1.2"), 2: ("ABSTAINED", None), 3: ("ABSTAINED", None), 4: ("SUCCEEDED", "1.2"), 5: ("FAILED", None)}
 
 
+def test_a_fallback_result_stands_as_it_is(spark):
+    plans = spark.createDataFrame([(1, "2.2", "roofer", "1.2", "execute"), (2, "2.2", "roofer", "1.2", "execute")], "building_id long, target_lod string, selected_backend string, fallback_lod string, decision string")
+    results = spark.createDataFrame([(1, "roofer", "2.2", True, False), (1, "roofer", "1.2", True, False), (2, "roofer", "2.2", True, False), (2, "roofer", "1.2", False, False)], "building_id long, backend string, lod string, succeeded boolean, accepted boolean")
+    got = {r.building_id: (r.status, r.delivered_lod, r.warning is None) for r in lifecycle.outcomes(plans, results).collect()}
+    assert got == {1: ("SUCCEEDED", "1.2", False), 2: ("FAILED", None, False)}
+
+
 def test_gates(spark):
     points = spark.createDataFrame([(1, 20.0, 2), (1, 21.0, 2), (2, 5.0, 6)], "building_id long, z double, classification int")
     rings = spark.createDataFrame([(1, 0, 0, 4, True, "EPSG:25830"), (2, 0, 0, 4, True, "EPSG:25830"), (2, 0, 1, 4, False, "EPSG:25830")], "building_id long, polygon_id int, ring_id int, corners int, closed boolean, crs string")

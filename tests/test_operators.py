@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gablestone.functions import geometry, projection, text
-from gablestone.operators import benchmarks, cloud_quality, decisions, meshes, rasters, spatial
+from gablestone.operators import benchmarks, cloud_quality, decisions, evidence, meshes, rasters, spatial
 
 EDGES = "building_id long, polygon_id long, ring_id long, edge_id long, x1 double, y1 double, x2 double, y2 double"
 POINTS = "building_id long, k long, x double, y double, z double, classification long, overlap_flag long"
@@ -132,7 +132,7 @@ def test_mesh_validation(spark):
     r = meshes.validate(*mesh(spark), prints).first()
     assert (r.watertight, r.height, r.iou, r.area_ratio, r.geometry_valid, r.plausibility_pass, r.failures) == (True, 10, 1, 1, True, True, "")
     r = meshes.validate(*mesh(spark, FACES[:-1]), prints).first()
-    assert not r.geometry_valid and r.boundary_edges == 4 and r.failures == "solid boundary is not watertight"
+    assert not r.geometry_valid and r.boundary_edges == 4 and r.failures == meshes.NOT_WATERTIGHT and not r.accepted
 
 
 def test_fit(spark):
@@ -142,6 +142,87 @@ def test_fit(spark):
     assert triangles.count() == 2 and r.rmse_m == pytest.approx(math.sqrt(1.08 / 4)) and r.p95_m == pytest.approx(0.88) and r.within_020m == 0.75
 
 
+def test_a_triangle_without_area_has_no_distance(spark):
+    points = spark.createDataFrame([(1, 0, 1.0, 1.0, 1.0)], "model_id long, k long, x double, y double, z double")
+    flat = spark.createDataFrame([(1, 0, 1, *[0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 2.0, 0.0, 0.0])], "model_id long, face_id long, k long, " + ", ".join(f"{n}{c} double" for n in "agc" for c in "xyz"))
+    r = meshes.fit_report(meshes.residuals(points, flat, ("k",))).first()
+    assert r.status == "degenerate triangle" and r.rmse_m is None and r.points == 1
+
+
+def test_polygon_soup(spark):
+    v, f = mesh(spark)
+    own = f.join(v, ["model_id", "vertex_idx"]).withColumn("own", F.col("face_id") * 4 + F.col("ordinal"))
+    loose = own.select("model_id", F.col("own").alias("vertex_idx"), "x", "y", "z"), own.select("model_id", "face_id", "ordinal", F.lit(None).cast("string").alias("semantic"), F.col("own").alias("vertex_idx"))
+    prints = spatial.footprints(spark.createDataFrame(ring([(0, 0), (10, 0), (10, 8), (0, 8)]), EDGES))
+    r = meshes.validate_obj(*loose, prints).first()
+    assert (r.vertices, r.duplicates, r.faces, r.watertight, r.accepted, r.failures) == (24, 16, 6, True, True, "")
+    broken = loose[1].union(spark.createDataFrame([(1, 9, 0, None, 0), (1, 9, 1, None, 777), (1, 9, 2, None, 1)], loose[1].schema))
+    r = meshes.validate_obj(loose[0], broken, prints).first()
+    assert (r.invalid_faces, r.failures, r.geometry_valid) == (1, meshes.BAD_FACES, False)
+
+
+def test_surfaces_with_holes(spark):
+    v = spark.createDataFrame([(1, i, float(x), float(y), 5.0 + 0.1 * x) for i, (x, y) in enumerate([(0, 0), (10, 0), (10, 10), (0, 10), (4, 4), (4, 6), (6, 6), (6, 4)])], "model_id long, vertex_idx long, x double, y double, z double")
+    f = spark.createDataFrame([(1, r, o, i, "RoofSurface", 0, r) for r, c in enumerate([[0, 1, 2, 3], [4, 5, 6, 7]]) for o, i in enumerate(c)], "model_id long, face_id long, ordinal long, vertex_idx long, semantic string, surface_id long, ring_id long")
+    found = meshes.triangulated(v, f).collect()
+    size = lambda t: abs((t.gx - t.ax) * (t.cy - t.ay) - (t.gy - t.ay) * (t.cx - t.ax)) / 2
+    assert len(found) == 8 and sum(map(size, found)) == pytest.approx(96) and all(t.error is None for t in found)
+    assert meshes.surface_areas(v, f).first().area == pytest.approx(96 * math.sqrt(1.01))
+    assert meshes.triangulated(v.withColumn("x", F.lit(1.0)).withColumn("z", F.lit(1.0)), f).first().error == "the surface is degenerate"
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_triangles_cover_random_polygons(seed):
+    import numpy as np
+
+    from gablestone.functions.triangles import triangulate
+
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(4, 25))
+    angle = np.sort(rng.uniform(0, 2 * np.pi, n))
+    star = np.c_[np.cos(angle), np.sin(angle)] * rng.uniform(6, 12, n)[:, None]
+    holes = [np.array([[x, y], [x, y + 1], [x + 1, y + 1], [x + 1, y]]) for x, y in ((-2, -2), (1, 1), (-2, 1))][: int(rng.integers(0, 4))]
+    xy = np.concatenate([star, *holes])
+    area = lambda p: abs(np.sum(p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1])) / 2
+    if np.diff(np.append(angle, angle[0] + 2 * np.pi)).max() > 2:
+        return  # the holes may lie outside
+    rings, at = [list(range(n))], n
+    for h in holes:
+        rings.append(list(range(at, at + 4)))
+        at += 4
+    t = triangulate(rings, np.c_[xy, xy @ [0.2, 0.3]])
+    assert len(t) == len(xy) + 2 * len(holes) - 2
+    assert sum(area(xy[list(x)]) for x in t) == pytest.approx(area(star) - len(holes))
+
+
+def test_plan_reasons(spark):
+    rows = [(1, "auto", "strict", "auto", "2.2", True, True, True, True, "GOOD", "SIMPLE"), (2, "2.2", "fallback", "auto", "1.2", True, False, False, True, "GOOD", "COMPLEX"), (3, "2.2", "strict", "city3d", None, False, False, False, True, "", "SIMPLE"), (4, "2.2", "force_experimental", "city3d", None, False, False, False, True, "", "SIMPLE")]
+    d = spark.createDataFrame(rows, "id long, lod_request string, policy string, backend_request string, highest_lod string, lod12 boolean, lod13 boolean, lod22 boolean, available boolean, quality_class string, complexity_class string")
+    got = {r.id: r for r in decisions.with_plan(d).collect()}
+    assert (got[1].profile, got[1].plan_reasons) == ("balanced", ["automatic target is highest supported LoD 2.2", "selected available roofer backend"])
+    assert (got[2].profile, got[2].target_lod, got[2].plan_reasons[0]) == ("conservative", "1.2", "downgraded unsupported request to LoD 1.2")
+    assert (got[3].decision, got[3].plan_reasons) == ("no_lod", ["requested LoD 2.2 is not supported"])
+    assert (got[4].selected_backend, got[4].plan_warnings) == ("city3d", [decisions.FORCED_WARNING])
+
+
+def test_buildings_without_points_have_a_report(spark):
+    edges = spark.createDataFrame(square(0, 4) + square(100, 104, building=2), EDGES)
+    points = cloud(spark, [(0.5, 0.5, 10, 6), (1.5, 0.5, 10.1, 6), (2.5, 0.5, 10.2, 6), (2.5, 2.5, 10.2, 2)]).drop("building_id")
+    got = {r.building_id: r for r in evidence.quality_report(points, edges, ["k"]).collect()}
+    assert (got[1].available, got[1].point_count, got[1].roof_point_count, got[1].density_roof, got[1].coverage_100m, got[1].spacing_p50) == (True, 4, 3, 3 / 16, 3 / 16, 1)
+    assert (got[2].available, got[2].roof_point_count, got[2].alignment_score, got[2].outlier_ratio, got[2].warnings) == (False, 0, None, None, evidence.NO_ROOF_POINTS)
+    with pytest.raises(ValueError):
+        evidence.Limits(neighbours=2)
+
+
+def test_the_aspect_of_a_plane(spark):
+    south = cloud(spark, [(x, y, 0.2 * y, 6) for x in range(10) for y in range(10)])  # it rises to the north
+    assert cloud_quality.roof_planes(south, ["k"]).first().aspect_deg == pytest.approx(0, abs=0.1)
+    plane = spark.createDataFrame([(1, 0, 0.0, 0.0, 1.0, 5.0), (1, 1, 0.0, 0.0, 1.0, 9.0)], "building_id long, plane int, nx double, ny double, nz double, offset double")
+    got = cloud_quality.nearest_plane(cloud(spark, [(0, 0, 6, 6), (0, 0, 7, 6)]), plane, ["k"]).orderBy("k").collect()
+    assert [(r.plane, r.distance) for r in got] == [(0, 1), (0, 2)]
+
+
 def test_distance_to_edges_and_corners(spark):
     points = spark.createDataFrame([(1, i, *map(float, p)) for i, p in enumerate([(-3, -4, 10), (5, -2, 10), (5, 4, 13), (13, 12, 10)])], "model_id long, k long, x double, y double, z double")
     got = [r.distance for r in meshes.residuals(points, meshes.roof_triangles(*mesh(spark)), ("k",)).orderBy("k").collect()]
@@ -177,9 +258,9 @@ def test_projection_goes_there_and_back(spark):
 
 
 def test_text_rules(spark):
-    d = spark.createDataFrame([(" 4531917yj2743b ", "EPSG:25830", "1 2 3 4"), ("123!", "urn:ogc:def:crs:EPSG::4326", "1 2 3"), (None, "25830", "")], "r string, c string, p string")
+    d = spark.createDataFrame([(" 1234567ab8901c ", "EPSG:25830", "1 2 3 4"), ("123!", "urn:ogc:def:crs:EPSG::4326", "1 2 3"), (None, "25830", "")], "r string, c string, p string")
     got = d.select(text.reference_root(F.col("r")), text.crs(F.col("c")), F.size(text.positions(F.col("p")))).collect()
-    assert [tuple(r) for r in got] == [("4531917YJ2743B", "EPSG:25830", 2), (None, "EPSG:4326", None), (None, None, None)]
+    assert [tuple(r) for r in got] == [("1234567AB8901C", "EPSG:25830", 2), (None, "EPSG:4326", None), (None, None, None)]
 
 
 def test_box_overlap(spark):

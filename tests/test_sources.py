@@ -6,20 +6,21 @@ import numpy as np
 from gablestone.operators import meshes, spatial
 from gablestone.plans import registry
 from gablestone.sources import las, models
+from gablestone.sources import registry as registry_source
 from gablestone.streaming import landing
 
 
 def test_las_tiles(spark, tmp_path):
-    las.write(f"{tmp_path}/a.las", np.array([1.0, 5.0, 20.0]), np.array([1.0, 5.0, 20.0]), np.array([10.0, 15.0, 30.0]), [2, 6, 5], [False, True, False])
-    las.write(f"{tmp_path}/b.las", np.array([1015.0]), np.array([0.5]), np.array([3.25]), [12])
+    las.write(f"{tmp_path}/a.las", np.array([3.5, 7.25, 42.0]), np.array([2.5, 8.0, 11.0]), np.array([100.0, 104.5, 90.25]), [6, 2, 3], [True, False, False])
+    las.write(f"{tmp_path}/b.las", np.array([2048.0]), np.array([0.75]), np.array([-3.5]), [12])
     las.register(spark)
     rows = spark.read.format("las").option("range_points", 2).load(str(tmp_path)).orderBy("tile", "point_id").collect()
-    assert [(r.tile, r.point_id, round(r.x, 3), round(r.z, 3), r.classification, r.overlap) for r in rows] == [("a.las", 0, 1, 10, 2, False), ("a.las", 1, 5, 15, 6, True), ("a.las", 2, 20, 30, 5, False), ("b.las", 0, 1015, 3.25, 12, False)]
-    assert las.header((tmp_path / "a.las").read_bytes())["max"] == (20, 20, 30)
+    assert [(r.tile, r.point_id, round(r.x, 3), round(r.z, 3), r.classification, r.overlap) for r in rows] == [("a.las", 0, 3.5, 100, 6, True), ("a.las", 1, 7.25, 104.5, 2, False), ("a.las", 2, 42, 90.25, 3, False), ("b.las", 0, 2048, -3.5, 12, False)]
+    assert las.header((tmp_path / "a.las").read_bytes())["max"] == (42, 11, 104.5)
 
 
 def test_obj(spark, tmp_path):
-    (tmp_path / "m.obj").write_text("v 0 0 0\nv 1 0 0\nv 0 1 0\nf 1/1 2/2 3/3\nv 0 0 1\nf -1 -2 -3\n")
+    (tmp_path / "m.obj").write_text("v 0 0 0\nv 5\nv 1 0 0\nv 0 1 0\nf 1/1 2/2 3/3\nv 0 0 1\nf -1 -2 -3\n")
     v, f = models.read_obj(spark, str(tmp_path / "m.obj"))
     assert v.count() == 4
     by = {}
@@ -37,18 +38,29 @@ def test_cityjsonseq(spark, tmp_path):
     assert {(r.semantic, r.faces) for r in meshes.semantic_histogram(f).collect()} == {("GroundSurface", 1), ("RoofSurface", 1)}
 
 
-def test_registry_documents(spark):
-    one = '<a xmlns:b="u"><b:Building><b:localId>4531917YJ2743B</b:localId><b:namespace>ES.X.BU</b:namespace><b:numberOfDwellings>16</b:numberOfDwellings><b:value>2698</b:value><b:posList>0 0 1 0 1 1 0 0</b:posList></b:Building></a>'
-    rows = models.buildings(spark.createDataFrame([(one,), ("<a/>",)], "xml string")).collect()
-    assert (rows[0].status, rows[0].building_id, rows[0].dwellings, rows[0].official_area_m2) == ("ok", "ES.X.BU.4531917YJ2743B", 16, 2698)
-    assert (rows[1].status, rows[1].building_id) == ("no building", None)
+def test_two_objects_and_a_hole_keep_their_faces_apart(spark, tmp_path):
+    square = lambda k: {"type": "Solid", "lod": "2.2", "boundaries": [[[[k, k + 1, k + 2, k + 3]]]], "semantics": {"surfaces": [{"type": "RoofSurface"}], "values": [[0]]}}
+    pierced = {"type": "Solid", "lod": "2.2", "boundaries": [[[[0, 1, 2, 3], [8, 11, 10, 9]]]], "semantics": {"surfaces": [{"type": "RoofSurface"}], "values": [[0]]}}
+    corners = [[0, 0, 0], [10, 0, 0], [10, 10, 0], [0, 10, 0], [20, 0, 0], [30, 0, 0], [30, 10, 0], [20, 10, 0], [4, 4, 0], [6, 4, 0], [6, 6, 0], [4, 6, 0]]
+    head = {"type": "CityJSON", "transform": {"scale": [1, 1, 1], "translate": [0, 0, 0]}}
+    for name, objects in (("two", {"a": {"geometry": [square(0)]}, "b": {"geometry": [square(4)]}}), ("hole", {"a": {"geometry": [pierced]}})):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(map(json.dumps, [head, {"type": "CityJSONFeature", "id": "x", "vertices": corners, "CityObjects": objects}])))
+    (tmp_path / "none.jsonl").write_text(json.dumps(head))
+    v, f = models.read_cityjsonseq(spark, str(tmp_path / "two.jsonl"))
+    assert sorted(r.area for r in meshes.face_areas(v, f).collect()) == [100, 100]
+    v, f = models.read_cityjsonseq(spark, str(tmp_path / "hole.jsonl"))
+    assert sorted(r.area for r in meshes.face_areas(v, f).collect()) == [4, 100] and [r.area for r in meshes.surface_areas(v, f).collect()] == [96]
+    assert [(r.model_id, r.error) for r in models.cityjson_errors(spark, str(tmp_path)).collect()] == [("none.jsonl", "no feature")]
 
 
 def test_archives_and_geojson(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("x/1.PNG", b"123")
         z.writestr("y.csv", b"1")
-    assert {(r.member, r.suffix, r.size) for r in models.archive_members(spark, str(tmp_path / "a.zip")).collect()} == {("x/1.PNG", ".png", 3), ("y.csv", ".csv", 1)}
+    members = models.archive_members(spark, str(tmp_path / "a.zip"))
+    assert {(r.member, r.suffix, r.size) for r in members.collect()} == {("x/1.PNG", ".png", 3), ("y.csv", ".csv", 1)}
+    r = registry_source.inventory(members, 1).first()
+    assert (r.files, r.bytes, r.top, r.suffixes, r.sample) == (2, 4, ["x", "y.csv"], {".csv": 1, ".png": 1}, ["x/1.PNG"])
     edges = spark.createDataFrame([(1, 0, 0, i, *map(float, e)) for i, e in enumerate([(0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 0)])], "building_id long, polygon_id long, ring_id long, edge_id long, x1 double, y1 double, x2 double, y2 double")
     models.write_geojson(spatial.footprints(edges), f"{tmp_path}/g", ["building_id"])
     f = json.loads(spark.read.text(f"{tmp_path}/g").first().value)
