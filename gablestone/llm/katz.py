@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablestone.llm._base import scratch
+from gablestone.llm._base import cut, remove, scratch
 
 CHUNK_BYTES = 12 << 20
 #: Rows of words or pairs in a bucket, about.
@@ -380,9 +380,18 @@ def split(docs: DataFrame, folds: int = 7, held: int = 2):
 
 def score(docs: DataFrame, held) -> DataFrame:
     """Learn from docs (doc_id, text) where the Column held is false and score all of them: SCORES.
-    The tables lie under the work folder."""
+    The tables lie under the work folder until the scores are written."""
     spark = docs.sparkSession
     path, name = scratch(spark, "katz"), f"gablestone_{uuid.uuid4().hex}"
+    try:
+        return _scored(docs, held, path, name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
+        remove(spark, path)
+
+
+def _scored(docs: DataFrame, held, path: str, name: str) -> DataFrame:
+    spark = docs.sparkSession
     parts = max(1, docs.rdd.getNumPartitions())
     _chunks(docs, held).write.bucketBy(2 * parts, "chunk").sortBy("chunk").option("path", f"{path}/chunks").saveAsTable(name)
     chunks = spark.table(name)
@@ -398,13 +407,13 @@ def score(docs: DataFrame, held) -> DataFrame:
     words = written(_count_words(chunks, n_words), "words")
     total, kinds, *n = _stats(words)
     if not total:
-        return _untrained(chunks)
+        return cut(_untrained(chunks), "scores")
     unigrams = Unigrams(total, kinds, [0, *n])
     hot = max(LEAST_HOT, total // n_pairs)
     sums = written(_count_pairs(_ask_pairs(chunks, words, n_train, n_pairs, hot), unigrams), "pairs")
     d = discounts([0, *_stats(sums)])
     answers = written(_answers(sums, _hot_sums(sums, hot), hot, d), "weights")
-    return _scores(chunks, words, answers, unigrams, d, n_train, n_pairs, hot)
+    return cut(_scores(chunks, words, answers, unigrams, d, n_train, n_pairs, hot), "scores")
 
 
 def _untrained(chunks: DataFrame) -> DataFrame:

@@ -173,7 +173,9 @@ def pack(docs: DataFrame, length=None, capacity: int = CAPACITY, shard_docs: int
     begins there), length, bin_start (where it begins in the bin)."""
     sized = cut(lengths(docs, length, tokenizer), "lengths")
     shards = max(1, -(-sized.count() // shard_docs))
-    sized = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    # The place in the written table spreads rows that repeat.
+    sized = sized.withColumn("place", F.monotonically_increasing_id())
+    sized = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "place"), F.lit(shards))).drop("place")
 
     def run(table):
         import pyarrow as pa

@@ -106,30 +106,37 @@ def thresholds(counted: DataFrame, labels: DataFrame, limit: float = LIMIT, delt
     return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
 
 
-def _judged(docs: DataFrame, labels: DataFrame, work: Work) -> DataFrame:
-    """docs (doc_id, text, stratum, row) as doc_id, row, f (counts), base_failed and kept. The counts
-    are worked out once and written: the cutoffs and the verdicts both read them."""
-    counted = docs.select("doc_id", "row", F.coalesce("stratum", F.lit("")).alias("stratum"), features().alias("f"))
-    counted = work.cut(counted, "counts")
-    cuts = work.cut(thresholds(counted, labels), "cuts").withColumnRenamed("stratum", "key")
-    cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_STRATA else cuts
-    out = counted.join(cuts, F.col("key") == F.col("stratum"), "left")
+def _verdict(docs: DataFrame, cuts: DataFrame) -> DataFrame:
+    """docs (with stratum and f, the counts) with base_failed and kept, by the cutoffs."""
+    cuts = cuts.withColumnRenamed("stratum", "key")
+    out = docs.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_STRATA else cuts, F.col("key") == F.col("stratum"), "left")
     rejected = F.lit(False)
     for rule, share in _shares("f").items():
         rejected = rejected | F.coalesce(share >= F.try_element_at("cuts", F.lit(rule)), F.lit(False))
-    return out.select("doc_id", "row", "f", _base_failed("f").alias("base_failed"), (~_base_failed("f") & ~rejected).alias("kept"))
+    # One case over both sides: a conjunct of its own would be pushed below the counting and count again.
+    kept = F.when(_base_failed("f") | rejected, F.lit(False)).otherwise(F.lit(True))
+    return out.withColumn("base_failed", _base_failed("f")).withColumn("kept", kept).drop("key", "cuts")
+
+
+def _counted(docs: DataFrame, stratum: str, *more) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), features().alias("f"), *more)
 
 
 def report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, the counts, base_failed and kept of every document."""
-    base = docs.select("doc_id", "text", F.col(stratum).alias("stratum"), F.lit(None).cast("string").alias("row"))
+    """doc_id, the counts, base_failed and kept of every document. The counts are worked out once and
+    written: the cutoffs and the verdicts both read them."""
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     with Work(docs.sparkSession, "quality") as work:
-        return work.keep(_judged(base, labels, work).select("doc_id", *[f"f.{c}" for c in counts], "base_failed", "kept"))
+        counted = work.cut(_counted(docs, stratum), "counts")
+        cuts = work.cut(thresholds(counted, labels), "cuts")
+        return work.keep(_verdict(counted, cuts).select("doc_id", *[f"f.{c}" for c in counts], "base_failed", "kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The documents that pass, with their columns, which travel as one so that no name clashes."""
-    base = docs.select("doc_id", "text", F.col(stratum).alias("stratum"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    """The documents that pass, with their columns, which travel as one so that no name clashes. The
+    cutoffs are worked out first, from counts without texts; the verdicts count each text again, which
+    spares a second copy of all texts on disk."""
     with Work(docs.sparkSession, "quality") as work:
-        return work.keep(_judged(base, labels, work).where("kept").select("row.*"))
+        cuts = work.keep(thresholds(work.cut(_counted(docs, stratum), "counts"), labels))
+    rows = _counted(docs, stratum, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return _verdict(rows, cuts).where("kept").select("row.*")

@@ -224,6 +224,25 @@ def test_the_query_packs_tokens(spark, docs, tmp_path):
 # Language models
 
 
+def good_turing(n):
+    """Discounts of counts 0 .. 6 from the numbers n[r] of items of count r, by the book: r* = (r + 1)
+    n[r+1] / n[r], renormalised so that counts above 5 keep theirs; thin counts take an absolute one."""
+    lost = 6 * n[6] / n[1] if n[1] else 1
+    d = [1.0] * 7
+    for r in range(1, 6):
+        star = (r + 1) * n[r + 1] / n[r] if n[r] else 0
+        d[r] = (star / r - lost) / (1 - lost) if lost < 1 else 0
+    if not all(0 < x <= 1 for x in d) or not d[1] < 1 or not all(n[1:7]):
+        off = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+        d = [1.0, *[1 - off / r for r in range(1, 6)], 1.0]
+    return d
+
+
+def test_discounts_are_good_turings():
+    for n in ([0, 900, 300, 150, 90, 60, 45], [0, 10_000, 3000, 1500, 900, 640, 470], [0, 5, 0, 0, 0, 0, 0], [0, 9, 9, 9, 9, 9, 9], [0, 1, 9, 1, 9, 1, 9]):
+        assert katz.discounts(n) == pytest.approx(good_turing(n))
+
+
 def test_katz(docs, monkeypatch):
     for name, value in (("BUCKET_ROWS", 900), ("CHUNK_BYTES", 40_000), ("LEAST_HOT", 20)):
         monkeypatch.setattr(katz, name, value)
@@ -238,19 +257,19 @@ def test_katz(docs, monkeypatch):
                 of[a] += 1
                 after[a].add(b)
     kinds = lambda c: [0, *[sum(v == r for v in c.values()) for r in range(1, 7)]]
-    total, d = sum(one.values()), katz.discounts(kinds(two))
-    uni = katz.Unigrams(total, len(one), kinds(one))
-    p1 = {w: float(uni.p(np.array([c]))[0]) for w, c in one.items()}
-    assert abs(sum(p1.values()) + uni.unknown - 1) < 1e-9
+    total, d = sum(one.values()), good_turing(kinds(two))
+    left = 1 - sum(good_turing(kinds(one))[min(c, 6)] * c for c in one.values()) / total
+    p1 = {w: good_turing(kinds(one))[min(c, 6)] * c / total for w, c in one.items()}
+    assert left > 0 and abs(sum(p1.values()) + left - 1) < 1e-9
 
     def p(w, h):
         if not of[h]:
-            return p1.get(w, uni.unknown)
+            return p1.get(w, left)
         kept = sum(d[min(two[h, x], 6)] * two[h, x] for x in after[h])
         under = of[h] + (of[h] - kept < 1e-9)
         if two[h, w]:
             return d[min(two[h, w], 6)] * two[h, w] / under
-        return (1 - kept / under) / (1 - sum(p1[x] for x in after[h])) * p1.get(w, uni.unknown)
+        return (1 - kept / under) / (1 - sum(p1[x] for x in after[h])) * p1.get(w, left)
 
     for h in ["the begin", "the", *list(of)[:5]]:  # each history's probabilities sum to one
         seen = sum(p(w, h) for w in one)
@@ -265,6 +284,17 @@ def test_katz(docs, monkeypatch):
         assert any(r[:5] == (doc_id, held, len(w), sum(one[x] > 0 for x in w), total) and abs(r[5] - base) < 1e-6 and abs(r[6] - score) < 1e-6 for r in got), doc_id
 
 
+def test_katz_leaves_no_tables(docs, spark):
+    assert katz.op4(docs).count() == docs.count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("gablestone_")]
+
+
+def test_rows_that_repeat_are_spread_over_shards(spark):
+    one = spark.createDataFrame([(7, "a b c", None)] * 400, "doc_id long, text string, source string")
+    got = packing.pack(one, capacity=64, shard_docs=50)
+    assert got.count() == 400 and got.select(F.shiftright("bin_id", 32)).distinct().count() > 4
+
+
 def test_katz_of_nothing(empty, docs):
     assert katz.op4(empty).count() == 0
     assert {(r.train_tokens, r.score) for r in katz.score(docs, F.lit(True)).collect()} == {(0, 0.0)}
