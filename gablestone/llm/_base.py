@@ -64,6 +64,14 @@ class Work:
         for name in names:
             remove(self.spark, f"{self.path}/{name}")
 
+    def release(self) -> None:
+        """Shuffle files of jobs that are done go when the driver collects its garbage; large ones need not
+        wait until it happens to."""
+        import gc
+
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def keep(self, df: DataFrame) -> DataFrame:
         """The result, written outside the folder: it outlives the call."""
         return cut(df, self.tag)

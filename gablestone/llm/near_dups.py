@@ -283,7 +283,9 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     rows = work.cut(rows.select("doc_id", "n_shingles", "node"), "ids")
     named = rows.where("node is not null and doc_id is not null")
     work.drop("rows")
+    work.release()
     lists = work.cut(_leaders(_lists(nodes, percent)), "lists-0")
+    work.release()
     links, k, size = [], 0, lists.count()
     while size:
         pairs = work.cut(lists.select("c", F.col("node").alias("x")).where("c <> x").distinct(), f"pairs-{k}")
@@ -295,6 +297,7 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
         left = _leaders(lists.where("node <> c").join(gone, ["c", "node"], "left_anti").drop("c"))
         lists = work.cut(left, f"lists-{k + 1}")
         work.drop(f"lists-{k}")
+        work.release()
         before, size, k = size, lists.count(), k + 1
         if size > before // 2:
             break

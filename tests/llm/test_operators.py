@@ -434,7 +434,7 @@ def near_by_force(given, width, percent=80):
     return {d: find(d) for d in ids}
 
 
-@pytest.mark.parametrize("seed, width, percent", [(1, 2, 80), (2, 5, 80), (3, 1, 90)])
+@pytest.mark.parametrize("seed, width, percent", [(1, 2, 80), (2, 5, 90)])
 def test_groups_of_stars_chains_and_shared_passages(spark, seed, width, percent):
     """Copies of an original with many or few changes, copies of copies, truncated ones, a passage in
     all, and sizes about the sketch's."""
