@@ -1,4 +1,10 @@
-"""From documents to packed sequences: five stages, each on all that its predecessor kept."""
+"""From documents to packed sequences: five stages, each on all that its predecessor kept.
+
+Defined results: null and empty texts, and those of under 20 words, go with the quality rules; a null
+language is a stratum of its own; texts without a letter go with the languages; rows that repeat a
+doc_id stay or go together but for the quality rules, which judge each row; a row without a doc_id is a
+near copy of nothing; very long texts are read whole; no documents give no sequences; extra columns,
+whatever their names, stay up to the packing, which has columns of its own."""
 
 from __future__ import annotations
 

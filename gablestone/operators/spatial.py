@@ -46,13 +46,10 @@ def join_boxes(points: DataFrame, boxes: DataFrame, cell: float = CELL) -> DataF
 
 def in_footprints(points: DataFrame, edges: DataFrame, margin: float = 0.0) -> DataFrame:
     """Points near a polygon with its columns and whether they are inside it."""
-    return join_boxes(points, buffered(footprints(edges), margin)).withColumn("inside", G.in_polygon(F.col("rings"), F.col("x"), F.col("y")))
-
-
-def histogram(column: str, when=None):
-    """The class histogram of a group as text 'class:count', classes in order."""
-    kinds = F.collect_list(F.when(when, F.col(column)) if when is not None else F.col(column))
-    return F.array_join(F.transform(F.array_sort(F.array_distinct(kinds)), lambda k: F.concat_ws(":", k, F.size(F.filter(kinds, lambda x: x == k)))), ",")
+    met = join_boxes(points, buffered(footprints(edges), margin))
+    # Rays are cast within the polygon's own box only.
+    tight = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
+    return met.withColumn("inside", F.when(tight, G.in_polygon(F.col("rings"), F.col("x"), F.col("y"))).otherwise(F.lit(False)))
 
 
 def crop_summary(points: DataFrame, bbox) -> DataFrame:
@@ -63,7 +60,6 @@ def crop_summary(points: DataFrame, bbox) -> DataFrame:
     area = (max_x - min_x) * (max_y - min_y)
     of = lambda *k: F.count_if(F.col("classification").isin(*k))
     inside = points.where(G.in_bbox(F.col("x"), F.col("y"), bbox))
-    # Classes first: a row a class and height carries all that the summary needs.
     out = inside.agg(
         F.count("*").alias("point_count"), F.min("z").alias("z_min"), F.percentile("z", F.array(*map(F.lit, (0.01, 0.5, 0.95, 0.99)))).alias("p"), F.max("z").alias("z_max"),
         of(GROUND).alias("ground_count"), of(*VEGETATION).alias("vegetation_count"), of(BUILDING).alias("building_count"), of(LEGACY_OVERLAP).alias("legacy_overlap_count"), F.sum("overlap_flag").alias("overlap_count"),
@@ -115,14 +111,17 @@ def alignment(points: DataFrame, edges: DataFrame, reach: float = 2.0, step: flo
     shares the first, x outside and y inside; with a warning where the shift is at the limit."""
     near = join_boxes(points.where(F.col("classification") == BUILDING), buffered(footprints(edges), reach))
     n = int(reach / step)
-    shift = F.explode(F.array(*[F.lit(i * step) for i in range(-n, n + 1)]))
-    # Where the borders cross a point's height is the same for all shifts along x: it is found once.
-    moved = near.select("building_id", "rings", "x", "y", shift.alias("sy")).withColumn("ys", F.col("y") + F.col("sy"))
-    crossed = F.expr("transform(rings, r -> transform(filter(r.edges, e -> (e.y1 > ys) <> (e.y2 > ys)), e -> (e.x2 - e.x1) * (ys - e.y1) / (e.y2 - e.y1) + e.x1))")
-    moved = moved.select("building_id", "x", "sy", crossed.alias("at")).select("building_id", "x", "sy", "at", shift.alias("sx"))
-    odd = "size(filter({}, v -> x + sx < v)) % 2 = 1"
-    inside = F.expr(f"{odd.format('at[0]')} and not exists(slice(at, 2, greatest(size(at) - 1, 0)), c -> {odd.format('c')})")
-    shares = moved.groupBy("building_id", "sx", "sy").agg(F.avg(inside.cast("int")).alias("score"))
+    shifts = [i * step for i in range(-n, n + 1)]
+    # A border that crosses a point's height at v turns inside and outside for the first shifts along x,
+    # those with x + shift < v: a bit for each shift, and one pass over the sides for all of them.
+    low = f"cast(least(greatest(ceil((v - x + {reach}D) / {step}D), 0), {len(shifts)}) as int)"
+    side = f"element_at(transform(array((e.x2 - e.x1) * (ys - e.y1) / (e.y2 - e.y1) + e.x1), v -> shiftleft(1L, {low}) - 1), 1)"
+    bits = F.expr(f"transform(rings, r -> aggregate(r.edges, 0L, (m, e) -> if((e.y1 > ys) <> (e.y2 > ys), m ^ {side}, m)))")
+    moved = near.select("building_id", "rings", "x", "y", F.explode(F.array(*map(F.lit, shifts))).alias("sy")).withColumn("ys", F.col("y") + F.col("sy"))
+    moved = moved.select("building_id", "sy", bits.alias("bits")).select("building_id", "sy", F.expr("bits[0] & ~aggregate(slice(bits, 2, greatest(size(bits) - 1, 0)), 0L, (a, b) -> a | b)").alias("inside"))
+    sums = moved.groupBy("building_id", "sy").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("inside", i).bitwiseAND(F.lit(1))).alias(f"s{i}") for i in range(len(shifts))])
+    each = F.array(*[F.struct(F.lit(s).alias("sx"), (F.col(f"s{i}") / F.col("n")).alias("score")) for i, s in enumerate(shifts)])
+    shares = sums.select("building_id", "sy", F.explode(each).alias("e")).select("building_id", "sy", "e.sx", "e.score")
     best = shares.groupBy("building_id").agg(F.min(F.struct((-F.col("score")).alias("order"), "sx", "sy")).alias("b"))
     return best.select("building_id", (-F.col("b.order")).alias("score"), "b.sx", "b.sy", (F.greatest(F.abs("b.sx"), F.abs("b.sy")) == reach).alias("at_limit"))
 
