@@ -205,6 +205,8 @@ def residuals(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame
     for step in DISTANCE_STEPS:
         rows = rows.select("*", *[F.expr(v).alias(k) for k, v in step.items()])
     # A triangle without area has no distance, and then the point has none.
+    thin = F.expr("ux*vy - uy*vx = 0 and uy*vz - uz*vy = 0 and uz*vx - ux*vz = 0")
+    rows = rows.withColumn("distance", F.when(~thin, F.col("distance")))
     return rows.groupBy("model_id", *keys).agg(F.when(F.count_if(F.col("distance").isNull()) == 0, F.min("distance")).alias("distance"))
 
 
