@@ -11,8 +11,9 @@ transitions are found on first use and kept in a table; many words run through i
 Texts are cut into chunks of bounded size. A chunk's state map is (head, inner, tail): the
 characters before the first place where the splitter's state does not depend on what came before
 (white space after a character that is none), the tokens between the first and the last such place,
-and the characters after it. Maps compose associatively, so the chunks of a text are combined by a
-parallel prefix scan; only the short seams tail + head are counted anew.
+and the characters after it. Maps compose associatively, so the chunks of a text are combined by the
+up-sweep of a parallel prefix scan (only the last prefix is asked for), which holds no more than the
+text; only the short seams tail + head are counted anew.
 
 Sentencepiece models have no such word boundaries: they are counted by their own library.
 
@@ -315,7 +316,7 @@ class Counter:
             for k, m in zip(owner, self._maps(maps, _SPACES), strict=True):
                 elements.setdefault(k, []).append(m)
             for k, row in elements.items():
-                found[k] = self._close(self.scan(row)[-1])
+                found[k] = self._close(self.total(row))
         return found
 
     def _maps(self, chunks: list[str], spaces) -> list[tuple]:
@@ -350,13 +351,11 @@ class Counter:
             return m[0], m[1], seam
         return m[0], m[1] + self._sum([h])[0] + n, t
 
-    def scan(self, row: list[tuple]) -> list[tuple]:
-        """Inclusive prefix scan in a logarithmic number of rounds."""
-        step = 1
-        while step < len(row):
-            row = [self.compose(row[i - step], row[i]) if i >= step else row[i] for i in range(len(row))]
-            step *= 2
-        return row
+    def total(self, row: list[tuple]) -> tuple:
+        """The last prefix of the scan: neighbours are composed in a logarithmic number of rounds."""
+        while len(row) > 1:
+            row = [self.compose(*row[i : i + 2]) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
+        return row[0]
 
     def _close(self, m: tuple) -> int:
         return self._sum([m[0]])[0] if m[1] is None else sum(self._sum([m[0], m[2]])) + m[1]

@@ -113,6 +113,18 @@ def test_chunk_maps_compose(chunk):
     assert counter.batch(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_a_long_text_without_white_space_is_held_once():
+    """Chunks that never close make longer seams, but no prefix is kept beside another."""
+    from tokenizers import Tokenizer
+
+    counter, sizes = token_counts.Counter(tokenizer_file(), chunk=50), []
+    compose = counter.compose
+    counter.compose = lambda a, b: sizes.append(len(a[0]) + len(b[0])) or compose(a, b)
+    text = "漢字かな12x," * 700
+    assert counter.batch([text]) == [len(Tokenizer.from_file(tokenizer_file()).encode(text, add_special_tokens=False).ids)]
+    assert sum(sizes) <= len(text) * math.ceil(math.log2(len(text) / 50) + 1)
+
+
 def test_pairs_of_tokens_follow_the_merges():
     t = token_counts.Counter(tokenizer_file()).transducer
     tokens = [i for i, b in t.bytes_of.items() if len(b) < 9][::97]
@@ -481,6 +493,86 @@ def test_languages(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney of characters over dictionaries, by the book."""
+
+    def __init__(self, texts):
+        self.c = {4: Counter(g for t in texts for g in self.grams(t))}
+        for n in (3, 2, 1):
+            self.c[n] = Counter(g[1:] for g in self.c[n + 1])
+        self.off, self.total, self.kinds = {}, Counter(), Counter()
+        for n, c in self.c.items():
+            n1, n2 = (sum(v == k for v in c.values()) for k in (1, 2))
+            self.off[n] = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+            for g, v in c.items():
+                self.total[n, g[:-1]] += v
+                self.kinds[n, g[:-1]] += 1
+
+    @staticmethod
+    def grams(text):
+        t = re.sub(" +", " ", "".join(x.lower()[0] if x.isalpha() else " " for x in f" {text} "))
+        return [f"   {t}"[i : i + 4] for i in range(1, len(t))]
+
+    def p(self, g):
+        n = len(g)
+        if not n:
+            return 1 / (len(self.c[1]) + 1)
+        total = self.total[n, g[:-1]]
+        if not total:
+            return self.p(g[1:])
+        return (max(self.c[n][g] - self.off[n], 0) + self.off[n] * self.kinds[n, g[:-1]] * self.p(g[1:])) / total
+
+    def entropy(self, text):
+        return -sum(math.log(self.p(g)) for g in self.grams(text)) / max(1, len(self.grams(text)))
+
+
+def test_languages_by_plain_models(spark, docs):
+    """Labels, scores and rejections of all documents, from models learned and calibrated without the module."""
+    learned = docs.where("text is not null and lang is not null").where(~lang_id.split(docs))
+    apart = (F.pmod(F.xxhash64(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"))), F.lit(lang_id.CALIBRATION)) == 0).alias("apart")
+    learned = learned.select("lang", "text", apart).collect()
+    langs = sorted({r.lang for r in learned})
+    models = [PlainKneserNey([r.text for r in learned if r.lang == x and not r.apart]) for x in langs]
+    judged = lambda t: ([m.entropy(t) for m in models], len(models[0].grams(t)))
+    trials = [(*judged(r.text), langs.index(r.lang)) for r in learned if r.apart and any(map(str.isalpha, r.text))]
+    limits = []
+    for k in range(len(langs)):
+        own = [(h[t], n) for h, n, t in trials if t == k]
+        own = own if len(own) >= lang_id.FEW else [(h[t], n) for h, n, t in trials]
+        mean = sum(x * n for x, n in own) / sum(n for _, n in own)
+        spread = max(1e-6, math.sqrt(sum((x - mean) ** 2 * n for x, n in own) / len(own)))
+        excess = sorted((x - mean) * math.sqrt(n) / spread for x, n in own)
+        limits.append((mean, spread, excess[math.ceil((len(own) - 1) * (1 - lang_id.ALPHA))] if len(own) >= lang_id.FEW else math.inf))
+
+    def posterior(h, n, k, temper):
+        return 1 / sum(math.exp(max(-700, min(700, (h[k] - x) * n / temper))) for x in h)
+
+    temper = max((2.0**e for e in range(8)), key=lambda t: round(sum(posterior(h, n, k, t) for h, n, k in trials), 6))
+    want = {}
+    for r in docs.collect():
+        if not any(map(str.isalpha, r.text or "")):
+            want[r.text] = "und", 0.0, True
+            continue
+        h, n = judged(r.text)
+        k = h.index(min(h))
+        mean, spread, bound = limits[k]
+        excess = (h[k] - mean) * math.sqrt(n) / spread
+        tied = (sorted(h)[1] - h[k]) * n <= 1e-9
+        # At the bound itself single precision decides.
+        want[r.text] = langs[k], posterior(h, n, k, temper) * (max(0, bound / excess) if excess > bound else 1), tied or (excess > bound if abs(excess - bound) > 1e-2 else None)
+    found = lang_id.predict(docs, lang_id.train(docs.where(~lang_id.split(docs)))).select("text", "found.*").collect()
+    assert len(found) == docs.count() and len(langs) > 1 and trials
+    for r in found:
+        lang, score, rejected = want[r.text]
+        assert r.lang_pred == lang and abs(r.score - score) < 5e-3 and (rejected is None or r.rejected == rejected), (r, want[r.text])
+
+
+def test_languages_of_nothing_and_of_repeated_rows(spark, docs, empty):
+    assert lang_id.identify(empty).count() == 0 and lang_id.keep(empty).columns == empty.columns
+    once = {tuple(r) for r in lang_id.identify(docs.dropDuplicates()).collect()}
+    assert len(once) > 1 and lang_id.identify(docs).count() == docs.count()
+
+
 def test_unlearned_languages_are_rejected_and_clean_texts_stay(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     planted = [
@@ -598,3 +690,48 @@ def test_whole_licences_wrapped(text, licence, n, width, mark):
 def test_unknown_sentences_swallow_no_known_ones(text, licences):
     scanner = licenses.Scanner()
     assert scanner.match(scanner.sequence(text))[0] == licences
+
+
+KNOWN_LINES = {
+    "apache2-under": "Licensed under the Apache License, Version 2.0.", "gpl3-under": "Licensed under the GNU GPL v3.", "mit-under": "Released under the MIT License.", "mit-title": "MIT License", "copyright": "Copyright (c) 2021 Someone.",
+    "all-rights": "All rights reserved.", "mit-grant": MIT.split("\n\n")[2], "mit-notice": MIT.split("\n\n")[3], "mit-asis": MIT.split("\n\n")[4].split(". ")[0] + ".", "gpl-details": "See the GNU General Public License for more details.",
+}
+
+
+def matched_by_force(known):
+    """(licences, identifiers that no rule takes) of (place, identifier) rows: all rules at all places."""
+    found, rest = [], []
+    while known:
+        fits = [(x, ids) for x, ids in licenses.RULES if [i for _, i in known[: len(ids)]] == ids and all(known[k + 1][0] - known[k][0] - 1 <= licenses.GAP for k in range(len(ids) - 1))]
+        if fits:
+            found.append(fits[0][0])
+            known = known[len(fits[0][1]) :]
+        else:
+            rest.append(known[0][1])
+            known = known[1:]
+    return found, rest
+
+
+def test_licence_scans_by_force(spark, empty):
+    """All columns, of texts whose sentences are known from their making; repeated rows, odd ones and a long one."""
+    rng = np.random.default_rng(5)
+    names, given, want = list(KNOWN_LINES), [], []
+    for d in range(150):
+        n = 40_000 if d == 149 else int(rng.integers(0, 14))
+        row, k = [], 0
+        while len(row) < n:
+            if rng.random() < 0.25:
+                row += ["mit-grant", *[None] * int(rng.integers(0, 6)), "mit-notice", *[None] * int(rng.integers(0, 5)), "mit-asis"]
+            else:
+                row.append(names[rng.integers(len(names))] if rng.random() < 0.5 else None)
+        text = "\n\n".join(f"Plain words {k} about nothing." if x is None else KNOWN_LINES[x] for k, x in enumerate(row))
+        known = [(k, x) for k, x in enumerate(row) if x]
+        found, rest = matched_by_force(known)
+        for _ in range(1 + (d % 10 == 0)):
+            given.append((d, text, "x", 1))
+            want.append((d, sorted(set(found)), len(found), [x for _, x in known], rest))
+    given += [(900, None, None, None), (901, "", None, None), (None, "All rights reserved.", None, None)]
+    want += [(900, [], 0, [], []), (901, [], 0, [], []), (None, [], 0, ["all-rights"], ["all-rights"])]
+    got = licenses.scan(spark.createDataFrame(given, "doc_id long, text string, licenses string, unmatched int"))
+    assert rows(got) == sorted(want, key=repr)
+    assert licenses.scan(empty).count() == 0
