@@ -1,14 +1,20 @@
 """Uncompressed LAS files as a Spark data source: spark.read.format("las").load(path).
 
-A partition is a range of points of one file; records are decoded by numpy into Arrow batches."""
+A partition is a range of points of one file; records are decoded by numpy into Arrow batches. Option
+bbox ("min_x,min_y,max_x,max_y", closed) leaves out files by the bounds of their headers, and points
+before they reach Spark; option records adds each point's record as it is in the file. Such points can
+be written again: a folder of files, each of at most RANGE_POINTS points, with another file's header.
+Files of failed or repeated tasks are deleted when the write commits."""
 
 from __future__ import annotations
 
+import base64
 import struct
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 POINTS = "tile string, point_id long, x double, y double, z double, classification int, overlap boolean"
 RANGE_POINTS = 1_000_000
@@ -67,24 +73,16 @@ class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.step = int(options.get("range_points", RANGE_POINTS))
-
-    def _files(self):
-        from pyarrow import fs
-
-        where, path = _fs(self.path)
-        info = where.get_file_info(path)
-        if info.type == fs.FileType.File:
-            return [self.path]
-        base = self.path.rstrip("/")
-        return sorted(f"{base}/{i.base_name}" for i in where.get_file_info(fs.FileSelector(path)) if i.base_name.lower().endswith(".las"))
+        self.box = tuple(map(float, options["bbox"].split(","))) if "bbox" in options else None
+        self.records = options.get("records", "false").lower() == "true"
 
     def partitions(self):
         found = []
-        for file in self._files():
-            where, path = _fs(file)
-            with where.open_input_file(path) as f:
-                n = header(f.read_at(min(375, f.size()), 0))["count"]
-            found += [_Range(file, i, min(self.step, n - i)) for i in range(0, n, self.step)]
+        for file in _files(self.path):
+            h = header(_head(file))
+            b = self.box
+            if b is None or (h["min"][0] <= b[2] and h["max"][0] >= b[0] and h["min"][1] <= b[3] and h["max"][1] >= b[1]):
+                found += [_Range(file, i, min(self.step, h["count"] - i)) for i in range(0, h["count"], self.step)]
         return found or [_Range("", 0, 0)]
 
     def read(self, part):
@@ -97,13 +95,148 @@ class _Reader(DataSourceReader):
             h = header(f.read_at(min(375, f.size()), 0))
             size, new = h["record_length"], h["point_format"] >= 6
             spec = np.dtype({"names": ["p", "flags", "class"], "formats": ["<3i4", "u1", "u1"], "offsets": [0, 15 if new else 14, 16 if new else 15], "itemsize": size})
-            rows = np.frombuffer(f.read_at(part.n * size, h["points_at"] + part.start * size), spec)
+            raw = f.read_at(part.n * size, h["points_at"] + part.start * size)
+        rows = np.frombuffer(raw, spec)
         xyz = rows["p"] * np.array(h["scale"]) + np.array(h["offset"])
+        point = np.arange(part.start, part.start + len(rows))
+        if self.box is not None:
+            inside = ((xyz[:, :2] >= self.box[:2]) & (xyz[:, :2] <= self.box[2:])).all(1)
+            rows, xyz, point = rows[inside], xyz[inside], point[inside]
         kind = rows["class"].astype(np.int32)
         over = (rows["flags"] & 8) > 0 if new else np.zeros(len(rows), bool)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([path.rsplit("/", 1)[-1]] * len(rows)), pa.array(np.arange(part.start, part.start + len(rows))), *[pa.array(xyz[:, k]) for k in range(3)], pa.array(kind if new else kind & 31), pa.array(over)], names=[c.split()[0] for c in POINTS.split(", ")]
-        )
+        columns = [pa.array([path.rsplit("/", 1)[-1]] * len(rows)), pa.array(point), *[pa.array(xyz[:, k]) for k in range(3)], pa.array(kind if new else kind & 31), pa.array(over)]
+        names = [c.split()[0] for c in POINTS.split(", ")]
+        if self.records:
+            columns.append(pa.array([raw[(i - part.start) * size : (i - part.start + 1) * size] for i in point.tolist()], pa.binary()))
+            names.append("record")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    files: list
+
+
+class _Writer(DataSourceArrowWriter):
+    """Columns x, y, z and record; option header has the header to write under."""
+
+    def __init__(self, options, overwrite: bool):
+        if overwrite:
+            raise ValueError("LAS folders are only appended to")
+        self.path, self.head, self.job = options["path"].rstrip("/"), base64.b64decode(options["header"]), uuid.uuid4().hex
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        files, held, size = [], [], 0
+
+        def flush():
+            nonlocal held, size
+            files.append(f"{self.job}-{task.partitionId()}-{task.taskAttemptId()}-{len(files)}.las")
+            where, path = _fs(f"{self.path}/{files[-1]}")
+            where.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with where.open_output_stream(path) as f:
+                f.write(_rewritten(self.head, np.concatenate([x for x, _ in held]), b"".join(r for _, rs in held for r in rs)))
+            held, size = [], 0
+
+        for b in iterator:
+            for i in range(0, b.num_rows, RANGE_POINTS):
+                part = b.slice(i, RANGE_POINTS)
+                if size and size + part.num_rows > RANGE_POINTS:
+                    flush()
+                if part.num_rows:
+                    held.append((np.stack([part.column(c).to_numpy() for c in "xyz"], 1), part.column("record").to_pylist()))
+                    size += part.num_rows
+        if size:
+            flush()
+        return _Written(files)
+
+    def _clean(self, kept: set) -> None:
+        for file in _files(self.path):
+            name = file.rsplit("/", 1)[-1]
+            if name.startswith(self.job) and name not in kept:
+                where, path = _fs(file)
+                where.delete_file(path)
+
+    def commit(self, messages):
+        self._clean({f for m in messages if m for f in m.files})
+
+    def abort(self, messages):
+        self._clean(set())
+
+
+def _rewritten(head: bytes, xyz: np.ndarray, records: bytes) -> bytes:
+    """A file of these records under a header, in its scale, with its counts and bounds put right."""
+    h, head = header(head), bytearray(head)
+    scale, offset, new = np.array(h["scale"]), np.array(h["offset"]), h["point_format"] >= 6
+    steps = np.round((xyz - offset) / scale)
+    if (np.abs(steps) > 2**31 - 1).any():
+        raise ValueError("points lie beyond the reach of the first file's scale and offset")
+    spec = np.dtype({"names": ["p", "returns"], "formats": ["<3i4", "u1"], "offsets": [0, 14], "itemsize": h["record_length"]})
+    data = bytearray(records)
+    rows = np.frombuffer(data, spec)
+    rows["p"] = steps
+    xyz = rows["p"] * scale + offset
+    low, high = xyz.min(0), xyz.max(0)
+    struct.pack_into("<6d", head, 179, high[0], low[0], high[1], low[1], high[2], low[2])
+    returns = np.bincount(rows["returns"] & (15 if new else 7), minlength=16)[1:16].tolist()
+    struct.pack_into("<6I", head, 107, *([0] * 6 if new else [len(rows), *returns[:5]]))
+    if h["version"] >= "1.4":
+        struct.pack_into("<QQI", head, 227, 0, 0, 0)  # no waveforms, nothing behind the points
+        struct.pack_into("<16Q", head, 247, len(rows), *returns)
+    return bytes(head) + bytes(data)
+
+
+def _files(folder: str) -> list[str]:
+    """The LAS files of a folder, or the one file."""
+    from pyarrow import fs
+
+    where, path = _fs(folder)
+    info = where.get_file_info(path)
+    if info.type == fs.FileType.File:
+        return [folder]
+    base = folder.rstrip("/")
+    found = where.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(f"{base}/{i.base_name}" for i in found if i.base_name.lower().endswith(".las"))
+
+
+def _head(file: str, whole: bool = False) -> bytes:
+    """A file's header, with the variable records that follow it if whole."""
+    where, path = _fs(file)
+    with where.open_input_file(path) as f:
+        data = f.read_at(min(375, f.size()), 0)
+        return f.read_at(header(data)["points_at"], 0) if whole else data
+
+
+def crop(spark, sources: list[str], destination: str, bbox: tuple[float, float, float, float]) -> int:
+    """Write the points of the sources (files or folders) in a closed box to a folder, with all that
+    their records say, under the first file's header and in its scale. Returns their number; nothing
+    is written if there are none."""
+    if not sources:
+        raise ValueError("at least one source is needed")
+    if bbox[0] >= bbox[2] or bbox[1] >= bbox[3]:
+        raise ValueError("the box has no area")
+    bare = [x.removeprefix("file://").rstrip("/") for x in (destination, *sources)]
+    if bare[0] in bare[1:] or _files(destination):
+        raise ValueError("the destination must be a folder of its own")
+    files = [f for s in sources for f in _files(s)]
+    if not files:
+        raise ValueError("the sources have no LAS files")
+    kinds = {(h["point_format"], h["record_length"]) for h in map(header, map(_head, files))}
+    if len(kinds) > 1:
+        raise ValueError("the sources' point formats differ")
+    register(spark)
+    read = spark.read.format("las").option("records", "true").option("bbox", ",".join(map(repr, map(float, bbox))))
+    points = [read.load(s).select("x", "y", "z", "record") for s in sources]
+    found = points[0]
+    for more in points[1:]:
+        found = found.unionByName(more)
+    found.write.format("las").option("header", base64.b64encode(_head(files[0], True)).decode()).mode("append").save(destination)
+    n = sum(header(_head(f))["count"] for f in _files(destination))
+    if not n:
+        raise ValueError("the crop has no points")
+    return n
 
 
 class LasSource(DataSource):
@@ -112,11 +245,14 @@ class LasSource(DataSource):
         return "las"
 
     def schema(self):
-        return POINTS
+        return f"{POINTS}, record binary" if self.options.get("records", "false").lower() == "true" else POINTS
 
     def reader(self, schema):
         return _Reader(self.options)
 
+    def writer(self, schema, overwrite):
+        return _Writer(self.options, overwrite)
+
 
 def register(spark) -> None:
     spark.dataSource.register(LasSource)

@@ -2,6 +2,7 @@ import json
 import zipfile
 
 import numpy as np
+import pytest
 
 from gablestone.operators import meshes, spatial
 from gablestone.plans import registry
@@ -19,6 +20,48 @@ def test_las_tiles(spark, tmp_path):
     assert las.header((tmp_path / "a.las").read_bytes())["max"] == (42, 11, 104.5)
 
 
+def test_crops_keep_whole_records_in_the_first_scale(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    clouds = [np.round(rng.uniform(low, low + 40, (500, 3)), 2) for low in (0, 20)]
+    for name, xyz, scale in zip("ab", clouds, (0.01, 0.001)):
+        las.write(f"{tmp_path}/{name}.las", *xyz.T, rng.integers(0, 20, 500), rng.random(500) < 0.5, scale)
+        data = bytearray((tmp_path / f"{name}.las").read_bytes())
+        for i in range(500):  # a return number, user data and a time that no column shows
+            data[375 + 30 * i + 14], data[375 + 30 * i + 17], data[375 + 30 * i + 22 : 375 + 30 * i + 24] = 1 + i % 3, i % 251, i.to_bytes(2, "little")
+        (tmp_path / f"{name}.las").write_bytes(data)
+    box, sources = (20.0, 15.0, 45.0, 38.0), [f"{tmp_path}/a.las", f"{tmp_path}/b.las"]
+    n = las.crop(spark, sources, f"{tmp_path}/cut", box)
+    inside = [(np.array([box[0], box[1]]) <= x[:, :2]).all(1) & (x[:, :2] <= np.array(box[2:])).all(1) for x in clouds]
+    assert n == sum(map(sum, inside)) > 100
+
+    def points(path):
+        out = []
+        for r in spark.read.format("las").option("records", "true").load(path).collect():
+            out.append((round(r.x, 2), round(r.y, 2), round(r.z, 2), r.classification, r.overlap, bytes(r.record[12:])))
+        return sorted(out)
+
+    las.register(spark)
+    want = [p for s in sources for p in points(s) if box[0] <= p[0] <= box[2] and box[1] <= p[1] <= box[3]]
+    assert points(f"{tmp_path}/cut") == sorted(want)
+    for file in las._files(f"{tmp_path}/cut"):
+        h = las.header(las._head(file))
+        assert np.allclose(h["scale"], 0.01) and h["min"][0] >= 20 and h["max"][1] <= 38
+    assert spark.read.format("las").option("bbox", "20,15,45,38").load(f"{tmp_path}/a.las").count() == inside[0].sum()
+
+
+def test_crops_that_cannot_be_made(spark, tmp_path):
+    las.write(f"{tmp_path}/a.las", np.array([1.0]), np.array([1.0]), np.array([1.0]), [2])
+    data = bytearray((tmp_path / "a.las").read_bytes())
+    data[104] = 7
+    (tmp_path / "b.las").write_bytes(data)
+    a, b, out = (f"{tmp_path}/{x}" for x in ("a.las", "b.las", "out"))
+    for sources, where, box in (([], out, (0, 0, 2, 2)), ([a], out, (0, 0, 0, 2)), ([a], a, (0, 0, 2, 2)), ([a, b], out, (0, 0, 2, 2)), ([a], out, (5, 5, 6, 6)), ([f"{tmp_path}/none"], out, (0, 0, 2, 2))):
+        with pytest.raises(ValueError):
+            las.crop(spark, sources, where, box)
+    assert not las._files(out)
+    assert las.crop(spark, [a], out, (1, 1, 2, 2)) == 1
+
+
 def test_obj(spark, tmp_path):
     (tmp_path / "m.obj").write_text("v 0 0 0\nv 5\nv 1 0 0\nv 0 1 0\nf 1/1 2/2 3/3\nv 0 0 1\nf -1 -2 -3\n")
     v, f = models.read_obj(spark, str(tmp_path / "m.obj"))
