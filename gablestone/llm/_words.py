@@ -27,6 +27,8 @@ _LETTER[65:91] = _LETTER[97:123]
 _CASED = _stream(256, 1 << 20)
 _PLACE = {"table": _stream(1 << 10, 1 << 40) | U(1)}
 
+#: Bytes of text whose words are hashed at once.
+PIECE = 1 << 18
 #: Bytes of words: letters and digits and all beyond ASCII; or all but white space.
 ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 DARK = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
@@ -57,18 +59,22 @@ def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: bool =
     edges = offsets[1:-1]
     edges = edges[edges < len(raw)]
     begins[edges] = is_in[edges]
-    places = np.flatnonzero(is_in)
-    firsts = np.flatnonzero(begins[places])
-    starts = places[firsts]
+    starts = np.flatnonzero(begins)
     counts = np.diff(np.searchsorted(starts, offsets))
-    if not len(starts):
-        return np.zeros(0, np.uint64), counts
-    sizes = np.diff(np.append(firsts, len(places)))
-    within = np.arange(len(places)) - np.repeat(firsts, sizes)
-    if (longest := int(sizes.max())) > len(_PLACE["table"]):
-        _PLACE["table"] = _stream(2 * longest, 1 << 40) | U(1)
-    value = (_LETTER if fold else _CASED)[raw[places]] * _PLACE["table"][within]
-    return mix(np.add.reduceat(value, firsts) + sizes.astype(np.uint64) * _G), counts
+    hashes = np.empty(len(starts), np.uint64)
+    # Arrays of eight bytes for each byte of text are made for a piece at a time; pieces begin with a word.
+    marks = np.unique(np.concatenate([[0], np.searchsorted(starts, np.arange(PIECE, len(raw), PIECE)), [len(starts)]]))
+    for i, j in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
+        at, end = int(starts[i]), int(starts[j]) if j < len(starts) else len(raw)
+        places = np.flatnonzero(is_in[at:end])
+        firsts = np.flatnonzero(begins[at:end][places])
+        sizes = np.diff(np.append(firsts, len(places)))
+        within = np.arange(len(places)) - np.repeat(firsts, sizes)
+        if (longest := int(sizes.max())) > len(_PLACE["table"]):
+            _PLACE["table"] = _stream(2 * longest, 1 << 40) | U(1)
+        value = (_LETTER if fold else _CASED)[raw[at:end][places]] * _PLACE["table"][within]
+        hashes[i:j] = mix(np.add.reduceat(value, firsts) + sizes.astype(np.uint64) * _G)
+    return hashes, counts
 
 
 def slices(column, size: int = 4 << 20):

@@ -1,6 +1,6 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-Index: documents are cut into segments of some megabytes. A segment holds the postings of all its
+Index: documents are cut into segments of about two megabytes. A segment holds the postings of all its
 words: sorted word hashes, how many places each has, and the places (ascending, counted over the
 segment), together with the documents' ids and lengths. Segments are rows of a table in the shared
 folder; they can be searched again and again.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from gablestone.llm._base import Work, cut, texts, without
 
 WINDOW = 13
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 2 << 20
 #: Bytes of item texts in a block of queries.
 BLOCK_BYTES = 4 << 20
 #: Places between two documents, so that no match crosses; windows and slop are shorter.

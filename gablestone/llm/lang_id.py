@@ -37,7 +37,7 @@ CALIBRATION = 5
 ALPHA = 0.001
 FEW = 20
 #: Characters of text worked on at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _FOLD: list[np.ndarray] = []
