@@ -34,6 +34,8 @@ LIMIT = 512
 CHUNK = 1 << 18
 #: States of a worker's table; beyond that it starts anew.
 STATES = 300_000
+#: Pairs of tokens that a worker remembers.
+PAIRS = 500_000
 #: Longer words are run one by one.
 LANE = 96
 
@@ -69,8 +71,8 @@ class Transducer:
         self.numbers: dict[tuple, int] = {}
         self.column = np.full(256, -1, np.int64)
         self.width = 0
-        self.next = np.full((1024, 64), -1, np.int32)
-        self.delta = np.zeros((1024, 64), np.int8)
+        # 256 x the next state + 128 + the change of the number of tokens; 0 is not yet known.
+        self.next = np.zeros((1024, 64), np.int32)
         self._state((b"", ((-1, 0),)))
 
     def _state(self, state: tuple) -> int:
@@ -79,10 +81,16 @@ class Transducer:
             k = self.numbers[state] = len(self.states)
             self.states.append(state)
             if k >= len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.delta = np.concatenate([self.delta, np.zeros_like(self.delta)])
+                self._grow(2 * k, self.next.shape[1])
         return k
 
+    def _grow(self, rows: int, columns: int) -> None:
+        """Rows of zeros take no memory before they are written to."""
+        grown = np.zeros((rows, columns), np.int32)
+        used = min(len(self.states), len(self.next))
+        grown[:used, : self.next.shape[1]] = self.next[:used]
+        self.next = grown
+
     def encode(self, word: bytes) -> list[int]:
         """By merging, the lowest rank first; the definition that the transducer is compiled from."""
         ids = [self.vocab[bytes([b])] for b in word]
@@ -120,7 +128,7 @@ class Transducer:
         up the tokens at the border; of equal ranks the left one comes first."""
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             left, right, i, j = self._spine(a, 1), self._spine(b, 0), 0, 0
             found = True
@@ -164,8 +172,7 @@ class Transducer:
     def _columns(self, used: np.ndarray) -> None:
         for b in used[self.column[used] < 0]:
             if self.width == self.next.shape[1]:
-                self.next = np.concatenate([self.next, np.full_like(self.next[:, :32], -1)], 1)
-                self.delta = np.concatenate([self.delta, np.zeros_like(self.delta[:, :32])], 1)
+                self._grow(len(self.next), self.width + 16)
             self.column[b] = self.width
             self.width += 1
 
@@ -173,7 +180,7 @@ class Transducer:
         for key in np.unique(states * 256 + bytes_):
             k, b = divmod(int(key), 256)
             to, change = self._step(k, b)
-            self.next[k, self.column[b]], self.delta[k, self.column[b]] = to, change
+            self.next[k, self.column[b]] = to << 8 | change + 128
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Tokens of each word; the words run through the table in lockstep, the longest first."""
@@ -196,12 +203,12 @@ class Transducer:
             n = int(np.searchsorted(-size, -j, side="left"))  # lanes longer than j
             byte = data[start[:n] + j]
             col, now = self.column[byte], state[:n]
-            to = self.next[now, col]
-            if (missing := to < 0).any():
+            entry = self.next[now, col]
+            if (missing := entry == 0).any():
                 self._fill(now[missing], byte[missing].astype(np.int64))
-                to = self.next[now, col]
-            total[:n] += self.delta[now, col]
-            state[:n] = to
+                entry = self.next[now, col]
+            total[:n] += (entry & 255) - 128
+            state[:n] = entry >> 8
         found[lanes] = total
         return found
 
@@ -210,15 +217,16 @@ class Transducer:
         k = total = 0
         for b in word:
             c = self.column[b]
-            if self.next[k, c] < 0:
+            if not self.next[k, c]:
                 if len(self.states) > 4 * STATES:  # a state says all that is needed to go on
                     state = self.states[k]
                     self._forget()
                     self._columns(np.unique(np.frombuffer(word, np.uint8)))
                     k, c = self._state(state), self.column[b]
-                self.next[k, c], self.delta[k, c] = self._step(k, b)
-            total += int(self.delta[k, c])
-            k = int(self.next[k, c])
+                to, change = self._step(k, b)
+                self.next[k, c] = to << 8 | change + 128
+            total += int(self.next[k, c] & 255) - 128
+            k = int(self.next[k, c]) >> 8
         return total
 
 
