@@ -116,11 +116,13 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch array<long>")
 
 
-def _lists(nodes: DataFrame, percent: int) -> DataFrame:
+def _lists(nodes: DataFrame, percent: int, work: Work) -> DataFrame:
     """(value, band, node, rank): the members of the inverted lists of each node's rarest sketch
     values, with how much of the sketch other nodes share."""
     rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
-    held = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    # Each step's shuffle files go before the next step writes its own.
+    held = work.cut(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "held")
+    work.release()
     # At most K rows a node: dealt out as they are, they are narrower than partial lists.
     shared = rows.join(held, "value").select("node", "n", "df", "value").repartition("node")
     by_node = shared.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
@@ -132,7 +134,10 @@ def _lists(nodes: DataFrame, percent: int) -> DataFrame:
     rank = (F.size("values") * 1000 / size).cast("int") * 100 + F.least(F.lit(99), (F.col("mass") / size * 4).cast("int"))
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     kept = by_node.withColumn("spare", spare).where("spare > 0").select("node", rank.alias("rank"), band.alias("own"), F.explode(F.slice("values", F.lit(1), F.col("spare"))).alias("v"))
-    return kept.select(F.col("v.value").alias("value"), F.explode(F.array("own", F.col("own") + 1)).alias("band"), "node", "rank", "own")
+    lists = kept.select(F.col("v.value").alias("value"), F.explode(F.array("own", F.col("own") + 1)).alias("band"), "node", "rank", "own")
+    lists = work.cut(lists, "prefixes")
+    work.drop("held")
+    return lists
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
@@ -190,12 +195,15 @@ def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, p
     """(c, x, n_c, n_x, linked, dev): pairs that the sketches allow, with what their full sets do not
     share: first what c lacks, then what x lacks."""
     pairs = work.cut(pairs, f"{tag}-pairs")
+    work.release()
     whole = _full_sets(_asked(pairs), docs, nodes, width)
     # Both joins read one exchange of the sets.
     both = pairs.join(whole.toDF("c", "s_c"), "c").join(whole.toDF("x", "s_x"), "x")
     dev = F.concat(F.array_except("s_x", "s_c"), F.array_except("s_c", "s_x"))
     out = work.cut(both.select("c", "x", "n_c", "n_x", dev.alias("dev")).withColumn("linked", _links("size(dev)", "n_c + n_x", percent)), tag)
     work.drop(f"{tag}-pairs")
+    del whole, both
+    work.release()
     return out
 
 
@@ -218,6 +226,7 @@ def _by_deviation(met: DataFrame, percent: int, work: Work, tag: str) -> DataFra
     entry = entry.select("c", "x", "n_x", "d", "linked", "short", "bits", F.posexplode(F.expr("slice(dev, 1, if(linked, short, greatest(short, long)))")).alias("at", "v"))
     entry = entry.select(F.xxhash64("c", "v").alias("key"), "c", "x", "n_x", "d", "linked", (F.col("at") < F.col("short")).alias("early"), "bits")
     entry = work.cut(entry, f"{tag}-entries")
+    work.release()
     columns = [c for c in entry.columns if c != "key"]
     ours = entry.where("not linked").select("key", *[F.col(c).alias(f"o_{c}") for c in columns])
     extra = lambda a, b: " + ".join(f"bit_count({a}bits[{k}] & ~{b}bits[{k}])" for k in range(BITS))
@@ -284,7 +293,10 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     named = rows.where("node is not null and doc_id is not null")
     work.drop("rows")
     work.release()
-    lists = work.cut(_leaders(_lists(nodes, percent)), "lists-0")
+    prefixes = _lists(nodes, percent, work)
+    work.release()
+    lists = work.cut(_leaders(prefixes), "lists-0")
+    work.drop("prefixes")
     work.release()
     links, k, size = [], 0, lists.count()
     while size:
