@@ -30,6 +30,7 @@ _PLACE = {"table": _stream(1 << 10, 1 << 40) | U(1)}
 #: Bytes of text whose words are hashed at once.
 PIECE = 1 << 18
 #: Bytes of words: letters and digits and all beyond ASCII; or all but white space.
+LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 DARK = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 
@@ -88,3 +89,34 @@ def slices(column, size: int = 4 << 20):
         to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield at, to - at
         at = to
+
+
+#: Each byte, A-Z as a-z.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+
+
+def spans(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, size: int = 1 << 20):
+    """(starts, ends, texts) of the words, in runs of about so many bytes that end where a word does, so
+    that arrays of one text of any length stay small. A word ends with its text."""
+    at, edges = 0, offsets[1:-1]
+    while at < len(raw):
+        to = min(at + size, len(raw))
+        while to < len(raw) and inside[raw[to]]:
+            out = np.flatnonzero(~inside[raw[to : to + size]])
+            to = min(to + (int(out[0]) if len(out) else size), len(raw))
+        is_in = np.zeros(to - at + 2, bool)
+        is_in[1:-1] = inside[raw[at:to]]
+        starts, ends = is_in[1:-1] & ~is_in[:-2], is_in[1:-1] & ~is_in[2:]
+        cuts = edges[np.searchsorted(edges, at, "right") : np.searchsorted(edges, to)] - at
+        starts[cuts] = is_in[1:-1][cuts]
+        ends[cuts - 1] = is_in[1:-1][cuts - 1]
+        starts, ends = np.flatnonzero(starts) + at, np.flatnonzero(ends) + at + 1
+        yield starts, ends, np.searchsorted(offsets, starts, "right") - 1
+        at = to
+
+
+def flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of slices, one slice after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gablestone.llm import contamination, katz, lang_id, licenses, near_dups, packing, quality_rules, token_counts, token_frames, url_rules
+from gablestone.llm import contamination, divergence, katz, lang_id, licenses, near_dups, packing, quality_rules, resampling, sentencepieces, token_counts, token_frames, url_rules
 from gablestone.llm._base import table
 
 #: (verdict, host, path)
@@ -60,6 +60,18 @@ def op7_url_filter(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_sentencepiece(spark, sf_dir):
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP5_SQL = r"""
 with d as (
   select doc_id, coalesce(text, '') as t, coalesce(lang, '') as stratum,
@@ -106,10 +118,48 @@ m as (select rid, rhost || rpath as rule, verdict, row_number() over (partition
 select page_id, host, path, m.rule, coalesce(m.verdict, 'allow') as verdict from h left join m on h.rid = m.rid and m.k = 1
 """
 
+OP11_SQL = r"""
+with d as (select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t from documents),
+w as (select rid, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as n from w group by all having count(distinct rid) >= 30),
+v as (select lang, count(*) as v, sum(n) as n from kept group by lang),
+c as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all),
+grp as (select distinct lang, source from d),
+tot as (select g.lang, g.source, coalesce(sum(c.n), 0) as n from grp g left join c using (lang, source) group by all),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (g.n + 5 * v.v)::hugeint as p, 1 + (1000000000::hugeint * (k.n + 5)) // (v.n + 5 * v.v)::hugeint as q
+  from tot g join kept k using (lang) join v using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+dist as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as f from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pair as (select a.lang, a.source, b.source as item, cast(coalesce(f, 0) as bigint) as value from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join dist on dist.lang = a.lang and dist.source = a.source and dist.item = b.source),
+ranked as (select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pair),
+term as (select lang, source, 'term' as part, term as item, cast(p - q as bigint) as value, row_number() over (partition by lang, source order by p - q desc, encode(term)) as rank from p where n > 0 and p > q)
+select lang, source, part, item, value, cast(rank as int) as rank from ranked
+union all select lang, source, part, item, value, cast(rank as int) from term where rank <= 50
+"""
+
+OP13_SQL = r"""
+with recursive step(b, k, c) as (select b, 0, b from range(256) t(b) union all select b, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from step where k < 8),
+crc as (select list(c order by b) as crc from step where k = 8),
+d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t, true as own from documents union all select -row_number() over (), null, coalesce(text, ''), false from benchmark),
+w as (select rid, own, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from d),
+hex as (select word, hex(encode(word)) as h from (select distinct word from w)),
+bucket as (select word, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: cast('0x' || substr(h, 2 * i + 1, 2) as bigint)),
+    lambda c, x: xor(crc[(xor(c, x) & 255) + 1], c >> 8), 4294967295::bigint), 4294967295) % 10000 as bucket from hex, crc),
+n as (select bucket, count(*) filter (where own) as s, count(*) filter (where not own) as t from w join bucket using (word) group by bucket),
+total as (select sum(s) as s, sum(t) as t from n),
+gain as (select bucket, cast(floor(1000 * ln(cast(n.t + 1 as double) * cast(total.s + 10000 as double) / (cast(n.s + 1 as double) * cast(total.t + 10000 as double)))) as bigint) as g from n, total),
+f as (select rid, count(*) as n, sum(g) as g from w join bucket using (word) join gain using (bucket) where own group by rid),
+doc as (select d.rid, doc_id, cast(coalesce(f.n, 0) as bigint) as n_features, cast(case when f.n is null then 0 else (f.g - (f.g % f.n + f.n) % f.n) // f.n end as bigint) as weight,
+    cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) as h from d left join f on f.rid = d.rid where own),
+s as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score from doc),
+drawn as (select rid, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from s where n_features >= 20)
+select doc_id, n_features, weight, score, case when rank <= 10 * n // 100 then rank end as rank from s left join drawn using (rid)
+"""
+
 
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql():
-    return {"op5_quality_rules": OP5_SQL, "op7_url_filter": OP7_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op7_url_filter": OP7_SQL, "op11_source_divergence": OP11_SQL, "op13_importance_resampling": OP13_SQL}
