@@ -26,7 +26,7 @@ from gablestone.llm._words import FOLD, LETTERS, buffers, flat, slices, spans
 #: Sums and terms that a task holds before it hands them on.
 HELD = 1_000_000
 #: Counts of a block of terms.
-BLOCK = 400_000
+BLOCK = 1 << 15
 #: Groups up to which totals are broadcast.
 BROADCAST_GROUPS = 50_000
 COUNTS = "lang string, source string, term string, n long, n_docs long"
