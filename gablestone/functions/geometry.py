@@ -29,6 +29,11 @@ def in_polygon(rings: Column, x: Column, y: Column) -> Column:
     return outer & ~holes
 
 
+def in_polygons(polygons: Column, x: Column, y: Column) -> Column:
+    """Inside one of several polygons."""
+    return F.exists(polygons, lambda rings: in_polygon(rings, x, y))
+
+
 def ring_area(edges: Column) -> Column:
     """Shoelace area of a closed ring."""
     return F.abs(F.aggregate(edges, F.lit(0.0), lambda a, e: a + e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2

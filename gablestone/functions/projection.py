@@ -49,6 +49,19 @@ def to_geographic(easting: str, northing: str) -> tuple[list[dict[str, str]], st
     return steps, f"degrees({_f(LON0)} + atan2({sh.format('q_eta')}, cos(q_xi)))", lat
 
 
+def inline(parts: tuple) -> str:
+    """One expression for both results, struct(x, y); each step is worked out once."""
+    import re
+
+    steps, first, second = parts
+    body = f"struct({first} as x, {second} as y)"
+    for k in reversed(range(len(steps))):
+        names = "|".join(steps[k])
+        body = re.sub(rf"\b({names})\b", rf"s{k}.\1", body)
+        body = f"element_at(transform(array(struct({', '.join(f'{v} as {n}' for n, v in steps[k].items())})), s{k} -> {body}), 1)"
+    return body
+
+
 def apply(df, parts: tuple, names: tuple[str, str]):
     """A DataFrame with the two results of to_utm() or to_geographic()."""
     steps, first, second = parts

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablestone.operators import cloud_quality, rasters, spatial
+from gablestone.operators.shared import cut
 
 #: Texts of warnings.
 NO_ROOF_POINTS, AT_LIMIT = "no classified building points inside footprint", "alignment optimum reached the bounded search limit"
@@ -33,15 +34,16 @@ class Limits:
 def quality_report(points: DataFrame, edges: DataFrame, keys: list[str], limits: Limits = Limits()) -> DataFrame:
     """One row a building: points and densities in its footprint, coverage at half a metre and a metre,
     the largest hole, spacing, local planes, outliers, alignment and warnings; NULL where too few
-    points are there to tell. The class is not measured and the score is 0."""
-    prints = spatial.footprints(edges).groupBy("building_id").agg(F.sum("area").alias("area"))
-    near = spatial.in_footprints(points, edges)
-    inside = near.where("inside").select("building_id", *keys, "x", "y", "z", "classification").distinct()
+    points are there to tell. A report is available where the cloud has any point at all. The class is not measured and the score is 0."""
+    prints = spatial.buildings(edges).select("building_id", "area")
+    # Each of the measures below reads the points inside; they are found once.
+    inside = cut(spatial.in_footprints(points, edges).where("inside").select("building_id", *keys, "x", "y", "z", "classification", F.col("min_x").alias("ox"), F.col("min_y").alias("oy")))
+    some = not points.isEmpty()
     counts = inside.groupBy("building_id").agg(F.count("*").alias("point_count"), F.count_if(F.col("classification") == spatial.BUILDING).alias("roof_point_count"))
     roof = inside.where(F.col("classification") == spatial.BUILDING)
     seen = [
-        counts, rasters.coverage(points, edges, 0.5).select("building_id", F.col("coverage").alias("coverage_050m")), rasters.coverage(points, edges, 1.0).select("building_id", F.col("coverage").alias("coverage_100m")),
-        rasters.empty_regions(points, edges, 1.0).select("building_id", F.col("hole_ratio").alias("largest_hole_ratio")), cloud_quality.spacing(roof, keys),
+        counts, rasters.coverage(inside, edges, 0.5, placed=True).select("building_id", F.col("coverage").alias("coverage_050m")), rasters.coverage(inside, edges, 1.0, placed=True).select("building_id", F.col("coverage").alias("coverage_100m")),
+        rasters.empty_regions(inside, edges, 1.0, placed=True).select("building_id", F.col("hole_ratio").alias("largest_hole_ratio")), cloud_quality.spacing(roof, keys),
         cloud_quality.local_planes(roof, keys, k=limits.neighbours, residual=limits.residual, planarity=limits.planarity), cloud_quality.outlier_ratio(roof), spatial.alignment(points, edges),
     ]
     rows = prints
@@ -51,7 +53,7 @@ def quality_report(points: DataFrame, edges: DataFrame, keys: list[str], limits:
     enough = lambda least, c: F.when(r >= least, F.col(c))
     warnings = F.filter(F.array(F.when(r == 0, NO_ROOF_POINTS), F.when(F.coalesce("at_limit", F.lit(False)), AT_LIMIT)), lambda x: x.isNotNull())
     return rows.select(
-        "building_id", (n > 0).alias("available"), n.alias("point_count"), r.alias("roof_point_count"), (n / F.col("area")).alias("density_all"), (r / F.col("area")).alias("density_roof"), "coverage_050m", "coverage_100m", "largest_hole_ratio",
+        "building_id", F.lit(some).alias("available"), n.alias("point_count"), r.alias("roof_point_count"), (n / F.col("area")).alias("density_all"), (r / F.col("area")).alias("density_roof"), "coverage_050m", "coverage_100m", "largest_hole_ratio",
         enough(2, "spacing_p50").alias("spacing_p50"), enough(2, "spacing_p90").alias("spacing_p90"), enough(3, "planar_support").alias("planar_support"), enough(3, "residual_p50").alias("residual_p50"), "outlier_ratio",
         F.col("score").alias("alignment_score"), F.col("sx").alias("shift_x"), F.col("sy").alias("shift_y"), F.lit("UNCLASSIFIED").alias("quality_class"), F.lit(0.0).alias("quality_score"), F.array_join(warnings, "; ").alias("warnings"),
     )

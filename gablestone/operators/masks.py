@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablestone.functions import geometry as G
-from gablestone.operators.spatial import footprints
+from gablestone.operators.spatial import buildings
 
 #: Quality flags of detected objects.
 REDUCED, NOT_CLIPPED = "DISCONNECTED_COMPONENTS_REDUCED_TO_LARGEST", "NOT_CLIPPED_TO_FOOTPRINT"
@@ -40,8 +40,8 @@ def footprint_pixels(edges: DataFrame, grids: DataFrame) -> DataFrame:
     height, width)."""
     cells = grids.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("height") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("width") - 1)))
     cells = cells.withColumn("x", F.col("west") + (F.col("col") + 0.5) * F.col("pixel")).withColumn("y", F.col("north") - (F.col("row") + 0.5) * F.col("pixel"))
-    hit = cells.join(footprints(edges).select("building_id", "rings"), "building_id").where(G.in_polygon(F.col("rings"), F.col("x"), F.col("y")))
-    return hit.select("building_id", *PIXELS).distinct()
+    hit = cells.join(buildings(edges).select("building_id", "polygons"), "building_id").where(G.in_polygons(F.col("polygons"), F.col("x"), F.col("y")))
+    return hit.select("building_id", *PIXELS)
 
 
 def clipped(mask: DataFrame, objects: DataFrame, pixels: DataFrame) -> DataFrame:

@@ -6,30 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablestone.functions import geometry as G
-from gablestone.operators.spatial import BUILDING, footprints, in_footprints
+from gablestone.operators.spatial import BUILDING, buildings, in_footprints
 
 
 def footprint_cells(edges: DataFrame, resolution: float) -> DataFrame:
     """Cells of each building's grid whose centre is in its footprint."""
-    prints = footprints(edges)
-    origin = prints.groupBy("building_id").agg(F.min("min_x").alias("ox"), F.min("min_y").alias("oy"), F.max("max_x").alias("ux"), F.max("max_y").alias("uy"))
+    own = buildings(edges)
+    origin = own.select("building_id", "polygons", F.col("min_x").alias("ox"), F.col("min_y").alias("oy"), F.col("max_x").alias("ux"), F.col("max_y").alias("uy"))
     size = lambda a, b: F.greatest(F.ceil((F.col(b) - F.col(a)) / resolution), F.lit(1))
     cells = origin.withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), size("ox", "ux") - 1))).withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), size("oy", "uy") - 1)))
     cells = cells.withColumn("cx", F.col("ox") + (F.col("col") + 0.5) * resolution).withColumn("cy", F.col("oy") + (F.col("row") + 0.5) * resolution)
-    hit = cells.join(prints.select("building_id", "rings"), "building_id").where(G.in_polygon(F.col("rings"), F.col("cx"), F.col("cy")))
-    return hit.select("building_id", "row", "col", "ox", "oy", "cx", "cy").distinct()
+    return cells.where(G.in_polygons(F.col("polygons"), F.col("cx"), F.col("cy"))).select("building_id", "row", "col", "ox", "oy", "cx", "cy")
 
 
-def _placed(points: DataFrame, edges: DataFrame, resolution: float) -> DataFrame:
-    """Building points in the footprint with their cells."""
-    prints = footprints(edges).groupBy("building_id").agg(F.min("min_x").alias("ox"), F.min("min_y").alias("oy"))
-    roof = in_footprints(points.where(F.col("classification") == BUILDING), edges).where("inside").select("building_id", "x", "y", "z").join(prints, "building_id")
+def _placed(points: DataFrame, edges: DataFrame, resolution: float, placed: bool = False) -> DataFrame:
+    """Building points in the footprint with their cells. placed: points are those of the footprints already, with the
+    corner (ox, oy) of their building."""
+    roof = points.where(F.col("classification") == BUILDING) if placed else in_footprints(points.where(F.col("classification") == BUILDING), edges).where("inside").select("building_id", "x", "y", "z", F.col("min_x").alias("ox"), F.col("min_y").alias("oy"))
     return roof.withColumn("row", F.floor((F.col("y") - F.col("oy")) / resolution)).withColumn("col", F.floor((F.col("x") - F.col("ox")) / resolution))
 
 
-def coverage(points: DataFrame, edges: DataFrame, resolution: float) -> DataFrame:
+def coverage(points: DataFrame, edges: DataFrame, resolution: float, placed: bool = False) -> DataFrame:
     """Footprint cells, those with a building point, and their share."""
-    held = _placed(points, edges, resolution).select("building_id", "row", "col").distinct().withColumn("occupied", F.lit(1))
+    held = _placed(points, edges, resolution, placed).select("building_id", "row", "col").distinct().withColumn("occupied", F.lit(1))
     cells = footprint_cells(edges, resolution).join(held, ["building_id", "row", "col"], "left")
     out = cells.groupBy("building_id").agg(F.count("*").alias("footprint_cells"), F.count("occupied").alias("occupied_cells"))
     return out.withColumn("coverage", F.col("occupied_cells") / F.col("footprint_cells"))
@@ -43,10 +42,10 @@ def height_raster(points: DataFrame, edges: DataFrame, resolution: float, percen
     return cells.select("building_id", "row", "col", "cx", "cy", "height", F.coalesce("points", F.lit(0)).alias("points"))
 
 
-def empty_regions(points: DataFrame, edges: DataFrame, resolution: float) -> DataFrame:
+def empty_regions(points: DataFrame, edges: DataFrame, resolution: float, placed: bool = False) -> DataFrame:
     """The largest 4-connected region of footprint cells without a point, as a share of the footprint.
     Grids are bounded by the building; each is labelled in one call."""
-    held = _placed(points, edges, resolution).select("building_id", "row", "col").distinct().withColumn("occupied", F.lit(1))
+    held = _placed(points, edges, resolution, placed).select("building_id", "row", "col").distinct().withColumn("occupied", F.lit(1))
     cells = footprint_cells(edges, resolution).join(held, ["building_id", "row", "col"], "left").select("building_id", "row", "col", "occupied")
 
     def largest(pdf):

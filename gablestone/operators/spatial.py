@@ -1,8 +1,9 @@
 """Points and footprints: the bucketed spatial join and the summaries that rest on it.
 
-Both sides are dealt to square cells; points meet the footprints of their own cell in an equi-join,
-the closed bounding box is checked again, and ray casting runs as one expression over the rings that
-the row carries. Footprints are broadcast only where they are few."""
+Both sides are dealt to square cells; points meet the buildings of their own cell in an equi-join,
+the closed bounding box is checked again, and ray casting runs as one expression over the polygons that
+the row carries. A point and a building make one row, however many polygons the building has. Cells of
+footprints are broadcast only where their number, worked out before they are made, is small."""
 
 from __future__ import annotations
 
@@ -10,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablestone.functions import geometry as G
+from gablestone.operators.quantiles import quantiles
 
 CELL = 16.0
-#: Footprints above this number are joined by a shuffle on the cell.
-BROADCAST_FOOTPRINTS = 50_000
+#: Above this number of cells, boxes are joined by a shuffle on the cell.
+BROADCAST_CELLS = 200_000
 GROUND, BUILDING, LEGACY_OVERLAP = 2, 6, 12
 VEGETATION = (3, 4, 5)
 
@@ -38,18 +40,26 @@ def buffered(prints: DataFrame, margin: float) -> DataFrame:
 def join_boxes(points: DataFrame, boxes: DataFrame, cell: float = CELL) -> DataFrame:
     """Points in the closed boxes (bx1 .. by2) of a table, with its columns."""
     at = lambda c: F.floor(F.col(c) / cell)
+    wide = (at("bx2") - at("bx1") + 1) * (at("by2") - at("by1") + 1)
+    small = (boxes.agg(F.sum(wide).alias("n")).first()["n"] or 0) <= BROADCAST_CELLS
     dealt = boxes.withColumn("cx", F.explode(F.sequence(at("bx1"), at("bx2")))).withColumn("cy", F.explode(F.sequence(at("by1"), at("by2"))))
-    small = boxes.limit(BROADCAST_FOOTPRINTS + 1).count() <= BROADCAST_FOOTPRINTS
     met = points.withColumn("cx", at("x")).withColumn("cy", at("y")).join(F.broadcast(dealt) if small else dealt, ["cx", "cy"])
     return met.where(F.col("x").between(F.col("bx1"), F.col("bx2")) & F.col("y").between(F.col("by1"), F.col("by2"))).drop("cx", "cy")
 
 
+def buildings(edges: DataFrame) -> DataFrame:
+    """One row for each building: building_id, polygons (of their rings), the box around all of them, and area."""
+    box = [f(c).alias(c) for f, c in ((F.min, "min_x"), (F.min, "min_y"), (F.max, "max_x"), (F.max, "max_y"))]
+    own = footprints(edges).groupBy("building_id").agg(F.sort_array(F.collect_list(F.struct("polygon_id", "rings"))).alias("polygons"), *box, F.sum("area").alias("area"))
+    return own.withColumn("polygons", F.transform("polygons", lambda p: p["rings"]))
+
+
 def in_footprints(points: DataFrame, edges: DataFrame, margin: float = 0.0) -> DataFrame:
-    """Points near a polygon with its columns and whether they are inside it."""
-    met = join_boxes(points, buffered(footprints(edges), margin))
-    # Rays are cast within the polygon's own box only.
+    """Points near a building, once for each building, with its columns and whether they are inside one of its polygons."""
+    met = join_boxes(points, buffered(buildings(edges), margin))
+    # Rays are cast within the building's own box only.
     tight = F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))
-    return met.withColumn("inside", F.when(tight, G.in_polygon(F.col("rings"), F.col("x"), F.col("y"))).otherwise(F.lit(False)))
+    return met.withColumn("inside", F.when(tight, G.in_polygons(F.col("polygons"), F.col("x"), F.col("y"))).otherwise(F.lit(False)))
 
 
 def crop_summary(points: DataFrame, bbox) -> DataFrame:
@@ -60,14 +70,22 @@ def crop_summary(points: DataFrame, bbox) -> DataFrame:
     area = (max_x - min_x) * (max_y - min_y)
     of = lambda *k: F.count_if(F.col("classification").isin(*k))
     inside = points.where(G.in_bbox(F.col("x"), F.col("y"), bbox))
+    p = quantiles(inside.select("z"), [], "z", (0.01, 0.5, 0.95, 0.99)).select(F.col("quantiles").alias("p"))
     out = inside.agg(
-        F.count("*").alias("point_count"), F.min("z").alias("z_min"), F.percentile("z", F.array(*map(F.lit, (0.01, 0.5, 0.95, 0.99)))).alias("p"), F.max("z").alias("z_max"),
+        F.count("*").alias("point_count"), F.min("z").alias("z_min"), F.max("z").alias("z_max"),
         of(GROUND).alias("ground_count"), of(*VEGETATION).alias("vegetation_count"), of(BUILDING).alias("building_count"), of(LEGACY_OVERLAP).alias("legacy_overlap_count"), F.sum("overlap_flag").alias("overlap_count"),
     )
-    out = out.where("point_count > 0").withColumn("area_m2", F.lit(float(area))).withColumn("density_m2", F.col("point_count") / area)
+    out = out.where("point_count > 0").crossJoin(p).withColumn("area_m2", F.lit(float(area))).withColumn("density_m2", F.col("point_count") / area)
     return out.select("area_m2", "point_count", "density_m2", "z_min", *[F.col("p")[i].alias(n) for i, n in enumerate(("z_p01", "z_p50", "z_p95", "z_p99"))], "z_max", "ground_count", "vegetation_count", "building_count", "legacy_overlap_count", "overlap_count")
 
 
+def crop_histogram(points: DataFrame, bbox) -> DataFrame:
+    """The number of points of each class in a box as one JSON object, keys in the order of the classes."""
+    counts = points.where(G.in_bbox(F.col("x"), F.col("y"), bbox)).groupBy("classification").agg(F.count("*").alias("n"))
+    entries = F.sort_array(F.collect_list(F.struct("classification", "n")))
+    return counts.agg(F.to_json(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["classification"].cast("string"), e["n"])))).alias("class_histogram"))
+
+
 def quality_flags(summary: DataFrame, minimum_density: float) -> DataFrame:
     """Names of what is wrong with a crop, in a fixed order."""
     checks = [
@@ -77,24 +95,24 @@ def quality_flags(summary: DataFrame, minimum_density: float) -> DataFrame:
     return summary.withColumn("flags", F.array_join(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks]), lambda f: f.isNotNull()), ","))
 
 
-def building_summary(points: DataFrame, edges: DataFrame, context: float = 25.0, keys: tuple = ("src_building", "k1", "k2", "k3", "k4")) -> DataFrame:
+def building_summary(points: DataFrame, edges: DataFrame, context: float = 25.0, keys: tuple = ()) -> DataFrame:
     """Per building: points in its polygons by class, and heights of its roof over the ground of the
     context box. Buildings without ground or roof points have no row. A point counts once, in
-    whichever polygon it lies."""
-    prints = footprints(edges)
-    near = in_footprints(points, edges, context)
-    whole = prints.groupBy("building_id").agg(F.sum("area").alias("footprint_area_m2"), F.count("*").alias("polygons"))
-    one = whole.where("polygons > 1").isEmpty()
-    if not one:  # several polygons: a point near two of them comes twice
-        near = near.groupBy("building_id", *[k for k in keys if k in points.columns], "x", "y", "z", "classification").agg(F.max("inside").alias("inside"))
+    whichever polygon it lies; points that are equal in all columns are several, so keys that tell points apart are not
+    needed (the parameter stays for callers that name them). Only points in the building's own
+    box meet its rings; of the context, ground points meet boxes alone."""
+    own = buildings(edges)
+    inner = in_footprints(points, edges).where("inside").select("building_id", "z", "classification", F.lit(True).alias("inside"))
+    around = join_boxes(points.where(F.col("classification") == GROUND), buffered(own.select("building_id", "min_x", "min_y", "max_x", "max_y"), context))
+    near = inner.unionByName(around.select("building_id", "z", "classification", F.lit(False).alias("inside")))
     inside, kind = F.col("inside"), F.col("classification")
     height = lambda when, q: F.percentile(F.when(when, F.col("z")), F.lit(q))
     out = near.groupBy("building_id").agg(
         F.count_if(inside).alias("footprint_points"), F.count_if(inside & (kind != LEGACY_OVERLAP)).alias("usable_points"), F.count_if(inside & (kind == BUILDING)).alias("building_points"),
-        F.count_if(inside & kind.isin(*VEGETATION)).alias("vegetation_points"), F.count_if(inside & (kind == LEGACY_OVERLAP)).alias("legacy_overlap_points"), F.count_if(kind == GROUND).alias("context_ground_points"),
-        height(kind == GROUND, 0.5).alias("ground_p50"), height(inside & (kind == BUILDING), 0.5).alias("roof_p50"), height(inside & (kind == BUILDING), 0.95).alias("roof_p95"),
+        F.count_if(inside & kind.isin(*VEGETATION)).alias("vegetation_points"), F.count_if(inside & (kind == LEGACY_OVERLAP)).alias("legacy_overlap_points"), F.count_if(~inside).alias("context_ground_points"),
+        height(~inside, 0.5).alias("ground_p50"), height(inside & (kind == BUILDING), 0.5).alias("roof_p50"), height(inside & (kind == BUILDING), 0.95).alias("roof_p95"),
     )
-    out = out.where("context_ground_points > 0 and building_points > 0").join(whole.drop("polygons"), "building_id")
+    out = out.where("context_ground_points > 0 and building_points > 0").join(own.select("building_id", F.col("area").alias("footprint_area_m2")), "building_id")
     return out.select(
         "building_id", "footprint_area_m2", "footprint_points", "usable_points", (F.col("usable_points") / F.col("footprint_area_m2")).alias("usable_density_m2"), "building_points", "vegetation_points", "legacy_overlap_points",
         "context_ground_points", "ground_p50", "roof_p50", "roof_p95", (F.col("roof_p50") - F.col("ground_p50")).alias("height_p50"), (F.col("roof_p95") - F.col("ground_p50")).alias("height_p95"),
@@ -107,21 +125,24 @@ def class_histogram(points: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def alignment(points: DataFrame, edges: DataFrame, reach: float = 2.0, step: float = 0.5) -> DataFrame:
-    """The shift (of 9 x 9) under which the largest share of nearby building points is inside; of equal
-    shares the first, x outside and y inside; with a warning where the shift is at the limit."""
-    near = join_boxes(points.where(F.col("classification") == BUILDING), buffered(footprints(edges), reach))
+    """The shift (of 9 x 9) under which the largest share of nearby building points is inside one of the building's
+    polygons; of equal shares the first, x outside and y inside; with a warning where the shift is at the limit."""
+    near = join_boxes(points.where(F.col("classification") == BUILDING), buffered(buildings(edges), reach))
     n = int(reach / step)
     shifts = [i * step for i in range(-n, n + 1)]
     # A border that crosses a point's height at v turns inside and outside for the first shifts along x,
     # those with x + shift < v: a bit for each shift, and one pass over the sides for all of them.
     low = f"cast(least(greatest(ceil((v - x + {reach}D) / {step}D), 0), {len(shifts)}) as int)"
     side = f"element_at(transform(array((e.x2 - e.x1) * (ys - e.y1) / (e.y2 - e.y1) + e.x1), v -> shiftleft(1L, {low}) - 1), 1)"
-    bits = F.expr(f"transform(rings, r -> aggregate(r.edges, 0L, (m, e) -> if((e.y1 > ys) <> (e.y2 > ys), m ^ {side}, m)))")
-    moved = near.select("building_id", "rings", "x", "y", F.explode(F.array(*map(F.lit, shifts))).alias("sy")).withColumn("ys", F.col("y") + F.col("sy"))
-    moved = moved.select("building_id", "sy", bits.alias("bits")).select("building_id", "sy", F.expr("bits[0] & ~aggregate(slice(bits, 2, greatest(size(bits) - 1, 0)), 0L, (a, b) -> a | b)").alias("inside"))
-    sums = moved.groupBy("building_id", "sy").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("inside", i).bitwiseAND(F.lit(1))).alias(f"s{i}") for i in range(len(shifts))])
+    ring = f"aggregate(r.edges, 0L, (m, e) -> if((e.y1 > ys) <> (e.y2 > ys), m ^ {side}, m))"
+    polygon = f"element_at(transform(array(transform(rings, r -> {ring})), b -> b[0] & ~aggregate(slice(b, 2, greatest(size(b) - 1, 0)), 0L, (c, d) -> c | d)), 1)"
+    rows = f"transform(array({', '.join(f'y + {s}D' for s in shifts)}), ys -> aggregate(polygons, 0L, (m, rings) -> m | {polygon}))"
+    # Most points of a building have one of a few patterns of bits; only patterns are spread out.
+    patterns = near.select("building_id", F.expr(rows).alias("bits")).groupBy("building_id", "bits").agg(F.count("*").alias("n"))
+    moved = patterns.select("building_id", "n", F.posexplode("bits").alias("at", "inside"))
+    sums = moved.groupBy("building_id", "at").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * F.shiftright("inside", i).bitwiseAND(F.lit(1))).alias(f"s{i}") for i in range(len(shifts))])
     each = F.array(*[F.struct(F.lit(s).alias("sx"), (F.col(f"s{i}") / F.col("n")).alias("score")) for i, s in enumerate(shifts)])
-    shares = sums.select("building_id", "sy", F.explode(each).alias("e")).select("building_id", "sy", "e.sx", "e.score")
+    shares = sums.select("building_id", (F.col("at") * step - reach).alias("sy"), F.explode(each).alias("e")).select("building_id", "sy", "e.sx", "e.score")
     best = shares.groupBy("building_id").agg(F.min(F.struct((-F.col("score")).alias("order"), "sx", "sy")).alias("b"))
     return best.select("building_id", (-F.col("b.order")).alias("score"), "b.sx", "b.sy", (F.greatest(F.abs("b.sx"), F.abs("b.sy")) == reach).alias("at_limit"))
 

@@ -8,6 +8,8 @@ from gablestone.operators import rasters, spatial
 from gablestone.sources.adapters import prelude, view
 
 BBOX = (700000.0, 4370000.0, 700100.0, 4370050.0)
+#: A box around every point of the cloud.
+EVERYTHING = (690000.0, 4360000.0, 710000.0, 4470000.0)
 KEYS = "src_building, k1, k2, k3, k4"
 
 
@@ -36,6 +38,32 @@ def a10_alignment(spark, d):
     return _r(spatial.alignment(*_pe(spark, d)))
 
 
+def a03_multipolygon_summary(spark, d):
+    return _r(spatial.building_summary(view(spark, d, "v_points"), view(spark, d, "v_edges2")))
+
+
+def a04_multipolygon_histogram(spark, d):
+    return _r(spatial.class_histogram(view(spark, d, "v_points"), view(spark, d, "v_edges2")))
+
+
+def a10_multipolygon_alignment(spark, d):
+    return _r(spatial.alignment(view(spark, d, "v_points"), view(spark, d, "v_edges2")))
+
+
+def a06_multipolygon_coverage(spark, d):
+    return _r(rasters.coverage(view(spark, d, "v_points"), view(spark, d, "v_edges2"), 1.0))
+
+
+def a12_multipolygon_raster(spark, d):
+    return _r(rasters.height_raster(view(spark, d, "v_points"), view(spark, d, "v_edges2"), 2.0).drop("cx", "cy"))
+
+
+def a01_whole_cloud(spark, d):
+    """The summary of a box around all points, with its class histogram: one group of all rows."""
+    points = view(spark, d, "v_points")
+    return _r(spatial.quality_flags(spatial.crop_summary(points, EVERYTHING), 5.0).crossJoin(spatial.crop_histogram(points, EVERYTHING)))
+
+
 def g05_morphology(spark, d):
     return _r(spatial.morphology(view(spark, d, "v_edges")))
 
@@ -72,20 +100,21 @@ def r07_normalized(spark, d):
     return _r(rasters.normalized(rasters.height_raster(p, e, 2.0), terrain, 2.0))
 
 
-def _near(margin: float) -> str:
-    return f"""{prelude("v_points", "v_edges")},
-bb as (select building_id, min(x1) as min_x, min(y1) as min_y, max(x1) as max_x, max(y1) as max_y, abs(sum(case when ring_id = 0 then x1*y2-x2*y1 end))/2 - coalesce(abs(sum(case when ring_id > 0 then x1*y2-x2*y1 end))/2, 0) as area from v_edges group by building_id),
+def _near(margin: float, edges: str = "v_edges") -> str:
+    return f"""{prelude("v_points", *(("v_edges",) if edges != "v_edges" else ()), edges)},
+pa as (select building_id, polygon_id, abs(sum(case when ring_id = 0 then x1*y2-x2*y1 end))/2 - coalesce(abs(sum(case when ring_id > 0 then x1*y2-x2*y1 end))/2, 0) as area from {edges} group by all),
+bb as (select e.building_id, min(x1) as min_x, min(y1) as min_y, max(x1) as max_x, max(y1) as max_y, any_value(a.area) as area from {edges} e join (select building_id, sum(area) as area from pa group by building_id) a using (building_id) group by e.building_id),
 pp as (select b.building_id, p.* from v_points p join bb b on x between min_x - {margin} and max_x + {margin} and y between min_y - {margin} and max_y + {margin}),
-par as (select pp.building_id, {KEYS}, ring_id, sum(case when (y1>y)<>(y2>y) and x < (x2-x1)*(y-y1)/nullif(y2-y1,0)+x1 then 1 else 0 end)%2 as odd from pp join v_edges e on e.building_id = pp.building_id group by all),
-ins as (select building_id, {KEYS}, bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end) as inside from par group by all),
+par as (select pp.building_id, {KEYS}, polygon_id, ring_id, sum(case when (y1>y)<>(y2>y) and x < (x2-x1)*(y-y1)/nullif(y2-y1,0)+x1 then 1 else 0 end)%2 as odd from pp join {edges} e on e.building_id = pp.building_id group by all),
+ins as (select building_id, {KEYS}, bool_or(inside) as inside from (select building_id, {KEYS}, polygon_id, bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end) as inside from par group by all) group by all),
 pt as (select pp.*, ins.inside from pp join ins using (building_id, {KEYS}))"""
 
 
-def _cells(res: float, name: str = "cells") -> str:
+def _cells(res: float, name: str = "cells", edges: str = "v_edges") -> str:
     return f"""{name}_all as (select building_id, min_x as ox, min_y as oy, r.i as row, c.i as col, min_x + (c.i + 0.5) * {res} as cx, min_y + (r.i + 0.5) * {res} as cy
   from bb, lateral (select unnest(range(0, cast(greatest(ceil((max_x - min_x)/{res}), 1) as bigint))) as i) c, lateral (select unnest(range(0, cast(greatest(ceil((max_y - min_y)/{res}), 1) as bigint))) as i) r),
-{name}_par as (select a.building_id, a.row, a.col, ring_id, sum(case when (y1>cy)<>(y2>cy) and cx < (x2-x1)*(cy-y1)/nullif(y2-y1,0)+x1 then 1 else 0 end)%2 as odd from {name}_all a join v_edges e on e.building_id = a.building_id group by all),
-{name} as (select building_id, row, col from {name}_par group by all having bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end)),
+{name}_par as (select a.building_id, a.row, a.col, polygon_id, ring_id, sum(case when (y1>cy)<>(y2>cy) and cx < (x2-x1)*(cy-y1)/nullif(y2-y1,0)+x1 then 1 else 0 end)%2 as odd from {name}_all a join {edges} e on e.building_id = a.building_id group by all),
+{name} as (select distinct building_id, row, col from (select building_id, row, col, polygon_id from {name}_par group by all having bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end))),
 {name}_pts as (select pt.building_id, cast(floor((y - min_y)/{res}) as bigint) as row, cast(floor((x - min_x)/{res}) as bigint) as col, z from pt join bb using (building_id) where inside and classification = 6),
 {name}_h as (select c.building_id, c.row, c.col, quantile_cont(z, 0.9) as height, count(z) as points from {name} c left join {name}_pts p on p.building_id = c.building_id and p.row = c.row and p.col = c.col group by all)"""
 
@@ -140,6 +169,23 @@ reach as (with recursive w as (select building_id, row, col, row as r0, col as c
 n as (select building_id, r0, c0, count(*) as n from reach group by all), t as (select building_id, count(*) as cells from cells_h group by building_id)
 select t.building_id, coalesce(max(n), 0) as largest_empty_cells, round(coalesce(max(n), 0)/any_value(cells)::double, 6) as hole_ratio from t left join n on n.building_id = t.building_id group by t.building_id""",
 }
+for _name, _like in (("a03_multipolygon_summary", "a02_building_summary"), ("a04_multipolygon_histogram", "a02_class_histogram"), ("a06_multipolygon_coverage", "a06_coverage"), ("a12_multipolygon_raster", "a12_height_raster")):
+    _margin, _res = 25 if _like == "a02_building_summary" else 0, {"a06_coverage": 1.0, "a12_height_raster": 2.0}.get(_like)
+    _body = ORACLES[_like].removeprefix(_near(_margin))
+    if _res:
+        _body = _body.replace(_cells(_res), _cells(_res, edges="v_edges2"))
+    ORACLES[_name] = _near(_margin, "v_edges2") + _body
+ORACLES["a10_multipolygon_alignment"] = (
+    ORACLES["a10_alignment"].replace(prelude("v_points", "v_edges"), prelude("v_points", "v_edges", "v_edges2")).replace("from v_edges group by building_id)", "from v_edges2 group by building_id)").replace("join v_edges e on", "join v_edges2 e on")
+    .replace("sx, sy, ring_id, sum(", "sx, sy, polygon_id, ring_id, sum(").replace(f"ins as (select building_id, {KEYS}, sx, sy, bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end) as inside from par group by all)",
+        f"ins as (select building_id, {KEYS}, sx, sy, bool_or(inside) as inside from (select building_id, {KEYS}, sx, sy, polygon_id, bool_and(case when ring_id = 0 then odd = 1 else odd = 0 end) as inside from par group by all) group by all)")
+)
+_AREA = float((EVERYTHING[2] - EVERYTHING[0]) * (EVERYTHING[3] - EVERYTHING[1]))
+_WHOLE = (
+    ORACLES["a01_crop_summary"].replace("x between 700000 and 700100 and y between 4370000 and 4370050", "x between {} and {} and y between {} and {}".format(EVERYTHING[0], EVERYTHING[2], EVERYTHING[1], EVERYTHING[3])).replace("cast(5000 as double)", f"{_AREA}::double").replace("5000.0::double", f"{_AREA}::double")
+    .replace("from s where point_count > 0", "")
+)
+ORACLES["a01_whole_cloud"] = _WHOLE.rsplit(" as flags", 1)[0] + """ as flags, (select '{' || string_agg('"' || classification || '":' || n, ',' order by classification) || '}' from (select classification, count(*) as n from v_points group by classification)) as class_histogram from s where point_count > 0"""
 #: Half digits are nudged alike on both sides.
 ORACLES = {k: s.replace(", 6) as", " + 1e-9::double, 6) as") for k, s in ORACLES.items()}
 QUERIES = {k: globals()[k] for k in ORACLES}

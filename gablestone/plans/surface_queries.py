@@ -207,7 +207,7 @@ _S = spatial_queries.ORACLES
 ORACLES["a11_quality_report"] = f"""with n as ({_near(0)} select building_id, any_value(area) as area, count(*) filter (where inside) as c, count(*) filter (where inside and classification = 6) as r from pt join bb using (building_id) group by building_id),
 h as (select distinct cast(s_suppkey as bigint) as building_id from supplier), c5 as ({_near(0)}, {_cells(0.5)} select building_id, count(*) filter (where points > 0)/count(*)::double as cov from cells_h group by building_id), c10 as ({_S["a06_coverage"]}),
 hole as ({_S["r04_empty_regions"].replace(_cells(2.0), _cells(1.0))}), sp as ({ORACLES["a08_spacing"]}), ol as ({ORACLES["a07_outlier_ratio"]}), al as ({_S["a10_alignment"]}), ar as ({_S["g05_morphology"]})
-select h.building_id, coalesce(c, 0) > 0 as available, coalesce(c, 0) as point_count, coalesce(r, 0) as roof_point_count, round(coalesce(c, 0)/ar.area_m2, 6) as density_all, round(coalesce(r, 0)/ar.area_m2, 6) as density_roof, round(c5.cov, 6) as coverage_050m, c10.coverage as coverage_100m, hole.hole_ratio as largest_hole_ratio,
+select h.building_id, (select count(*) from lineitem) > 0 as available, coalesce(c, 0) as point_count, coalesce(r, 0) as roof_point_count, round(coalesce(c, 0)/ar.area_m2, 6) as density_all, round(coalesce(r, 0)/ar.area_m2, 6) as density_roof, round(c5.cov, 6) as coverage_050m, c10.coverage as coverage_100m, hole.hole_ratio as largest_hole_ratio,
   case when r >= 2 then spacing_p50 end as spacing_p50, case when r >= 2 then spacing_p90 end as spacing_p90, outlier_ratio, al.score as alignment_score, al.sx as shift_x, al.sy as shift_y, 'UNCLASSIFIED' as quality_class, 0.0::double as quality_score,
   concat_ws('; ', case when coalesce(r, 0) = 0 then '{evidence.NO_ROOF_POINTS}' end, case when at_limit then '{evidence.AT_LIMIT}' end) as warnings
 from h left join n using (building_id) left join c5 using (building_id) left join c10 using (building_id) left join hole using (building_id) left join sp using (building_id) left join ol using (building_id) left join al using (building_id) left join ar using (building_id)"""

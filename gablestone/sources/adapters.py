@@ -22,6 +22,12 @@ select cast(s_suppkey as bigint) as building_id, cast(0 as bigint) as polygon_id
   cast(700000 + 32*(s_suppkey % 32) + e.x2 as double) as x2, cast(4370000 + 32*floor(s_suppkey/32) + e.y2 as double) as y2
 from supplier cross join (values (0,0,0,0,24,0),(0,1,24,0,24,12),(0,2,24,12,12,12),(0,3,12,12,12,18),(0,4,12,18,0,18),(0,5,0,18,0,0),
   (1,0,3,3,6,3),(1,1,6,3,6,6),(1,2,6,6,3,6),(1,3,3,6,3,3)) as e(ring,ord,x1,y1,x2,y2)"""),
+    "v_edges2": ("v_edges", """
+select building_id, polygon_id, ring_id, edge_id, x1, y1, x2, y2 from v_edges union all
+select building_id, cast(1 as bigint) as polygon_id, cast(0 as bigint) as ring_id, cast(q.ord as bigint) as edge_id, bx + q.x1 + case when building_id % 3 = 1 then 12 else 8 end as x1, y0 + q.y1 as y1,
+  bx + q.x2 + case when building_id % 3 = 1 then 12 else 8 end as x2, y0 + q.y2 as y2
+from (select building_id, x1 as bx, y1 as y0 from v_edges where ring_id = 0 and edge_id = 0 and building_id % 3 <> 0) as o
+cross join (values (0,0.0,12.0,10.0,12.0),(1,10.0,12.0,10.0,20.0),(2,10.0,20.0,0.0,20.0),(3,0.0,20.0,0.0,12.0)) as q(ord,x1,y1,x2,y2)"""),
     "v_terrain": ("supplier", """
 select cast(s_suppkey as bigint) as building_id, cast(r.i as bigint) as trow, cast(c.i as bigint) as tcol,
   cast(case when (s_suppkey + r.i*5 + c.i*3) % 29 = 0 then null else 99 + cast((s_suppkey + r.i + c.i) % 8 as double)/8 end as double) as elevation
@@ -63,7 +69,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapter view over the tables in sf_dir."""
     source, sql = VIEWS[name]
     own = view(spark, sf_dir, source) if source in VIEWS else spark.read.parquet(f"{sf_dir}/{source}.parquet")
-    return spark.sql(sql.replace(f"from {source}", "from {source}", 1), source=own)
+    return spark.sql(sql.replace(f"from {source}", "from {source}"), source=own)
 
 
 def prelude(*names: str) -> str:

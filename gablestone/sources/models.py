@@ -57,33 +57,15 @@ def cityjson_errors(spark: SparkSession, path: str) -> DataFrame:
     return own.select("model_id", F.when(F.col("nh") == 0, "no header").when(F.col("nf") == 0, "no feature").alias("error")).where("error is not null")
 
 
-def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, ordinal, member, suffix, size, packed) of the files in ZIP archives; names that leave
-    the archive are an error."""
-
-    def run(batches):
-        import io
-        import zipfile
-        from pathlib import PurePosixPath
-
-        import pandas as pd
-
-        for pdf in batches:
-            for name, content in pdf.itertuples(index=False):
-                rows = []
-                for m in zipfile.ZipFile(io.BytesIO(content)).infolist():
-                    p = PurePosixPath(m.filename.replace("\\", "/"))
-                    if p.is_absolute() or ".." in p.parts:
-                        raise ValueError(f"{name}: a member outside the archive")
-                    if not m.is_dir():
-                        rows.append((name, len(rows), str(p), p.suffix.lower(), m.file_size, m.compress_size))
-                yield pd.DataFrame(rows, columns=["archive", "ordinal", "member", "suffix", "size", "packed"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, ordinal int, member string, suffix string, size long, packed long")
-
-
 def write_geojson(rows: DataFrame, path: str, properties: list[str]) -> None:
     """One feature a line: the rings of footprints() as a polygon, with properties."""
     ring = lambda r: F.concat(F.transform(r["edges"], lambda e: F.array(e["x1"], e["y1"])), F.array(F.array(r["edges"][0]["x1"], r["edges"][0]["y1"])))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.transform("rings", ring).alias("coordinates")).alias("geometry"))
     rows.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+
+
+def archive_members(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, ordinal, member, suffix, size, packed, error) of the files in ZIP archives."""
+    from gablestone.sources import archives
+
+    return archives.directory(spark, path).drop("path")
