@@ -7,9 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gablestone.operators.samples import sampled
 from gablestone.operators.shared import cut
 
 
+#: Fixed value: text of a warning.
+PLANES_REACHED = "plane limit reached with points left"
+
+
 def outlier_ratio(points: DataFrame, key: str = "building_id") -> DataFrame:
     """Share of heights more than six robust deviations from the median; where the deviation is zero,
     the share that differs from it; NULL below three points."""
@@ -49,14 +54,15 @@ def _placed(points: DataFrame, axes: str) -> DataFrame:
     return points.where(" and ".join(f"abs(cast({c} as double)) < double('infinity')" for c in axes))
 
 
-def spacing(points: DataFrame, keys: list[str], group: str = "building_id", start: float = 1.0) -> DataFrame:
-    """Median and 90 % quantile of the distance to the nearest other point, over all points. Points
-    without one in reach are looked at again with twice the reach, against all, up to the group's extent."""
-    points = cut(_placed(points, "xy"))
+def spacing(points: DataFrame, keys: list[str], group: str = "building_id", start: float = 1.0, sample: int | None = None) -> DataFrame:
+    """Median and 90 % quantile of the distance to the nearest other point, over all points, or among a sample of so many
+    a group. Points without one in reach are looked at again with twice the reach, against all, up to the group's extent."""
+    points = _placed(points, "xy")
+    points = cut(sampled(points, [group], keys, sample) if sample else points)
     other = reduce(lambda p, q: p | q, [F.col(k) != F.col(f"o_{k}") for k in keys])
     todo, done, r, extent = points, None, start, cut(_extent(points, group))
     while True:
-        near = cut(neighbours_of(todo, points, r, keys, group).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap")))
+        near = cut(neighbours(points, r, keys, group, todo).where(other).groupBy(group, *keys).agg(F.min("gap").alias("gap")))
         done = near if done is None else done.union(near)
         # A little more than the extent, so that rounding leaves no pair out.
         todo = cut(todo.join(near.select(group, *keys), [group, *keys], "left_anti").join(extent.where(F.col("extent") * 1.001 > r).select(group), group, "left_semi"))
@@ -66,26 +72,20 @@ def spacing(points: DataFrame, keys: list[str], group: str = "building_id", star
     return done.groupBy(group).agg(F.percentile("gap", F.lit(0.5)).alias("spacing_p50"), F.percentile("gap", F.lit(0.9)).alias("spacing_p90"))
 
 
-def neighbours_of(some: DataFrame, points: DataFrame, radius: float, keys: list[str], group: str) -> DataFrame:
-    a = _around(some, radius, "all").select(group, *keys, "x", "y", "cx", "cy")
-    b = _around(points, radius, "one").select(group, "cx", "cy", *[F.col(k).alias(f"o_{k}") for k in keys], F.col("x").alias("o_x"), F.col("y").alias("o_y"))
-    gap = F.hypot(F.col("x") - F.col("o_x"), F.col("y") - F.col("o_y"))
-    return a.join(b, [group, "cx", "cy"]).withColumn("gap", gap).where(F.col("gap") <= radius).drop("cx", "cy")
-
-
-def roof_observations(points: DataFrame, keys: list[str], group: str = "building_id", radius: float = 1.5, minimum: int = 4, below: float = 0.75) -> DataFrame:
-    """Points with whether each is kept: it has few neighbours, or is not far below their 80 % quantile."""
+def roof_observations(points: DataFrame, keys: list[str], group: str = "building_id", radius: float = 1.5, minimum: int = 4, below: float = 0.75, sample: int | None = None) -> DataFrame:
+    """Points (or a sample of so many a group) with whether each is kept: it has few neighbours, or is not far below their 80 % quantile."""
+    points = cut(sampled(points, [group], keys, sample)) if sample else points
     local = neighbours(points, radius, keys, group).groupBy(group, *keys).agg(F.count("*").alias("around"), F.percentile("o_z", F.lit(0.8)).alias("p80"))
     return points.join(local, [group, *keys]).withColumn("kept", (F.col("around") < minimum) | (F.col("z") >= F.col("p80") - below)).select(group, *keys, "around", "kept")
 
 
-def local_planes(points: DataFrame, keys: list[str], group: str = "building_id", k: int = 16, radius: float = 4.0, residual: float = 0.20, planarity: float = 0.30) -> DataFrame:
+def local_planes(points: DataFrame, keys: list[str], group: str = "building_id", k: int = 16, radius: float = 4.0, residual: float = 0.20, planarity: float = 0.30, sample: int | None = None) -> DataFrame:
     """Share of points whose k nearest (itself included, in space) lie on a plane, and the median
     residual: the square root of the least eigenvalue of their covariance. Neighbours are looked for
     within a radius in the plane, twice that for points whose k-th is farther, and so on up to the
-    group's extent; ties go by key."""
+    group's extent; ties go by key. With a sample, planes are those around so many points a group; neighbours are all points."""
     points = cut(_placed(points, "xyz"))
-    todo, cov, r, extent = points, None, radius, cut(_extent(points, group))
+    todo, cov, r, extent = cut(sampled(points, [group], keys, sample)) if sample else points, None, radius, cut(_extent(points, group))
     while True:
         near = neighbours(points, r, keys, group, todo).join(todo.select(group, *keys, F.col("z").alias("pz")), [group, *keys])
         space = F.expr("sqrt((x - o_x) * (x - o_x) + (y - o_y) * (y - o_y) + (o_z - pz) * (o_z - pz))")
@@ -99,7 +99,7 @@ def local_planes(points: DataFrame, keys: list[str], group: str = "building_id",
         left = found.where("not sure").select(group, *keys)
         if left.isEmpty():
             break
-        todo = cut(points.join(left, [group, *keys], "left_semi"))
+        todo = cut(todo.join(left, [group, *keys], "left_semi"))
         r *= 2
     cov = cov.where(F.col("n") >= 3)
 
@@ -117,9 +117,10 @@ def local_planes(points: DataFrame, keys: list[str], group: str = "building_id",
 
 
 def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id", sample: int = 5000, trials: int = 200, planes: int = 8, threshold: float = 0.20, seed: int = 42) -> DataFrame:
-    """Planes found one after the other in each group's points: the triple with most points within the
-    threshold, refitted by principal axes. Groups are buildings; each is sampled to a bound. The aspect
-    is the direction, clockwise from north, that the upward normal leans against (uphill)."""
+    """Planes found one after the other in each group's points: the triple (of three different points) with most points
+    within the threshold, refitted by principal axes. Groups are buildings; each is sampled to a bound before its rows
+    meet in a task. The aspect is the direction, clockwise from north, that the upward normal leans against (uphill). A plane has its
+    centroid, its offset along the normal, the share of the sample that supports it, and warnings."""
 
     def detect(pdf):
         import numpy as np
@@ -127,11 +128,14 @@ def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id",
 
         rng = np.random.default_rng(seed)
         xyz = pdf.sort_values(keys)[["x", "y", "z"]].to_numpy(float)
-        if len(xyz) > sample:
-            xyz = xyz[rng.choice(len(xyz), sample, replace=False)]
         least, rest, rows = max(30, int(np.ceil(0.05 * len(xyz)))), xyz, []
         while len(rows) < planes and len(rest) >= least:
-            a, b, c = (rest[rng.integers(0, len(rest), trials)] for _ in range(3))
+            n = len(rest)
+            first, second, third = (rng.integers(0, n - k, trials) for k in range(3))
+            second += second >= first
+            third += third >= np.minimum(first, second)
+            third += third >= np.maximum(first, second)
+            a, b, c = rest[first], rest[second], rest[third]
             normal = np.cross(b - a, c - a)
             size = np.linalg.norm(normal, axis=1)
             ok = size > 1e-9
@@ -151,15 +155,16 @@ def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id",
             if taken.sum() < least:
                 break
             flat = np.hypot(n[0], n[1])
-            rows.append((len(rows), int(taken.sum()), *n.tolist(), float(np.degrees(np.arccos(np.clip(n[2], -1, 1)))), None if flat < 1e-8 else float((np.degrees(np.arctan2(-n[0], -n[1])) + 360) % 360), float(np.median(gap[taken])), float(np.percentile(gap[taken], 95))))
+            rows.append((len(rows), int(taken.sum()), *n.tolist(), float(np.degrees(np.arccos(np.clip(n[2], -1, 1)))), None if flat < 1e-8 else float((np.degrees(np.arctan2(-n[0], -n[1])) + 360) % 360), float(np.median(gap[taken])), float(np.percentile(gap[taken], 95)), *centre.tolist(), float(centre @ n), float(taken.sum() / len(xyz))))
             rest = rest[~taken]
-        out = pd.DataFrame(rows, columns=["plane", "support", "nx", "ny", "nz", "slope_deg", "aspect_deg", "median_m", "p95_m"])
+        out = pd.DataFrame(rows, columns=["plane", "support", "nx", "ny", "nz", "slope_deg", "aspect_deg", "median_m", "p95_m", "cx", "cy", "cz", "offset", "support_ratio"])
         out.insert(0, group, pdf[group].iloc[0])
         out["explained"] = out["support"].sum() / max(1, len(xyz))
+        out["warnings"] = [PLANES_REACHED if len(rows) == planes and len(rest) >= least else None] * len(out)
         return out
 
-    schema = f"{group} long, plane int, support long, nx double, ny double, nz double, slope_deg double, aspect_deg double, median_m double, p95_m double, explained double"
-    return points.select(group, *keys, "x", "y", "z").groupBy(group).applyInPandas(detect, schema)
+    schema = f"{group} long, plane int, support long, nx double, ny double, nz double, slope_deg double, aspect_deg double, median_m double, p95_m double, cx double, cy double, cz double, offset double, support_ratio double, explained double, warnings string"
+    return sampled(_placed(points, "xyz").select(group, *keys, "x", "y", "z"), [group], keys, sample, seed).groupBy(group).applyInPandas(detect, schema)
 
 
 def dominant_normals(planes: DataFrame, group: str = "building_id", degrees: float = 10.0) -> DataFrame:

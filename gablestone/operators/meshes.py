@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablestone.functions import geometry as G
+from gablestone.operators.samples import sampled
+from gablestone.operators.shared import cut
 
 REQUIRED_SEMANTICS = ("GroundSurface", "RoofSurface", "WallSurface")
 
@@ -199,17 +201,81 @@ DISTANCE_STEPS = [
 ]
 
 
-def residuals(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame:
-    """The distance of each point (model_id, keys, x, y, z) to the nearest triangle of its model."""
-    rows = points.select("model_id", *keys, *[F.col(c).alias(f"p{c}") for c in "xyz"]).join(triangles.drop("face_id", "k"), "model_id")
+#: Triangles of a model up to which each of its points is compared with all of them.
+FEW = 64
+_AXES = [f"{n}{c}" for n in "agc" for c in "xyz"]
+#: A triangle without area has no distance, and then the points of its model have none.
+_THIN = "ux*vy - uy*vx = 0 and uy*vz - uz*vy = 0 and uz*vx - ux*vz = 0"
+
+
+def residuals(points: DataFrame, triangles: DataFrame, keys: tuple, few: int = FEW, sample: int | None = None) -> DataFrame:
+    """The distance of each point (model_id, keys, x, y, z), or of a sample of so many a model, to the nearest triangle of its
+    model. Models of many triangles are searched by cells, in rings that grow until none beyond can be nearer."""
+    points = points.select("model_id", *keys, *"xyz")
+    points = sampled(points, ["model_id"], list(keys), sample) if sample else points
+    points = points.select("model_id", *keys, *[F.col(c).alias(f"p{c}") for c in "xyz"])
+    triangles = triangles.select("model_id", *_AXES)
+    large = triangles.groupBy("model_id").agg(F.count("*").alias("n")).where(F.col("n") > few).select("model_id")
+    if large.isEmpty():
+        return _all_compared(points, triangles, keys)
+    large = cut(large)
+    pick = lambda df, how: df.join(large, "model_id", how)
+    return _all_compared(pick(points, "left_anti"), pick(triangles, "left_anti"), keys).unionByName(_searched(pick(points, "left_semi"), pick(triangles, "left_semi"), keys))
+
+
+def _distances(rows: DataFrame) -> DataFrame:
     for step in DISTANCE_STEPS:
         rows = rows.select("*", *[F.expr(v).alias(k) for k, v in step.items()])
-    # A triangle without area has no distance, and then the point has none.
-    thin = F.expr("ux*vy - uy*vx = 0 and uy*vz - uz*vy = 0 and uz*vx - ux*vz = 0")
-    rows = rows.withColumn("distance", F.when(~thin, F.col("distance")))
+    return rows.withColumn("distance", F.when(~F.expr(_THIN), F.col("distance")))
+
+
+def _all_compared(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame:
+    rows = _distances(points.join(triangles, "model_id"))
     return rows.groupBy("model_id", *keys).agg(F.when(F.count_if(F.col("distance").isNull()) == 0, F.min("distance")).alias("distance"))
 
 
+def _searched(points: DataFrame, triangles: DataFrame, keys: tuple) -> DataFrame:
+    """By cells of the plane. A triangle lies in at most four cells of its level, whose size is the first power of two of the
+    model's own that its box fits into, so that large triangles are not dealt to many small cells. A point looks at all levels'
+    cells within a radius; a triangle beyond it is farther than the radius. The next radius is the best distance found, which
+    settles the point, or twice the last one where nothing was met."""
+    low, high = (lambda c, f=f: F.expr(f"{f}(a{c}, g{c}, c{c})") for f in ("least", "greatest"))
+    box = triangles.select("*", *[f(c).alias(f"{n}{c}") for f, n in ((low, "low"), (high, "high")) for c in "xy"])
+    # Corners of a triangle without area, told by the first step of the distance.
+    first = DISTANCE_STEPS[0]
+    thin = F.expr(_THIN.replace("ux", f"({first['ux']})").replace("uy", f"({first['uy']})").replace("uz", f"({first['uz']})").replace("vx", f"({first['vx']})").replace("vy", f"({first['vy']})").replace("vz", f"({first['vz']})"))
+    span = F.greatest(F.max("highx") - F.min("lowx"), F.max("highy") - F.min("lowy"))
+    own = box.groupBy("model_id").agg(F.greatest(span / F.sqrt(F.count("*")), F.lit(1e-6)).alias("unit"), *[f(f"{n}{c}").alias(f"all_{n}{c}") for f, n in ((F.min, "low"), (F.max, "high")) for c in "xy"], F.max(thin).alias("thin"))
+    box = box.join(own.select("model_id", "unit"), "model_id")
+    wide = F.greatest(F.col("highx") - F.col("lowx"), F.col("highy") - F.col("lowy"))
+    box = box.withColumn("level", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(wide / F.col("unit"), F.lit(1e-9))))).cast("int")).withColumn("size", F.col("unit") * F.pow(F.lit(2.0), "level"))
+    at = lambda c: F.floor(F.expr(c) / F.col("size"))
+    cells = cut(box.withColumn("i", F.explode(F.sequence(at("lowx"), at("highx")))).withColumn("j", F.explode(F.sequence(at("lowy"), at("highy")))).drop("unit", "size"))
+    levels = cells.groupBy("model_id").agg(F.collect_set("level").alias("levels"))
+    todo = points.join(own.join(levels, "model_id"), "model_id")
+    # Where nothing is near, the search begins at the border of the model's box.
+    gap = lambda c: F.greatest(F.col(f"all_low{c}") - F.col(f"p{c}"), F.col(f"p{c}") - F.col(f"all_high{c}"), F.lit(0.0))
+    todo = cut(todo.withColumn("radius", F.col("unit") + F.hypot(gap("x"), gap("y"))))
+    settled = [todo.where("thin").select("model_id", *keys, F.lit(None).cast("double").alias("distance"))]
+    todo = todo.where("not thin")
+    while not todo.isEmpty():
+        probe = todo.select("model_id", *keys, "px", "py", "pz", "radius", "unit", *[f"all_{n}{c}" for n in ("low", "high") for c in "xy"], F.explode("levels").alias("level")).withColumn("size", F.col("unit") * F.pow(F.lit(2.0), "level"))
+        for c, k in (("x", "i"), ("y", "j")):
+            begin, end = F.greatest(at(f"p{c} - radius"), at(f"all_low{c}")), F.least(at(f"p{c} + radius"), at(f"all_high{c}"))
+            probe = probe.withColumn(k, F.explode(F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<bigint>"))))
+        near = probe.select("model_id", *keys, "px", "py", "pz", "radius", "level", "i", "j").join(cells, ["model_id", "level", "i", "j"])
+        near = near.where("lowx <= px + radius and highx >= px - radius and lowy <= py + radius and highy >= py - radius")
+        best = _distances(near.select("model_id", *keys, "px", "py", "pz", *_AXES)).groupBy("model_id", *keys).agg(F.min("distance").alias("distance"))
+        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("model_id", *keys)]
+        tried = cut(todo.alias("t").join(best.alias("b"), same, "left").select("t.*", "b.distance"))
+        settled.append(tried.where("distance <= radius").select("model_id", *keys, "distance"))
+        todo = tried.where("distance is null or distance > radius").withColumn("radius", F.coalesce("distance", 2 * F.col("radius"))).drop("distance")
+    out = settled[0]
+    for more in settled[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def fit_report(found: DataFrame) -> DataFrame:
     """Distances of a model's points; where a triangle is degenerate the status says so and the rest is
     NULL."""

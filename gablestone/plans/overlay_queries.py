@@ -57,15 +57,15 @@ _S = f"with s as (select {_SIZES} from supplier)"
 
 def _common(x: float, y: float, w: float, h: float) -> str:
     """The area that the box shares with a rectangle."""
-    return f"greatest(least(bx + bw, {x + w}) - greatest(bx, {x}), 0) * greatest(least(by + bh, {y + h}) - greatest(by, {y}), 0)"
+    return f"greatest(least(qx + bw, {x + w}) - greatest(qx, {x}), 0) * greatest(least(qy + bh, {y + h}) - greatest(qy, {y}), 0)"
 
 
 ORACLES = {
     "g12_valid_polygons": f"""{_S} select building_id, cast(case kind when 2 then 1 else 2 end as bigint) as parts, cast(2 as bigint) as rings,
   round(case kind when 0 then w*h/2 when 1 then w*h + 1 when 2 then w*h - 1 else 2*w*h - 8 end, 6) as area_m2, round(case kind when 0 then w*h/4 when 1 then w*h when 2 then w*h - 1 else w*h - 4 end, 6) as largest_m2 from s""",
-    "g15_overlay": f"""{_S}, b as (select building_id, building_id % 11 + 0.5::double as bx, building_id % 7 + 0.25::double as by, w + 6 as bw, h + 5 as bh from s),
-c as (select building_id, bw * bh as own, {_common(0, 0, 24, 12)} + {_common(0, 12, 12, 6)} - {_common(3, 3, 3, 3)} as common, 24*12 + 12*6 - 9 as print from b)
-select building_id, how, round(case how when 'intersection' then common when 'union' then own + print - common when 'difference' then print - common else own + print - 2 * common end, 6) as area_m2
+    "g15_overlay": f"""{_S}, b as (select building_id, building_id % 11 + 0.5::double as qx, building_id % 7 + 0.25::double as qy, w + 6 as bw, h + 5 as bh from s),
+c as (select building_id, bw * bh as own, {_common(0, 0, 24, 12)} + {_common(0, 12, 12, 6)} - {_common(3, 3, 3, 3)} as common, 24*12 + 12*6 - 9 as area from b)
+select building_id, how, round(case how when 'intersection' then common when 'union' then own + area - common when 'difference' then area - common else own + area - 2 * common end, 6) as area_m2
 from c cross join (values ('intersection'), ('union'), ('difference'), ('difference_both_ways')) as t(how)""",
     "k01_cadastral_documents": f"""{_S} select 'ES/' || building_id as building_id, 'ES_' || building_id as folder, file, case when file = 'building.geojson' then case kind when 2 then 'Polygon' else 'MultiPolygon' end end as kind,
   cast(case when file = 'building.geojson' then case kind when 2 then 1 else 2 end end as bigint) as polygons, cast(case when file = 'building_parts.geojson' then 1 end as bigint) as features
