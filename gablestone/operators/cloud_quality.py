@@ -160,7 +160,7 @@ def roof_planes(points: DataFrame, keys: list[str], group: str = "building_id",
         out = pd.DataFrame(rows, columns=["plane", "support", "nx", "ny", "nz", "slope_deg", "aspect_deg", "median_m", "p95_m", "cx", "cy", "cz", "offset", "support_ratio"])
         out.insert(0, group, pdf[group].iloc[0])
         out["explained"] = out["support"].sum() / max(1, len(xyz))
-        out["warnings"] = [PLANES_REACHED if len(rows) == planes and len(rest) >= least else None] * len(out)
+        out["warnings"] = pd.Series([PLANES_REACHED if len(rows) == planes and len(rest) >= least else None] * len(out), index=out.index, dtype=object)
         return out
 
     schema = f"{group} long, plane int, support long, nx double, ny double, nz double, slope_deg double, aspect_deg double, median_m double, p95_m double, cx double, cy double, cz double, offset double, support_ratio double, explained double, warnings string"
