@@ -18,7 +18,7 @@ EVIDENCE = [
 def heights(points: DataFrame, edges: DataFrame, terrain: DataFrame, resolution: float) -> DataFrame:
     """valid_ratio, gradient_p50, gradient_p95 and discontinuity of the heights above ground in each footprint's cells."""
     cells = cut(rasters.normalized(rasters.height_raster(points, edges, resolution), terrain, resolution))
-    steps = rasters.height_metrics(cells, resolution, "above_ground").drop("pairs").withColumnRenamed("discontinuity_ratio", "discontinuity")
+    steps = rasters.height_metrics(cells, resolution, "above_ground", digits=9).drop("pairs").withColumnRenamed("discontinuity_ratio", "discontinuity")
     return evidence.valid_ratio(cells, "above_ground").join(steps, "building_id", "left")
 
 

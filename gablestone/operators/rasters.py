@@ -77,15 +77,18 @@ def normalized(raster: DataFrame, terrain: DataFrame, terrain_cell: float, keys:
     return met.select("building_id", "row", "col", "height", "elevation", (F.col("height") - F.col("elevation")).alias("above_ground"))
 
 
-def height_metrics(raster: DataFrame, resolution: float, value: str = "height", threshold: float = 1.0) -> DataFrame:
+def height_metrics(raster: DataFrame, resolution: float, value: str = "height", threshold: float = 1.0, digits: int | None = None) -> DataFrame:
     """Of differences between neighbouring cells that both have a value: how many, gradient quantiles,
-    and the share of steps of at least a threshold."""
+    and the share of steps of at least a threshold. With digits, differences are rounded first, so that a step of just the
+    threshold counts however its two heights came about."""
     cells = raster.where(F.col(value).isNotNull())
     along = Window.partitionBy("building_id", "row").orderBy("col")
     across = Window.partitionBy("building_id", "col").orderBy("row")
     step = lambda w, c: F.when(F.col(c) - F.lag(c).over(w) == 1, F.abs(F.col(value) - F.lag(value).over(w)))
     steps = cells.select("building_id", step(along, "col").alias("a"), step(across, "row").alias("b"))
     steps = steps.select("building_id", F.explode(F.array("a", "b")).alias("d")).where("d is not null")
+    if digits is not None:
+        steps = steps.withColumn("d", F.round("d", digits))
     return steps.groupBy("building_id").agg(
         F.count("*").alias("pairs"), F.percentile(F.col("d") / resolution, F.lit(0.5)).alias("gradient_p50"), F.percentile(F.col("d") / resolution, F.lit(0.95)).alias("gradient_p95"),
         F.avg((F.col("d") >= threshold).cast("int")).alias("discontinuity_ratio"),

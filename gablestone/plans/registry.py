@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("spatial_queries", "decision_queries", "surface_queries", "overlay_queries")
+MODULES = ("spatial_queries", "decision_queries", "surface_queries", "overlay_queries", "chain_queries")
 
 
 def _modules():
