@@ -390,7 +390,16 @@ def counter(tokenizer_file: str):
         return lambda t: [len(x) for x in model.encode(t, num_threads=1)]
     if splits_anywhere(tokenizer_file):
         return Counter(tokenizer_file).batch
-    raise ValueError("this tokenizer's splitter or normalizer is not one that can be compiled")
+    # A splitter or normalizer of another kind is not compiled: the library counts whole texts.
+    import os
+
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    library = Tokenizer.from_file(tokenizer_file)
+    library.no_truncation()
+    library.no_padding()
+    return lambda t: [len(e.ids) for e in library.encode_batch_fast(t, add_special_tokens=False)]
 
 
 def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:

@@ -248,3 +248,31 @@ def test_selected_documents_keep_their_columns(spark, docs):
     drawn = {r.doc_id for r in ranks.collect() if r.rank is not None}
     got = resampling.selected(docs, ranks)
     assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == drawn - {None}
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_other_tokenizers_are_counted_by_their_library(docs, empty, name):
+    from gablestone.llm import token_counts
+
+    if name.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(tokenizer_file(name))
+        count = lambda t: len(own.encode(t, add_special_tokens=False).ids)
+    else:
+        import sentencepiece
+
+        own = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file(name))
+        count = lambda t: len(own.encode(t))
+    got = token_counts.count_tokens(docs, tokenizer_file(name))
+    assert rows(got.select("doc_id", "n_tokens")) == sorted(((r.doc_id, count(r.text or "")) for r in docs.collect()), key=repr)
+    assert token_counts.count_tokens(empty, tokenizer_file(name)).count() == 0
+
+
+def test_url_rules_of_one_length_and_no_pages(spark):
+    from gablestone.llm import url_rules
+
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id long, url string")
+    rules = url_rules.rule_table(spark, [("block", "com", "/x"), ("allow", "com", "/x")])
+    assert {r.page_id: r.verdict for r in url_rules.judge(pages, rules).collect()} == {1: "allow", 2: "allow"}
+    assert url_rules.judge(pages.limit(0), rules).count() == 0
