@@ -239,6 +239,99 @@ def crop(spark, sources: list[str], destination: str, bbox: tuple[float, float,
     return n
 
 
+#: Names of the dimensions of each point format, beside the coordinates.
+_OLD = ["intensity", "return_number", "number_of_returns", "scan_direction_flag", "edge_of_flight_line", "classification", "synthetic", "key_point", "withheld", "scan_angle_rank", "user_data", "point_source_id"]
+_NEW = ["intensity", "return_number", "number_of_returns", "synthetic", "key_point", "withheld", "overlap", "scanner_channel", "scan_direction_flag", "edge_of_flight_line", "classification", "user_data", "scan_angle", "point_source_id", "gps_time"]
+_COLOURS, _WAVES = ["red", "green", "blue"], ["wavepacket_index", "wavepacket_offset", "wavepacket_size", "return_point_wave_location", "x_t", "y_t", "z_t"]
+_MORE = {0: [], 1: ["gps_time"], 2: _COLOURS, 3: ["gps_time", *_COLOURS], 4: ["gps_time", *_WAVES], 5: ["gps_time", *_COLOURS, *_WAVES], 6: [], 7: _COLOURS, 8: [*_COLOURS, "nir"], 9: _WAVES, 10: [*_COLOURS, "nir", *_WAVES]}
+
+
+def dimensions(point_format: int) -> list[str]:
+    return ["X", "Y", "Z", *(_NEW if point_format >= 6 else _OLD), *_MORE.get(point_format, [])]
+
+
+def coordinate_system(data: bytes) -> str | None:
+    """The coordinate system that the variable records of a file's head (all before its points) declare: EPSG:n of the
+    projected, else of the geographic system, or what the text of the system names last."""
+    import re
+
+    at, = struct.unpack_from("<H", data, 94)
+    found = {}
+    for _ in range(struct.unpack_from("<I", data, 100)[0]):
+        if at + 54 > len(data):
+            break
+        user, record, n = data[at + 2 : at + 18].rstrip(b"\0"), *struct.unpack_from("<HH", data, at + 18)
+        body = data[at + 54 : at + 54 + n]
+        if user == b"LASF_Projection" and record == 34735:
+            keys = struct.unpack_from(f"<{len(body) // 2}H", body)
+            codes = {keys[k]: keys[k + 3] for k in range(4, len(keys) - 3, 4) if keys[k + 1] == 0}
+            code = codes.get(3072, codes.get(2048))
+            found["keys"] = f"EPSG:{code}" if code else None
+        if user == b"LASF_Projection" and record == 2112:
+            codes = re.findall(r'(?:AUTHORITY\["EPSG",\s*"|ID\["EPSG",\s*)(\d+)', body.decode("utf-8", "replace"))
+            found["text"] = f"EPSG:{codes[-1]}" if codes else None
+        at += 54 + n
+    return found.get("text") or found.get("keys")
+
+
+HEADERS = (
+    "file string, path string, version string, point_format int, record_length int, points_at long, count long, scale array<double>, offset array<double>, min array<double>, max array<double>, dimensions array<string>, crs string, bytes long, error string"
+)
+
+
+def headers(spark, path: str):
+    """A row for each LAS file under a path, whatever its depth, read in tasks: version, format, number of points, scales, bounds,
+    dimensions, coordinate system, size, and what is wrong with it: no LAS file, compressed, or shorter than its points."""
+    names = [c.split()[0] for c in HEADERS.split(", ")]
+
+    def run(batches):
+        from urllib.parse import unquote
+
+        import pandas as pd
+
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                own = {"file": path.rpartition("/")[2], "path": path}
+                try:
+                    where, inner = _fs(path)
+                    with where.open_input_file(unquote(inner) if where.type_name == "local" else inner) as f:
+                        own["bytes"] = f.size()
+                        h = header(f.read_at(min(375, f.size()), 0))
+                        own |= h | {"dimensions": dimensions(h["point_format"]), "crs": coordinate_system(f.read_at(h["points_at"], 0))}
+                        if own["bytes"] < h["points_at"] + h["count"] * h["record_length"]:
+                            own["error"] = "shorter than its points"
+                except Exception as e:  # one broken file is one row
+                    own["error"] = f"{type(e).__name__}: {e}"
+                rows.append([own.get(n) for n in names])
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[lL][aA][sS]").load(path).select("path")
+    return listed.mapInPandas(run, HEADERS)
+
+
+def scan(spark, path: str, bbox: tuple | None = None, known=None, records: bool = False, range_points: int = RANGE_POINTS):
+    """The points of all readable files under a path, as the data source gives them, planned from a table of headers (known, if it is at hand): the driver
+    opens no file, files outside the box are left out by their row, and ranges of points are dealt out as rows."""
+    from pyspark.sql import functions as F
+
+    rows = (known if known is not None else headers(spark, path)).where("error is null and count > 0")
+    if bbox is not None:
+        rows = rows.where((F.col("min")[0] <= bbox[2]) & (F.col("max")[0] >= bbox[0]) & (F.col("min")[1] <= bbox[3]) & (F.col("max")[1] >= bbox[1]))
+    ranges = rows.select("path", "count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(range_points).cast("long"))).alias("start"))
+    options = {"path": path, "records": str(records).lower()} | ({"bbox": ",".join(map(repr, map(float, bbox)))} if bbox is not None else {})
+
+    def run(batches):
+        from urllib.parse import unquote
+
+        reader = _Reader(options)
+        for b in batches:
+            for path, count, start in zip(*(b.column(c).to_pylist() for c in ("path", "count", "start")), strict=True):
+                yield from reader.read(_Range(unquote(path), start, min(range_points, count - start)))
+
+    return ranges.repartition("path", "start").mapInArrow(run, f"{POINTS}, record binary" if records else POINTS)
+
+
 class LasSource(DataSource):
     @classmethod
     def name(cls):
