@@ -14,6 +14,32 @@ def ranking(entries: DataFrame) -> DataFrame:
     return entries.where("accepted").withColumn("rank", F.row_number().over(order))
 
 
+#: What a comparison refuses.
+NO_ENTRIES, DUPLICATES, AUTOMATIC = "a benchmark needs one entry at least", "a benchmark has one entry of each backend", "an entry needs the backend that ran"
+
+
+def compared(buildings: DataFrame, entries: DataFrame) -> DataFrame:
+    """building_id, backends (of its entries, by name), accepted_ranking (the accepted ones by RMSE, P95 and the order in which they came)
+    and error of each building: one without entries, with two of one backend or with an automatic one is refused and has no ranking."""
+    rank = F.transform(F.array_sort(F.collect_list(F.when(F.col("accepted"), F.struct("rmse_m", "p95_m", "input_ord", "backend")))), lambda e: e["backend"])
+    own = entries.groupBy("building_id").agg(F.sort_array(F.collect_list("backend")).alias("backends"), rank.alias("ranking"))
+    rows = buildings.select("building_id").distinct().join(own, "building_id", "left")
+    error = F.when(F.col("backends").isNull(), NO_ENTRIES).when(F.array_contains("backends", "auto"), AUTOMATIC).when(F.size(F.array_distinct("backends")) < F.size("backends"), DUPLICATES)
+    return rows.select("building_id", F.coalesce("backends", F.array().cast("array<string>")).alias("backends"), F.when(error.isNull(), F.col("ranking")).alias("accepted_ranking"), error.alias("error"))
+
+
+def flattened(geometry: DataFrame, fits: DataFrame, gates: DataFrame) -> DataFrame:
+    """Benchmark entries from reports, one for each building, backend and level of all three: validity and size of the geometry (geometry_valid,
+    watertight, vertices, faces, iou), distances (rmse_m, p95_m, within_050m) and verdict (accepted, confidence, failures); entry_error where the backend is
+    not a concrete one, or where a report is missing."""
+    keys = ["building_id", "backend", "lod"]
+    rows = geometry.select(*keys, "geometry_valid", "watertight", "vertices", "faces", "iou", F.lit(True).alias("g"))
+    rows = rows.join(fits.select(*keys, "rmse_m", "p95_m", "within_050m", F.lit(True).alias("f")), keys, "full").join(gates.select(*keys, "accepted", "confidence", "failures", F.lit(True).alias("q")), keys, "full")
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), n) for c, n in (("g", "geometry"), ("f", "fit"), ("q", "quality"))])
+    error = F.when(F.col("backend") == "auto", AUTOMATIC).when(missing != "", F.concat(F.lit("no report of "), missing))
+    return rows.withColumn("entry_error", error).drop("g", "f", "q")
+
+
 def backend_summary(entries: DataFrame, backends: tuple = ("roofer", "city3d")) -> DataFrame:
     """Evaluated and accepted counts and mean errors of each backend; a row for each, even without entries."""
     names = entries.sparkSession.createDataFrame([(b,) for b in backends], "backend string")
@@ -98,6 +124,24 @@ def taxonomy_error(taxonomy: DataFrame) -> DataFrame:
     return own.select("version", F.when(~whole, "class numbers are not contiguous from zero").alias("error"))
 
 
+def taxonomy_checks(taxonomy: DataFrame, uses: DataFrame) -> DataFrame:
+    """uses (name, version, tiling, overlap: what a model or data set was made with) and what is wrong with each: a version that is not there or
+    whose class numbers are not whole, class names that are not unique, tiles that overlap though there is no tiling, or an overlap outside 0 .. 1."""
+    names = taxonomy.groupBy("version").agg((F.count_distinct("canonical") < F.count("*")).alias("repeats"))
+    known = taxonomy_error(taxonomy).join(names, "version")
+    rows = uses.join(known.withColumnRenamed("error", "numbers"), "version", "left")
+    error = (
+        F.when(F.col("repeats").isNull(), "unknown taxonomy version").when(F.col("numbers").isNotNull(), F.col("numbers")).when(F.col("repeats"), "class names are not unique")
+        .when(~F.col("tiling") & (F.col("overlap") != 0), "tile overlap must be zero without tiling").when((F.col("overlap") < 0) | (F.col("overlap") >= 1), "tile overlap is between 0 and 1")
+    )
+    return rows.select(*uses.columns, error.alias("error"))
+
+
+def missing_of(taxonomy: DataFrame, mapping: DataFrame) -> DataFrame:
+    """(version, canonical): classes of each version that no row of a mapping (version, class_name, canonical) stands for."""
+    return taxonomy.select("version", "canonical").distinct().join(mapping.where("canonical is not null").select("version", "canonical"), ["version", "canonical"], "left_anti")
+
+
 def first_seen(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Distinct keys in the order in which they first come."""
     return rows.groupBy(*keys).agg(F.min(order).alias("first")).orderBy("first")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablestone.operators import overlay, tiles
+from gablestone.operators.shared import uri
 from gablestone.sources import archives
 
 #: Members of the archive and its coordinate system.
@@ -110,7 +111,7 @@ def convert(spark: SparkSession, path: str, output: str, mapping: dict[str, str]
 
 def write_files(rows: DataFrame, output: str) -> None:
     """Each row's content as a file under output, under a name of its own first: a task that runs again leaves the same file."""
-    base = output if "://" in output else f"file://{output}"
+    base = uri(output)
 
     def run(batches):
         import os

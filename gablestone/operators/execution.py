@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablestone.operators import lifecycle
+from gablestone.operators.shared import uri
 
 RESULT = "building_id string, backend string, lod string, status string, succeeded boolean, files array<string>, folder string, reason string, seconds double, reused boolean"
 
@@ -117,7 +118,7 @@ def execute(plans: DataFrame, backends: Backends, output: str, seconds: float =
     plans have none. Results are written under output, where they are read from: running them is not repeated by a later action."""
     ready = plans.where("decision = 'execute'")
     names = list(ready.columns)
-    base = output if "://" in output else f"file://{output}"
+    base = uri(output)
     known = {n: backends.get(n) for n in backends.names()}
 
     def run(batches):

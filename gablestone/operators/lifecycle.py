@@ -38,9 +38,14 @@ def outcomes(plans: DataFrame, results: DataFrame) -> DataFrame:
     return rows.select("building_id", status.alias("status"), used.alias("delivered_lod"), warning.alias("warning"))
 
 
-def input_gates(points: DataFrame, rings: DataFrame) -> DataFrame:
+#: Colours of surfaces in material files.
+MATERIALS = {"RoofSurface": "0.839 0.153 0.157", "WallSurface": "0.498 0.498 0.498", "GroundSurface": "0.549 0.337 0.294"}
+
+
+def input_gates(points: DataFrame, rings: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """What keeps a building from a backend that takes one closed ring and ground points: points
-    (building_id, z, classification), rings (building_id, polygon_id, ring_id, corners, closed, crs)."""
+    (building_id, z, classification), rings (building_id, polygon_id, ring_id, corners, closed, crs); with files (building_id, path, bytes) also
+    whether its point cloud is there, is a file of such points and is not empty."""
     ground = points.where("classification = 2").groupBy("building_id").agg(F.percentile("z", F.lit(0.5)).alias("ground_p50"))
     shape = rings.groupBy("building_id").agg(F.count_distinct("polygon_id").alias("polygons"), F.max("ring_id").alias("holes"), F.min("corners").alias("corners"), F.bool_and("closed").alias("closed"), F.max("crs").alias("crs"))
     rows = shape.join(ground, "building_id", "left")
@@ -48,6 +53,10 @@ def input_gates(points: DataFrame, rings: DataFrame) -> DataFrame:
         (F.coalesce(F.col("crs") != "EPSG:25830", F.lit(True)), "coordinate system"), (F.col("ground_p50").isNull(), "no ground points"), (F.col("polygons") != 1, "several polygons"), (F.col("holes") > 0, "holes"),
         (~F.col("closed") | (F.col("corners") < 4), "ring is not closed"),
     ]
+    if files is not None:
+        rows = rows.join(files.groupBy("building_id").agg(F.min(F.struct("path", "bytes")).alias("f")), "building_id", "left")
+        path, size = F.lower("f.path"), F.col("f.bytes")
+        checks += [(F.col("f").isNull(), "no point cloud"), (~(path.endswith(".las") | path.endswith(".laz")), "not a point cloud file"), (size == 0, "empty file")]
     errors = F.filter(F.array(*[F.when(c, F.lit(n)) for c, n in checks]), lambda e: e.isNotNull())
     return rows.select("building_id", "ground_p50", F.array_join(errors, "; ").alias("errors"), (F.size(errors) == 0).alias("ready"))
 
@@ -67,6 +76,20 @@ def obj_text(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     return points.join(lines, "model_id").select("model_id", F.concat("points", F.lit("\n"), "lines", F.lit("\n")).alias("value"))
 
 
+def obj_files(vertices: DataFrame, faces: DataFrame) -> DataFrame:
+    """(model_id, file, value, error): the OBJ text of each model, which names its material file, and that file. Surfaces with interior rings
+    (faces with ring_id above 0) cannot be written so: their model has one row that says so."""
+    own = faces if "ring_id" in faces.columns else faces.withColumn("ring_id", F.lit(0))
+    pierced = own.where("ring_id > 0").select("model_id").distinct()
+    key = F.col("model_id").cast("string")
+    colours = "\n\n".join(f"newmtl {name}\nKd {kd}" for name, kd in MATERIALS.items()) + "\n"
+    text = obj_text(vertices, own.join(pierced, "model_id", "left_anti")).select("model_id", F.concat(F.lit("mtllib "), key, F.lit(".mtl\no "), key, F.lit("\n"), "value").alias("value"))
+    pair = F.array(F.struct(F.concat(key, F.lit(".obj")).alias("file"), F.col("value")), F.struct(F.concat(key, F.lit(".mtl")).alias("file"), F.lit(colours).alias("value")))
+    rows = text.select("model_id", F.explode(pair).alias("f")).select("model_id", "f.file", "f.value", F.lit(None).cast("string").alias("error"))
+    nothing = F.lit(None).cast("string")
+    return rows.unionByName(pierced.select("model_id", nothing.alias("file"), nothing.alias("value"), F.lit("interior rings cannot be written").alias("error")))
+
+
 def label_lines(objects: DataFrame, classes: dict[str, int], width: float, height: float) -> DataFrame:
     """One text for each tile: class number and corner coordinates as shares of the tile, six digits.
     objects: tile, object_id, class_name, ring (array of x, y); classes without a number have no line

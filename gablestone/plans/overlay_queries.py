@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gablestone.operators import cadastre, overlay, spatial
+from gablestone.operators import benchmarks, cadastre, decisions, overlay, shared, spatial
 from gablestone.plans.spatial_queries import _r
-from gablestone.sources.adapters import view
+from gablestone.sources import tiff
+from gablestone.sources.adapters import prelude, view
 
 # Width and height of a supplier's rings, and the corner that they start from.
 _SIZES = "cast(s_suppkey as bigint) as building_id, cast(4 + s_suppkey % 7 as double) as w, cast(3 + s_suppkey % 5 as double) as h, cast(s_suppkey % 4 as int) as kind, cast(700000 + 32*(s_suppkey % 32) as double) as x0, cast(4370000 + 32*floor(s_suppkey/32) as double) as y0"
@@ -52,6 +53,28 @@ def k01_cadastral_documents(spark, d):
     return found.select("building_id", "folder", "file", kind.alias("kind"), n.cast("long").alias("polygons"), F.when(F.col("file") == "building_parts.geojson", features).cast("long").alias("features"))
 
 
+def r16_terrain_sampling(spark, d):
+    """All buildings' terrain as one raster file, sampled at the ground points of the cloud: a building's points, those with a value, and their mean height above it."""
+    import uuid
+
+    terrain = view(spark, d, "v_terrain")
+    rows = 16 * (terrain.agg(F.max("building_id").alias("n")).first()["n"] // 32 + 1)
+    cells = terrain.selectExpr("'terrain' as raster", f"{rows} - 1 - (16*cast(floor(building_id/32) as bigint) + trow) as row", "16*(building_id % 32) + tcol as col", "elevation as value")
+    grid = spark.createDataFrame([("terrain", 700000.0, 4370000.0 + 2 * rows, 2.0, 512, rows)], "raster string, west double, north double, pixel double, width long, height long")
+    path = f"{shared.folder(spark)}/rasters-{uuid.uuid4().hex}"
+    tiff.write(cells, grid, path, "f8")
+    points = view(spark, d, "v_points").where("classification = 2").select("src_building", "x", "y", "z")
+    met = tiff.sampled(points, tiff.tiles(spark, path), 25830)
+    return _r(met.groupBy(F.col("src_building").alias("building_id")).agg(F.count("*").alias("points"), F.count("value").alias("valued"), F.avg(F.col("z") - F.col("value")).alias("mean_above")))
+
+
+def w04_comparison(spark, d):
+    """Each building's entries, of even numbers one a backend, ranked or refused."""
+    entries = decisions.with_quality_gate(view(spark, d, "v_entries")).where("building_id % 2 = 1 or input_ord % 3 = 0")
+    rows = benchmarks.compared(view(spark, d, "v_selection"), entries)
+    return rows.select("building_id", F.array_join("backends", ",").alias("backends"), F.array_join("accepted_ranking", ",").alias("accepted_ranking"), "error")
+
+
 _S = f"with s as (select {_SIZES} from supplier)"
 
 
@@ -61,6 +84,15 @@ def _common(x: float, y: float, w: float, h: float) -> str:
 
 
 ORACLES = {
+    "r16_terrain_sampling": f"""{prelude("v_points", "v_terrain")},
+g as (select 16*cast(floor(building_id/32) as bigint) + trow as r, 16*(building_id % 32) + tcol as c, elevation from v_terrain)
+select src_building as building_id, count(*) as points, count(elevation) as valued, round(avg(z - elevation), 6) as mean_above
+from v_points left join g on r = cast(ceil((y - 4370000)/2) as bigint)- 1 and c = cast(floor((x - 700000)/2) as bigint) where classification = 2 group by src_building""",
+    "w04_comparison": f"""{prelude("v_entries", "v_selection")},
+e as (select *, geometry_valid and plausibility_pass and rmse_m <= 1.0 and p95_m <= 2.0 and within_050m >= 0.75 as accepted from v_entries where building_id % 2 = 1 or input_ord % 3 = 0),
+o as (select building_id, string_agg(backend, ',' order by backend) as backends, coalesce(string_agg(backend, ',' order by rmse_m, p95_m, input_ord) filter (where accepted), '') as ranking, count(*) > count(distinct backend) as twice from e group by building_id)
+select b.building_id, coalesce(backends, '') as backends, case when backends is not null and not twice then ranking end as accepted_ranking, case when backends is null then '{benchmarks.NO_ENTRIES}' when twice then '{benchmarks.DUPLICATES}' end as error
+from (select distinct building_id from v_selection) b left join o using (building_id)""",
     "g12_valid_polygons": f"""{_S} select building_id, cast(case kind when 2 then 1 else 2 end as bigint) as parts, cast(2 as bigint) as rings,
   round(case kind when 0 then w*h/2 when 1 then w*h + 1 when 2 then w*h - 1 else 2*w*h - 8 end, 6) as area_m2, round(case kind when 0 then w*h/4 when 1 then w*h when 2 then w*h - 1 else w*h - 4 end, 6) as largest_m2 from s""",
     "g15_overlay": f"""{_S}, b as (select building_id, building_id % 11 + 0.5::double as qx, building_id % 7 + 0.25::double as qy, w + 6 as bw, h + 5 as bh from s),

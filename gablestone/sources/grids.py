@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gablestone.operators.shared import cut, uri
+
 #: The names that files use for what cells are called here.
 OBSERVED = {"elevation_m": "height", "point_count": "points"}
 NORMALIZED = {"height_m": "above_ground", "terrain_elevation_m": "elevation"}
@@ -44,7 +46,7 @@ def read(spark: SparkSession, path: str, names: dict[str, str] = OBSERVED) -> Da
 def write(cells: DataFrame, path: str, names: dict[str, str] = OBSERVED, crs: str = "EPSG:25830", **constants) -> DataFrame:
     """path/<building_id>.npz of the footprint cells (building_id, row, col, the columns of names, ox, oy, resolution) of each building;
     (building_id, file). A building's grid is one value. constants (height_percentile, terrain_source) are stored as they are."""
-    base = path if "://" in path else f"file://{path}"
+    base = uri(path)
     kind = dict(cells.dtypes)["building_id"]
 
     def save(pdf):
@@ -76,7 +78,5 @@ def write(cells: DataFrame, path: str, names: dict[str, str] = OBSERVED, crs: st
         where.move(own, final)
         return pd.DataFrame({"building_id": [first["building_id"]], "file": [file]})
 
-    from gablestone.operators.shared import cut
-
     own = ["building_id", "row", "col", *names.values(), "ox", "oy", "resolution"]
     return cut(cells.select(*own).groupBy("building_id").applyInPandas(save, f"building_id {kind}, file string"))

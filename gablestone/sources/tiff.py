@@ -13,6 +13,8 @@ import struct
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gablestone.operators.shared import cut, uri
+
 TILE = 256
 #: Tiles of a task.
 DEALT = 64
@@ -198,8 +200,6 @@ def sampled(points: DataFrame, wanted: DataFrame, epsg: int) -> DataFrame:
     grid = wanted.select("file", "west", "north", "pixel_x", "pixel_y", "width", "height").distinct()  # a row a file
     at = lambda a, b: F.floor(F.expr(a) / F.col(b))
     key = points.withColumn("point_", F.monotonically_increasing_id()) if not {"point_"} & set(points.columns) else points
-    from gablestone.operators.shared import cut
-
     key = cut(key)
     placed = key.select("point_", "x", "y").join(F.broadcast(grid) if grid.count() <= 10_000 else grid, F.expr("x >= west and x < west + width * pixel_x and y <= north and y > north - height * pixel_y"))
     placed = placed.select("point_", "file", at("x - west", "pixel_x").alias("col"), at("north - y", "pixel_y").alias("row"))
@@ -252,7 +252,7 @@ def write(values: DataFrame, grids: DataFrame, path: str, kind: str = "f4", epsg
     import numpy as np
 
     empty = 0 if nodata is None else nodata
-    base = path if "://" in path else f"file://{path}"
+    base = uri(path)
     type_ = dict(grids.dtypes)["raster"]
     corner = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(c) / TILE) - 1))
     every = grids.withColumn("trow", corner("height")).withColumn("tcol", corner("width")).select("raster", "trow", "tcol")
@@ -269,8 +269,6 @@ def write(values: DataFrame, grids: DataFrame, path: str, kind: str = "f4", epsg
         tile[given["row"].to_numpy(int) % TILE, given["col"].to_numpy(int) % TILE] = given["value"]
         return pd.DataFrame({"raster": [pdf["raster"].iloc[0]], "trow": [pdf["trow"].iloc[0]], "tcol": [pdf["tcol"].iloc[0]], "data": [zlib.compress(tile.tobytes(), 6)]})
 
-    from gablestone.operators.shared import cut
-
     packed = cut(every.join(dealt, ["raster", "trow", "tcol"], "left").groupBy("raster", "trow", "tcol").applyInPandas(pack, f"raster {type_}, trow long, tcol long, data binary"))
     sizes = packed.groupBy("raster").agg(F.transform(F.sort_array(F.collect_list(F.struct("trow", "tcol", F.length("data").alias("n")))), lambda x: x["n"]).alias("sizes"))
     heads = grids.join(sizes, "raster").select("raster", F.lit(-1).cast("long").alias("trow"), F.lit(0).cast("long").alias("tcol"), F.lit(None).cast("binary").alias("data"), "west", "north", "pixel", "width", "height", "sizes")
