@@ -191,6 +191,11 @@ def cells(wanted: DataFrame, bbox: tuple | None = None) -> DataFrame:
     return dealt.mapInArrow(run, CELLS)
 
 
+def channels(read: DataFrame) -> DataFrame:
+    """file, band, low and high of the values of cells()."""
+    return read.groupBy("file", "band").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+
+
 def sampled(points: DataFrame, wanted: DataFrame, epsg: int) -> DataFrame:
     """points (with x, y) with the value of the first band at each, NULL outside and where there is none; only tiles in which points
     lie are read. wanted: the tiles() of one coverage in the coordinate system of the points; another one is an error."""
