@@ -68,4 +68,5 @@ def advertised(buildings: DataFrame, audited: DataFrame) -> DataFrame:
     rows = buildings.select("building_id", "document_url", "file").join(audited, "file", "left")
     none = F.trim(F.coalesce("document_url", F.lit(""))) == ""
     error = F.when(none, "no advertised image").when(F.col("status").isNull(), "not landed").otherwise(F.col("error"))
-    return rows.withColumn("status", F.when(none | F.col("status").isNull(), "unavailable").otherwise(F.col("status"))).withColumn("error", error)
+    status = F.when(none | F.col("status").isNull(), "unavailable").otherwise(F.col("status"))
+    return rows.withColumns({"error": error, "status": status})
