@@ -144,6 +144,30 @@ def pack_shard(rows: list[tuple], capacity: int = CAPACITY) -> list[tuple]:
 WORDS = (r"cast(size(filter(split(replace(translate(coalesce(text, ''), '\u0009\u000b\u000c\u000d', '    '), '\u000a', ' '), ' ', -1), w -> w <> '')) + 1 as bigint)")
 
 
+def _counter(tokenizer: str):
+    """The function from texts to their numbers of tokens: new pieces of the usual texts are encoded by the library in rows, longer
+    texts and other tokenizers are counted as token_counts does, whose memory a text's length does not raise."""
+    from gablestone.llm._pieces import splits_anywhere
+    from gablestone.llm.token_counts import CHUNK, counter
+    from gablestone.llm.token_frames import Encoder
+
+    if tokenizer.endswith(".model") or not splits_anywhere(tokenizer):
+        return counter(tokenizer)
+    encoder, others = Encoder(tokenizer), []
+
+    def count(texts: list[str]) -> list[int]:
+        usual = [k for k, t in enumerate(texts) if len(t) <= CHUNK]
+        out = dict(zip(usual, encoder.counts([texts[k] for k in usual]), strict=True))
+        for k in range(len(texts)):
+            if k not in out:
+                if not others:
+                    others.append(counter(tokenizer))
+                out[k], = others[0]([texts[k]])
+        return [out[k] for k in range(len(texts))]
+
+    return count
+
+
 def lengths(docs: DataFrame, length=None, tokenizer: str | None = None) -> DataFrame:
     """doc_id, source, cluster, length of each document."""
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"\s+", " "))
@@ -156,9 +180,7 @@ def lengths(docs: DataFrame, length=None, tokenizer: str | None = None) -> DataF
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        from gablestone.llm.token_counts import counter
-
-        count = counter(tokenizer)
+        count = _counter(tokenizer)
         for b in batches:
             text, n = pc.fill_null(b.column("text"), ""), []
             for i in range(0, len(text), 500):

@@ -103,12 +103,25 @@ class Encoder:
 
     def batch(self, texts: list[str]):
         """The ids of each text, as arrays."""
-        from gablestone.llm._pieces import MEMO, keys
-
         if not self.by_piece:
             for t in texts:
                 yield np.array(self._ids([t])[0], np.uint32)
             return
+        for x in self._numbered(texts):
+            sizes = self.sizes[x]
+            ends = np.cumsum(sizes)
+            yield self.pool[np.repeat(self.starts[x] - ends + sizes, sizes) + np.arange(ends[-1] if len(x) else 0)]
+
+    def counts(self, texts: list[str]):
+        """How many ids each text has."""
+        if not self.by_piece:
+            return [len(x) for x in self.batch(texts)]
+        return [int(self.sizes[x].sum()) for x in self._numbered(texts)]
+
+    def _numbered(self, texts: list[str]):
+        """The numbers of the pieces of each text, all of them learned."""
+        from gablestone.llm._pieces import MEMO, keys
+
         part, size = [], 0
         for k, t in enumerate(texts):
             part.append(t)
@@ -122,10 +135,7 @@ class Encoder:
             numbers = [np.fromiter(map(memo.__getitem__, keys(x)), np.int64) for x in part]
             if memo.new:
                 self._learn(memo.new)
-            for x in numbers:
-                sizes = self.sizes[x]
-                ends = np.cumsum(sizes)
-                yield self.pool[np.repeat(self.starts[x] - ends + sizes, sizes) + np.arange(ends[-1] if len(x) else 0)]
+            yield from numbers
             part, size = [], 0
 
 

@@ -276,3 +276,16 @@ def test_url_rules_of_one_length_and_no_pages(spark):
     rules = url_rules.rule_table(spark, [("block", "com", "/x"), ("allow", "com", "/x")])
     assert {r.page_id: r.verdict for r in url_rules.judge(pages, rules).collect()} == {1: "allow", 2: "allow"}
     assert url_rules.judge(pages.limit(0), rules).count() == 0
+
+
+def test_packing_counts_what_the_library_counts():
+    from tokenizers import Tokenizer
+
+    from gablestone.llm import packing
+    from gablestone.llm.token_counts import CHUNK
+
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        own, count = Tokenizer.from_file(tokenizer_file(name)), packing._counter(tokenizer_file(name))
+        texts = [t or "" for t in ODD] + ["long words and lines\n" * (CHUNK // 15), "", "x" * 300]
+        assert count(texts) == [len(own.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert count([]) == []
