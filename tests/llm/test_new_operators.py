@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from gablestone.llm import divergence, resampling, sentencepieces
+from gablestone.llm import divergence, queries, resampling, sentencepieces
 from gablestone.llm._words import ALNUM, LETTERS, spans
 from gablestone.llm.queries import tokenizer_file
 
@@ -289,3 +289,12 @@ def test_packing_counts_what_the_library_counts():
         texts = [t or "" for t in ODD] + ["long words and lines\n" * (CHUNK // 15), "", "x" * 300]
         assert count(texts) == [len(own.encode(t, add_special_tokens=False).ids) for t in texts]
         assert count([]) == []
+
+
+def test_url_rules_are_the_contracts(spark, tmp_path):
+    urls = ["http://a.net/de/1", "http://example.net/de/7", "http://example.net/de/81", "http://a.com/en/1", "http://example.com/en/7", "http://a.org/es/1", "http://a.net/en/1"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.rule, r.verdict) for r in queries.op7_url_filter(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in range(len(urls))] == [
+        ("net/de/", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("com/en/", "block"), ("example.com/en/7", "allow"), ("org/es/", "block"), (None, "allow"),
+    ]
