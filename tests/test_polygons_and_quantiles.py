@@ -1,5 +1,6 @@
 """Buildings of several polygons and exact quantiles, by brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -70,3 +71,14 @@ def test_wide_boxes_are_counted_before_they_are_dealt(spark):
         assert met.where("inside").count() == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_interpolated_heights_round_once(spark):
+    """lo * (1 - d) is not rounded before hi * d is added to it."""
+    rng = random.Random(3)
+    rows = [(k, [106 + rng.randrange(18) / 8 for _ in range(rng.randrange(30))]) for k in range(400)]
+    got = {r.k: r.q for r in spark.createDataFrame(rows, "k long, v array<double>").select("k", rasters.interpolated(F.col("v"), 0.9).alias("q")).collect()}
+    for k, v in rows:
+        v, at = sorted(v), (len(v) - 1) * 0.9
+        lo, d = int(at), at - int(at)
+        assert got[k] == (None if not v else v[lo] if d == 0 else math.fma(v[lo], 1 - d, v[lo + 1] * d))
