@@ -82,3 +82,28 @@ def test_interpolated_heights_round_once(spark):
         v, at = sorted(v), (len(v) - 1) * 0.9
         lo, d = int(at), at - int(at)
         assert got[k] == (None if not v else v[lo] if d == 0 else math.fma(v[lo], 1 - d, v[lo + 1] * d))
+
+
+def test_shifted_points_are_those_in_the_polygons(spark):
+    """Sides of all rings and polygons as numbers, in calls of few sides, give the counts of the polygons."""
+    edges = [(1, 0, 0, k, *e) for k, e in enumerate([(0.0, 0.0, 9.0, 1.0), (9.0, 1.0, 7.0, 8.0), (7.0, 8.0, 0.0, 6.0), (0.0, 6.0, 0.0, 0.0)])]
+    edges += [(1, 0, 1, k, *e[4:]) for k, e in enumerate(square(1, 0, 2, 2, 3, 2))] + square(1, 1, 6, 5, 4, 4) + square(2, 0, 30, 0, 5, 5)
+    rng = random.Random(4)
+    rows = [(rng.randrange(-8, 150) / 4, rng.randrange(-8, 40) / 4) for _ in range(700)]
+    points = spark.createDataFrame([(*p, 6) for p in rows], "x double, y double, classification long")
+    held, spatial.SIDES = spatial.SIDES, 7
+    try:
+        got = {r.building_id: (r.score, r.sx, r.sy) for r in spatial.alignment(points, spark.createDataFrame(edges, EDGES)).collect()}
+        function = spatial._shifted([0.0], 0.0, 1.0)
+    finally:
+        spatial.SIDES = held
+    inside = lambda e, x, y: sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for *_, x1, y1, x2, y2 in e) % 2 == 1
+    for b in (1, 2):
+        own = [e for e in edges if e[0] == b]
+        holds = lambda x, y: any(inside([e for e in own if e[1:3] == (p, 0)], x, y) and not inside([e for e in own if e[1] == p and e[2]], x, y) for p in (0, 1))  # noqa: B023, E731
+        box = [f(e[k] for e in own for k in (c, c + 2)) for c in (4, 5) for f in (min, max)]
+        near = [(x, y) for x, y in rows if box[0] - 2 <= x <= box[1] + 2 and box[2] - 2 <= y <= box[3] + 2]
+        shares = {(-sum(holds(x + i / 2, y + j / 2) for x, y in near) / len(near), i / 2, j / 2) for i in range(-4, 5) for j in range(-4, 5)}
+        best = min(shares)
+        assert got[b] == (-best[0], *best[1:])
+    assert list(function(iter([]))) == []
