@@ -206,3 +206,16 @@ def test_numbers_that_are_none_are_named(spark):
     part = '<c><BuildingPart><localId>p</localId><numberOfFloorsAboveGround>two</numberOfFloorsAboveGround><posList>0 0</posList></BuildingPart></c>'
     r = registry.parts(spark.createDataFrame([(1, part)], "id long, xml string"), "id").first()
     assert (r.local_id, r.floors_above, r.error) == ("p", None, "numberOfFloorsAboveGround is no number")
+
+
+def test_few_bytes_of_rings_are_dealt_to_many_tasks(spark):
+    square = [[{"x": 0.0, "y": 0.0}, {"x": 1.5, "y": 0.0}, {"x": 1.5, "y": 1.0}, {"x": 0.0, "y": 1.0}]]
+    rows = spark.createDataFrame([(k, square) for k in range(64)], f"id long, rings {overlay.RINGS}").coalesce(1)
+    found = overlay.repaired(rows, ["id"])
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert {r.area_m2 for r in found.collect()} == {1.5}
+
+
+def test_coordinates_are_whole_numbers_of_one_scale():
+    layers, scale = arrangement._scaled([[[(0.5, 3.0), (0.1, -2.0)]]])
+    assert layers == [[[(scale // 2, 3 * scale), (int(0.1 * scale), -2 * scale)]]] and int(0.1 * scale) / scale == 0.1
