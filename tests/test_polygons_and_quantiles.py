@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gablestone.operators import quantiles, rasters, spatial
+from gablestone.operators import cloud_quality, quantiles, rasters, spatial
 
 EDGES = "building_id long, polygon_id long, ring_id long, edge_id long, x1 double, y1 double, x2 double, y2 double"
 
@@ -107,3 +107,22 @@ def test_shifted_points_are_those_in_the_polygons(spark):
         best = min(shares)
         assert got[b] == (-best[0], *best[1:])
     assert list(function(iter([]))) == []
+
+
+def test_local_planes_pass_no_pairs_on(spark):
+    """Points across tiles of 8 x radius, ties by key, points in need of a wider radius, and calls of few pairs; pairs are not shuffled."""
+    rng = random.Random(6)
+    rows = [(1, k, rng.randrange(300) / 4, rng.randrange(60) / 4, rng.randrange(9) / 8) for k in range(500)] + [(2, k, 100.0 * k, 5.0 + k % 3, 1.0) for k in range(5)] + [(3, 1, 1.0, 1.0, 1.0)]
+    points = spark.createDataFrame(rows, "building_id long, k long, x double, y double, z double").repartition(3)
+    got = {r.building_id: r for r in cloud_quality.local_planes(points, ["k"], k=6, radius=2.0).collect()}
+    assert set(got) == {1, 2}
+    for b in (1, 2):
+        own, flat, gaps = [r[1:] for r in rows if r[0] == b], [], []
+        for _, x, y, z in own:
+            near = np.array(sorted(own, key=lambda q: (np.sqrt((x - q[1]) ** 2 + (y - q[2]) ** 2 + (q[3] - z) ** 2), q[0]))[:6])[:, 1:]
+            low, mid, high = np.clip(np.linalg.eigvalsh(np.cov(near.T, bias=True)), 0, None)
+            gaps.append(np.sqrt(low))
+            flat.append(gaps[-1] <= 0.2 and high > 0 and (mid - low) / high >= 0.3)
+        assert got[b].planar_support == pytest.approx(np.mean(flat)) and got[b].residual_p50 == pytest.approx(np.median(gaps), abs=1e-6)
+    some = cloud_quality._planes_around(points, None, ["k"], "building_id", 6, 2.0, 0.2, 0.3)
+    assert "Join" not in some._jdf.queryExecution().executedPlan().toString()
