@@ -83,3 +83,13 @@ def test_measures_take_samples(spark):
     assert (plane.support, plane.support_ratio, plane.warnings) == (500, 1.0, None) and plane.offset == pytest.approx(plane.cx * plane.nx + plane.cy * plane.ny + plane.cz * plane.nz)
     near = cloud_quality.nearest_plane(points, cloud_quality.roof_planes(points, ["k"]), ["k"])  # planes feed it as they are
     assert near.agg(F.max("distance")).first()[0] == pytest.approx(0, abs=1e-6)
+
+
+def test_roof_planes_take_rows_as_arrow(spark):
+    """Groups come as Arrow tables, whatever the order and partitions of their rows; a group without planes has no row."""
+    rows = [(1, k, float(k % 10), float(k // 10), 5.0) for k in range(60)] + [(2, k, float(k), 0.0, 0.0) for k in range(5)]
+    points = spark.createDataFrame(rows, "building_id long, k long, x double, y double, z double")
+    got = [cloud_quality.roof_planes(points.repartition(n), ["k"]) for n in (1, 5)]
+    assert "FlatMapGroupsInArrow" in got[0]._jdf.queryExecution().executedPlan().toString()
+    a, b = (df.collect() for df in got)
+    assert a == b and [(r.building_id, r.plane, r.support, r.nz, r.aspect_deg, r.warnings) for r in a] == [(1, 0, 60, 1.0, None, None)]
