@@ -210,8 +210,9 @@ def sampled(points: DataFrame, wanted: DataFrame, epsg: int) -> DataFrame:
     placed = placed.select("point_", "file", at("x - west", "pixel_x").alias("col"), at("north - y", "pixel_y").alias("row"))
     need = placed.join(wanted.select("file", "tile_width", "tile_height").distinct(), "file").select("file", F.floor(F.col("row") / F.col("tile_height")).alias("trow"), F.floor(F.col("col") / F.col("tile_width")).alias("tcol")).distinct()
     met = cells(wanted.join(need, ["file", "trow", "tcol"], "left_semi")).where("band = 1").select("file", "row", "col", "value")
-    values = placed.join(met, ["file", "row", "col"]).groupBy("point_").agg(F.min_by("value", "file").alias("value"))
-    return key.join(values, "point_", "left").drop("point_")
+    # Spark takes the cells for as many bytes as the list of tiles and would send all of them through the driver.
+    values = placed.join(met.hint("merge"), ["file", "row", "col"]).groupBy("point_").agg(F.min_by("value", "file").alias("value"))
+    return key.join(values.hint("merge"), "point_", "left").drop("point_")
 
 
 def _head(width: int, height: int, sizes: list[int], kind: str, west: float, north: float, pixel: float, epsg: int, nodata: float | None) -> bytes:

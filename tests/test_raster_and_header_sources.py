@@ -169,3 +169,12 @@ def test_coordinate_systems_of_point_files(tmp_path):
     assert las.coordinate_system(head([(34735, keys)])) == "EPSG:25830" and las.coordinate_system(head([(34735, keys), (2112, text)])) == "EPSG:25831"
     assert las.coordinate_system(head([])) is None and las.coordinate_system(head([(2112, b"LOCAL_CS")])) is None
     assert las.dimensions(8)[-4:] == ["red", "green", "blue", "nir"] and "gps_time" in las.dimensions(3)
+
+
+def test_cells_and_points_are_not_broadcast(spark, tmp_path):
+    """Sizes of what comes out of Python are not known beforehand; only the list of files may pass the driver."""
+    written(spark, tmp_path)
+    points = spark.range(50).selectExpr("id as k", "1000D + id as x", "4999D - id as y")
+    plan = tiff.sampled(points, tiff.tiles(spark, str(tmp_path / "out")), 25830)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line.split("Join [")[1] for line in plan.splitlines() if "SortMergeJoin [" in line]
+    assert {"point_", "file"} <= {j.split("#")[0] for j in joins}
