@@ -266,3 +266,18 @@ def test_text_rules(spark):
 def test_box_overlap(spark):
     r = spark.range(1).select(geometry.bbox_iou([*map(F.lit, (0.0, 0.0, 2.0, 2.0))], [*map(F.lit, (1.0, 0.0, 3.0, 2.0))]), geometry.bbox_iou([F.lit(0.0)] * 4, [F.lit(0.0)] * 4)).first()
     assert r[0] == pytest.approx(1 / 3) and r[1] == 0
+
+
+def test_cells_are_dealt_out_and_those_of_the_rays(spark):
+    shapes = [s for b in range(1, 7) for s in (ring([(b * 50, 0), (b * 50 + 20.3, 1), (b * 50 + 9, 15.7)], b), ring([(b * 50 + 8, 3), (b * 50 + 11, 3), (b * 50 + 9, 9)], b, 0, 1), ring([(b * 50 + 1, 9), (b * 50 + 12, 9), (b * 50 + 4, 22)], b, 1))]
+    edges = spark.createDataFrame([r for s in shapes for r in s], "building_id long, polygon_id long, ring_id long, edge_id long, x1 double, y1 double, x2 double, y2 double")
+    cells = rasters.footprint_cells(edges, 0.5)
+    # Few bytes of footprints are not one task's work.
+    assert cells.rdd.getNumPartitions() > 1
+    own = spatial.buildings(edges).crossJoin(spark.range(41).withColumnRenamed("id", "col")).crossJoin(spark.range(44).withColumnRenamed("id", "row"))
+    own = own.select("building_id", "row", "col", geometry.in_polygons(F.col("polygons"), F.col("min_x") + (F.col("col") + 0.5) * 0.5, F.col("min_y") + (F.col("row") + 0.5) * 0.5).alias("inside")).where("inside")
+    assert {tuple(r)[:3] for r in own.collect()} == {tuple(r) for r in cells.select("building_id", "row", "col").collect()}
+    points = spark.createDataFrame([(float(50 + 7), 2.2, 1.0, 6)], "x double, y double, z double, classification long")
+    found = {r["building_id"]: r for r in rasters.empty_regions(points, edges, 0.5).collect()}
+    n = cells.where("building_id = 2").count()
+    assert len(found) == 6 and 0 < found[1]["largest_empty_cells"] < n and found[2]["hole_ratio"] == found[2]["largest_empty_cells"] / n
