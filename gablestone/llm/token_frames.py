@@ -27,6 +27,7 @@ import os
 import struct
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -134,11 +135,22 @@ class Encoder:
             memo.new = []
             numbers = [np.fromiter(map(memo.__getitem__, keys(x)), np.int64) for x in part]
             if memo.new:
-                self._learn(memo.new)
+                try:
+                    self._learn(memo.new)
+                except BaseException:
+                    # Numbers without their ids must not serve a later task.
+                    self._forget()
+                    raise
             yield from numbers
             part, size = [], 0
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer_file: str, call: str) -> Encoder:
+    """The encoder of one call in a worker process: the pieces it has learned serve the call's tasks that follow."""
+    return Encoder(tokenizer_file)
+
+
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
 
@@ -236,17 +248,17 @@ def write_frames(docs: DataFrame, path: str, tokenizer_file: str, end_id: int |
     doc_id order; the table of the shards (shard, file, n_docs, n_tokens, n_bytes). Ids take width
     bytes, by default as many as the vocabulary needs."""
     width = width or _id_bytes(tokenizer_file, end_id)
-    shards = max(1, -(-docs.count() // shard_docs))
+    shards, call = max(1, -(-docs.count() // shard_docs)), uuid.uuid4().hex
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder, tail = Encoder(tokenizer_file), np.array([] if end_id is None else [end_id], np.uint32)
+        own, tail = encoder(tokenizer_file, call), np.array([] if end_id is None else [end_id], np.uint32)
 
         def rows():
             for b in batches:
-                ids = encoder.batch([t or "" for t in b.column("text").to_pylist()])
+                ids = own.batch([t or "" for t in b.column("text").to_pylist()])
                 for doc_id, x in zip(b.column("doc_id").to_pylist(), ids, strict=True):
                     yield doc_id, np.concatenate([x, tail])
 
