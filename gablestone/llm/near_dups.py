@@ -17,8 +17,9 @@ Lists of any length are worked through without all their pairs:
    1 - 1.5 d (0.7 for links at d = 0.2) to the leader, the other has 1 - 2.5 d (0.5) by the triangle
    inequality, so that both have a deviation. Two nodes can be linked only if they share a large
    part of these, at least half of the smaller; so inverted lists of the first half of each deviation
-   (values that the leader lacks come first, as they are rare) give all candidates. Members that are
-   linked to the leader need no links among one another, and are tried one a list before all.
+   give all candidates, whatever order the leader's members agree on: values whose lists would make the
+   fewest pairs come first. Members that are linked to the leader need no links among one another, and
+   are tried one a list before all.
 3. Lists that are left have their next leaders, as long as a round at least halves them. What then
    remains has little in common, and is compared within its lists by sketches.
 
@@ -93,7 +94,7 @@ def _digest(s: np.ndarray) -> int | None:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, node (the digest of the set; null for the empty one) and sketch."""
+    """doc_id, n_shingles, digest (of the set; null for the empty one) and sketch."""
 
     def run(batches):
         import pyarrow as pa
@@ -110,22 +111,23 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(at, n).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat)))],
-                    names=["doc_id", "n_shingles", "node", "sketch"],
+                    names=["doc_id", "n_shingles", "digest", "sketch"],
                 )
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch array<long>")
+    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, digest long, sketch array<long>")
 
 
 def _lists(nodes: DataFrame, percent: int, work: Work) -> DataFrame:
     """(value, band, node, rank): the members of the inverted lists of each node's rarest sketch
     values, with how much of the sketch other nodes share."""
-    rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    rows = nodes.select("node", F.explode("sketch").alias("value"))
     # Each step's shuffle files go before the next step writes its own.
     held = work.cut(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "held")
     work.release()
     # At most K rows a node: dealt out as they are, they are narrower than partial lists.
-    shared = rows.join(held, "value").select("node", "n", "df", "value").repartition("node")
-    by_node = shared.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
+    shared = rows.join(held, "value").select("node", "df", "value").repartition("node")
+    by_node = shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"), F.sum(F.log("df")).alias("mass"))
+    by_node = by_node.join(nodes.select("node", "n"), "node")
     size = F.least("n", F.lit(K))
     # Sketches of both are whole where the larger set can have K elements at most.
     need = F.expr(f"if(n * 100 <= {K * percent}, (n * {percent} + 99) div 100, {bound(percent / 100)})")
@@ -173,7 +175,7 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: float) -> DataFrame:
 
 def _full_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, s): the sets of the nodes asked for, from one document of each."""
-    named = nodes.join(asked, "node", "left_semi").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
+    named = nodes.join(asked, "node", "left_semi").select(F.col("first").alias("doc_id"), "node", F.col("digest").alias("wanted"))
     if named.count() <= BROADCAST_IDS:
         named = F.broadcast(named)
 
@@ -184,11 +186,12 @@ def _full_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, width: int)
 
         for b in batches:
             for at, n in _words.slices(b.column("text"), SLICE):
-                own = [(w, s) for w, s in zip(b.column("wanted").slice(at, n).to_pylist(), sets(b.column("text").slice(at, n), width), strict=True) if _digest(s) == w]
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))], names=["node", "s"])
+                asked = zip(b.column("node").slice(at, n).to_pylist(), b.column("wanted").slice(at, n).to_pylist(), sets(b.column("text").slice(at, n), width), strict=True)
+                own = [(x, s) for x, w, s in asked if _digest(s) == w]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in own], pa.int64()), pa.array([s for _, s in own], pa.list_(pa.int64()))], names=["node", "s"])
 
     # A doc_id may come with several texts; the node's own is the one that its digest says.
-    return texts(docs).join(named, "doc_id").select("text", "wanted").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
+    return texts(docs).join(named, "doc_id").select("text", "node", "wanted").mapInArrow(run, "node long, s array<long>").dropDuplicates(["node"])
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: float, work: Work, tag: str) -> DataFrame:
@@ -222,16 +225,23 @@ def _by_deviation(met: DataFrame, percent: int, work: Work, tag: str) -> DataFra
     # with one that is.
     met = met.withColumn("short", F.expr(f"cast(d - (d * {p} + (n_c - n_x) * {q}) div {2 * p} as int)"))
     met = met.withColumn("long", F.expr(f"cast(d - greatest(1, ceil((d * {p} - (n_x + n_c) * {q}) / {2 * p}.0D)) + 1 as int)"))
-    entry = met.withColumn("bits", F.expr(f"array({', '.join(map(word, range(BITS)))})"))
-    entry = entry.select("c", "x", "n_x", "d", "linked", "short", "bits", F.posexplode(F.expr("slice(dev, 1, if(linked, short, greatest(short, long)))")).alias("at", "v"))
-    entry = entry.select(F.xxhash64("c", "v").alias("key"), "c", "x", "n_x", "d", "linked", (F.col("at") < F.col("short")).alias("early"), "bits")
+    # A deviation's values come in the order of the pairs that their lists would make; those that make
+    # none come first and need no list.
+    values = met.select("c", "x", "linked", F.explode("dev").alias("v"))
+    costs = values.groupBy("c", "v").agg((F.count_if(~F.col("linked")) * (F.count("*") - 1)).alias("cost")).where("cost > 0")
+    costly = values.join(costs, ["c", "v"]).groupBy("c", "x").agg(F.sort_array(F.collect_list(F.struct("cost", "v"))).alias("values"))
+    entry = met.withColumn("bits", F.expr(f"array({', '.join(map(word, range(BITS)))})")).drop("dev").join(costly, ["c", "x"])
+    entry = entry.withColumn("free", F.col("d").cast("int") - F.size("values"))
+    listed = "slice(values, 1, greatest(0, if(linked, short, greatest(short, long)) - free))"
+    entry = entry.select("c", "x", "n_x", "d", "linked", "short", "free", "bits", F.posexplode(F.expr(listed)).alias("at", "v")).withColumn("at", F.col("at") + F.col("free"))
+    entry = entry.select(F.xxhash64("c", "v.v").alias("key"), "c", "x", "n_x", "d", "linked", "at", (F.col("at") < F.col("short")).alias("early"), "bits")
     entry = work.cut(entry, f"{tag}-entries")
     work.release()
     columns = [c for c in entry.columns if c != "key"]
     ours = entry.where("not linked").select("key", *[F.col(c).alias(f"o_{c}") for c in columns])
     extra = lambda a, b: " + ".join(f"bit_count({a}bits[{k}] & ~{b}bits[{k}])" for k in range(BITS))
-    # At most so many values are in both deviations.
-    shared = f"least(d - ({extra('', 'o_')}), o_d - ({extra('o_', '')}))"
+    # At most so many values are in both deviations, if this is the first of them in the order.
+    shared = f"least(d - ({extra('', 'o_')}), o_d - ({extra('o_', '')}), d - at, o_d - o_at)"
     may = f"o_c = c and o_x <> x and {2 * p} * ({shared}) >= {p} * (d + o_d) - {q} * (n_x + o_n_x)"
 
     def confirmed(found: DataFrame, name: str) -> DataFrame:
@@ -240,12 +250,13 @@ def _by_deviation(met: DataFrame, percent: int, work: Work, tag: str) -> DataFra
         both = found.join(dev.toDF("c", "a", "n_a", "d_a"), ["c", "a"]).join(dev.toDF("c", "b", "n_b", "d_b"), ["c", "b"])
         return work.cut(both.where(_links("size(d_a) + size(d_b) - 2 * size(array_intersect(d_a, d_b))", "n_a + n_b", percent)).select("c", "a", "b"), name)
 
-    nearest = entry.where("linked").groupBy("key", "c").agg(F.min(F.struct("d", "x", "n_x", "bits")).alias("m")).select("key", "c", "m.*")
+    nearest = entry.where("linked").groupBy("key", "c").agg(F.min(F.struct("d", "x", "n_x", "at", "bits")).alias("m")).select("key", "c", "m.*")
     first = confirmed(ours.join(nearest, "key").where(may), f"{tag}-first")
     done = first.select(F.col("c").alias("o_c"), F.col("a").alias("o_x")).distinct()
     rest = ours.join(done, ["o_c", "o_x"], "left_anti")
-    second = confirmed(rest.join(entry, "key").where(f"{may} and (linked or o_early and early)"), f"{tag}-second")
-    return first.union(second).select("a", "b")
+    second = confirmed(rest.join(entry.where("linked"), "key").where(may), f"{tag}-second")
+    third = confirmed(rest.where("o_early").join(entry.where("early and not linked"), "key").where(may), f"{tag}-third")
+    return first.union(second).union(third).select("a", "b")
 
 
 def _within_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -286,11 +297,12 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     away = 100 - percent
     rows = work.cut(sketches(docs, width), "rows")
-    named = rows.where("node is not null and doc_id is not null")
-    nodes = named.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    nodes = work.cut(nodes, "nodes")
-    rows = work.cut(rows.select("doc_id", "n_shingles", "node"), "ids")
-    named = rows.where("node is not null and doc_id is not null")
+    named = rows.where("digest is not null and doc_id is not null")
+    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    # Nodes go by numbers, which take less room in shuffles; the written ones count.
+    nodes = work.cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    rows = work.cut(rows.select("doc_id", "n_shingles", "digest"), "ids")
+    named = rows.where("digest is not null and doc_id is not null")
     work.drop("rows")
     work.release()
     prefixes = _lists(nodes, percent, work)
@@ -317,14 +329,16 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
         rest = _compared(_within_lists(lists, nodes, percent), docs, nodes, width, percent, work, "rest")
         links.append(rest.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
     # Documents of one doc_id and several sets hold their nodes together.
-    links.append(named.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")).where("size(all) > 1").select("a", F.explode("all").alias("b")))
+    several = named.groupBy("doc_id").agg(F.collect_set("digest").alias("all")).where("size(all) > 1").select("doc_id", F.explode("all").alias("digest"))
+    several = several.join(nodes.select("digest", "node"), "digest").groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all"))
+    links.append(several.select("a", F.explode("all").alias("b")))
     edges = links[0]
     for more in links[1:]:
         edges = edges.union(more)
     labels = components(edges, work)
     lowest = nodes.join(labels, nodes["node"] == labels["v"]).groupBy("c").agg(F.min("first").alias("component_id"))
     lowest = labels.join(lowest, "c").select(F.col("v").alias("node"), "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(nodes.select("node", "first"), "node", "left").join(lowest, "node", "left")
+    out = rows.join(nodes.select("digest", "node", "first"), "digest", "left").join(lowest, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "first", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
