@@ -20,8 +20,10 @@ Lists of any length are worked through without all their pairs:
    give all candidates, whatever order the leader's members agree on: values whose lists would make the
    fewest pairs come first. Members that are linked to the leader need no links among one another, and
    are tried one a list before all.
-3. Lists that are left have their next leaders, as long as a round at least halves them. What then
-   remains has little in common, and is compared within its lists by sketches.
+3. Members of half the similarity and more to one leader are decided by their deviations, so that a list of
+   such members alone is done. Lists that are left have their next leaders, as long as a round at least
+   halves them. What then remains is compared within its lists by sketches, but for pairs that a leader has
+   decided.
 
 Candidates of the last step are estimated from the union sketch and confirmed on the full sets; those
 of the second are decided by deviations, which say the same as the sets.
@@ -34,7 +36,7 @@ component and is kept; other columns are not read. Sets are told apart by a 64-b
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 from math import comb
 
 import numpy as np
@@ -143,9 +145,9 @@ def _lists(nodes: DataFrame, percent: int, work: Work) -> DataFrame:
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
-    """The lists of two members and more, with their leaders c."""
-    top = lists.groupBy("value", "band").agg(F.max(F.struct("rank", "node")).alias("top"), F.count("*").alias("size")).where("size > 1")
-    return lists.join(top.select("value", "band", F.col("top.node").alias("c")), ["value", "band"])
+    """The lists of two members and more that are not all decided by one leader, with their leaders c."""
+    top = lists.groupBy("value", "band").agg(F.max(F.struct("rank", "node")).alias("top"), F.count("*").alias("size"), F.bool_and("decided").alias("done")).where("size > 1 and not done")
+    return lists.drop("decided").join(top.select("value", "band", F.col("top.node").alias("c")), ["value", "band"])
 
 
 def _estimate(a: str, b: str, least: int):
@@ -259,13 +261,16 @@ def _by_deviation(met: DataFrame, percent: int, work: Work, tag: str) -> DataFra
     return first.union(second).union(third).select("a", "b")
 
 
-def _within_lists(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (c, x) of the members of a list that their sketches allow, each in one list only."""
+def _within_lists(lists: DataFrame, decided: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (c, x) of the members of a list that their sketches allow, each in one list only, without those
+    of two members of one leader: decided has (c, node), the members of leaders c and these themselves."""
     prefix = lists.groupBy("node").agg(F.sort_array(F.collect_set("value")).alias("values"))
+    led = decided.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_set("c").alias("led"))
+    prefix = prefix.join(led, "node", "left").withColumn("led", F.coalesce("led", F.array().cast("array<bigint>")))
     rows = lists.select("value", "band", "node", "own").join(prefix, "node").join(_sketch_of(nodes), "node")
-    ours = rows.select("value", "band", *[F.col(c).alias(f"{c}_c") for c in ("node", "own", "values", "n", "s")])
+    ours = rows.select("value", "band", *[F.col(c).alias(f"{c}_c") for c in ("node", "own", "values", "led", "n", "s")])
     # A pair is looked at in the list of its smallest common value, in the band of the larger set.
-    once = F.expr("node_c < node and band = greatest(own, own_c)") & (100 * F.least("n", "n_c") >= percent * F.greatest("n", "n_c")) & F.expr("array_min(array_intersect(values, values_c)) = value")
+    once = F.expr("node_c < node and band = greatest(own, own_c) and not arrays_overlap(led, led_c)") & (100 * F.least("n", "n_c") >= percent * F.greatest("n", "n_c")) & F.expr("array_min(array_intersect(values, values_c)) = value")
     met = ours.join(rows, ["value", "band"]).where(once & _estimate("s_c", "s", bound(percent / 100)))
     return met.select(F.col("node_c").alias("c"), F.col("node").alias("x"), "n_c", F.col("n").alias("n_x")).distinct()
 
@@ -307,26 +312,28 @@ def _groups(docs: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     work.release()
     prefixes = _lists(nodes, percent, work)
     work.release()
-    lists = work.cut(_leaders(prefixes), "lists-0")
+    lists = work.cut(_leaders(prefixes.withColumn("decided", F.lit(False))), "lists-0")
     work.drop("prefixes")
     work.release()
-    links, k, size = [], 0, lists.count()
+    links, led, k, size = [], [], 0, lists.count()
     while size:
         pairs = work.cut(lists.select("c", F.col("node").alias("x")).where("c <> x").distinct(), f"pairs-{k}")
         met = _compared(_near(pairs, nodes, 100 - 2.5 * away), docs, nodes, width, percent, work, f"met-{k}")
         links.append(met.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
         close = met.where(_links("size(dev)", "n_c + n_x", 100 - 2.5 * away))
         links.append(_by_deviation(close, percent, work, f"dev-{k}"))
-        gone = met.where(_links("size(dev)", "n_c + n_x", 100 - 1.5 * away)).select("c", F.col("x").alias("node"))
-        left = _leaders(lists.where("node <> c").join(gone, ["c", "node"], "left_anti").drop("c"))
-        lists = work.cut(left, f"lists-{k + 1}")
+        led += [close.select("c", F.col("x").alias("node")), close.select("c", F.col("c").alias("node")).distinct()]
+        near = _links("size(dev)", "n_c + n_x", 100 - 1.5 * away)
+        gone, half = close.where(near).select("c", F.col("x").alias("node")), close.where(~near).select("c", F.col("x").alias("node"), F.lit(True).alias("decided"))
+        left = lists.where("node <> c").join(gone, ["c", "node"], "left_anti").join(half, ["c", "node"], "left").drop("c")
+        lists = work.cut(_leaders(left.withColumn("decided", F.col("decided").isNotNull())), f"lists-{k + 1}")
         work.drop(f"lists-{k}")
         work.release()
         before, size, k = size, lists.count(), k + 1
         if size > before // 2:
             break
     if size:
-        rest = _compared(_within_lists(lists, nodes, percent), docs, nodes, width, percent, work, "rest")
+        rest = _compared(_within_lists(lists, reduce(DataFrame.union, led), nodes, percent), docs, nodes, width, percent, work, "rest")
         links.append(rest.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
     # Documents of one doc_id and several sets hold their nodes together.
     several = named.groupBy("doc_id").agg(F.collect_set("digest").alias("all")).where("size(all) > 1").select("doc_id", F.explode("all").alias("digest"))

@@ -1,3 +1,5 @@
+import random
+
 from gablestone.llm import near_dups
 from gablestone.llm._base import Work
 
@@ -27,3 +29,17 @@ def test_deviations_list_only_values_that_make_pairs(spark):
         assert {frozenset(r) for r in found} == {frozenset((1, 2))}
         # The prefixes were some 60 values of each member; only 1 and 2 share more than the ten.
         assert work.rows["t-entries"] < 200
+
+
+def test_pairs_that_a_leader_has_decided_are_not_compared_again(spark):
+    # Every member keeps some 0.6 of a text, too little to be linked with it, and half the similarity to it
+    # and, by and large, to the others; the last two are copies of one member.
+    r, base = random.Random(5), [f"w{i}" for i in range(400)]
+    texts = [base] + [[f"x{k}y{i}" if r.random() < 0.12 else w for i, w in enumerate(base)] for k in range(80)]
+    texts += [[*texts[1][:-2], f"z{k}"] for k in range(2)]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    with Counted(spark, "test") as work:
+        found = {x.doc_id: x.component_id for x in near_dups._groups(docs, 2, 80, work).collect()}
+        assert found == {k: k for k in range(81)} | {81: 1, 82: 1}
+        # Some hundreds of pairs are half similar by their sketches; the members' common leader has decided them.
+        assert work.rows.get("rest-pairs", 0) < 100
