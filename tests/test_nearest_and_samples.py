@@ -93,3 +93,17 @@ def test_roof_planes_take_rows_as_arrow(spark):
     assert "FlatMapGroupsInArrow" in got[0]._jdf.queryExecution().executedPlan().toString()
     a, b = (df.collect() for df in got)
     assert a == b and [(r.building_id, r.plane, r.support, r.nz, r.aspect_deg, r.warnings) for r in a] == [(1, 0, 60, 1.0, None, None)]
+
+
+def test_roof_planes_count_every_point(spark):
+    """Support, its least, shares and fits are those of the whole group, also beyond one block of points."""
+    n = 24_000
+    one = spark.range(n).selectExpr("1L as building_id", "id as k", "cast(id % 150 as double) / 10 as x", "cast(floor(id / 150) as double) / 10 as y").withColumn("z", F.expr("if(k % 3 = 0, 20 + 0.5 * x, 10 - 0.25 * y)"))
+    # 100 points on a third plane: more than a sample's least support would be, fewer than 5 % of all.
+    few = spark.range(100).selectExpr("1L as building_id", f"id + {n} as k", "cast(id % 10 as double) as x", "cast(floor(id / 10) as double) as y", "50.0D as z")
+    points = one.unionByName(few)
+    got = cloud_quality.roof_planes(points, ["k"]).orderBy("plane").collect()
+    assert [r.support for r in got] == [16_000, 8_000] and [r.explained for r in got] == [pytest.approx(n / (n + 100))] * 2
+    assert [r.support_ratio for r in got] == [pytest.approx(16_000 / (n + 100)), pytest.approx(8_000 / (n + 100))] and got[0].cx == pytest.approx(one.where("k % 3 <> 0").agg(F.avg("x")).first()[0])
+    few_only = cloud_quality.roof_planes(points.where(f"k >= {n} or k % 40 = 0"), ["k"]).collect()
+    assert sorted(r.support for r in few_only) == [100, 200, 400]
