@@ -41,3 +41,9 @@ def test_the_chain_keeps_its_plan_small(spark, sf_dir):
     """The evidence is joined from tables that are done; before, the plan held all measures at once and broadcast them."""
     text = plan(chain.decided(chain_queries._measured(spark, sf_dir), chain_queries._requests(spark, sf_dir)))
     assert "Broadcast" not in text and "Generate" not in text and "MapInArrow" not in text
+
+
+def test_plans_rest_on_tables_that_are_done(spark, sf_dir):
+    rows = chain_queries.c02_plans(spark, sf_dir)
+    assert "Broadcast" not in plan(rows) and "MapInArrow" not in plan(rows) and "FlatMapGroups" not in plan(rows)
+    assert rows.count() == view(spark, sf_dir, "v_edges").select("building_id").distinct().count()
